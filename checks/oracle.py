@@ -163,21 +163,34 @@ def fused(
     source: str, rule_weight: float = 0.55, ml_weight: float = 0.45,
     alert_at: float = 0.35, block_at: float = 0.70, name: str = "fused",
 ) -> str:
-    """``source`` has the summary columns plus anomaly_score and is_anomaly."""
-    return f"""{name} AS (
+    """``source`` has the summary columns plus anomaly_score and is_anomaly.
+
+    One step per table: an alias used many times is copied each time it is named.
+    """
+    return f"""{name}_1 AS (
   SELECT *,
     CASE WHEN any_match THEN (CASE highest_severity WHEN 'LOW' THEN {real(0.25)}
       WHEN 'MEDIUM' THEN {real(0.5)} WHEN 'HIGH' THEN {real(0.75)} WHEN 'CRITICAL' THEN {real(1.0)}
-      ELSE {real(0.0)} END) * max_confidence ELSE {real(0.0)} END AS rule_part,
-    {rounded("weighted", f"{real(rule_weight)} * rule_part + {real(ml_weight)} * anomaly_score", 4)},
-    least(weighted, {real(1.0)}) AS base,
-    {rounded("boosted", f"base + least({real(0.15)}, ({real(1.0)} - base) * {real(0.3)})", 4)},
-    CASE WHEN any_match AND is_anomaly THEN boosted ELSE base END AS risk_score,
+      ELSE {real(0.0)} END) * max_confidence ELSE {real(0.0)} END AS rule_part FROM {source}),
+{name}_2 AS (
+  SELECT *, {real(rule_weight)} * rule_part + {real(ml_weight)} * anomaly_score AS weighted_in
+  FROM {name}_1),
+{name}_3 AS (SELECT *, {rounded("weighted", "weighted_in", 4)} FROM {name}_2),
+{name}_4 AS (SELECT *, least(weighted, {real(1.0)}) AS base FROM {name}_3),
+{name}_5 AS (
+  SELECT *, base + least({real(0.15)}, ({real(1.0)} - base) * {real(0.3)}) AS boosted_in
+  FROM {name}_4),
+{name}_6 AS (SELECT *, {rounded("boosted", "boosted_in", 4)} FROM {name}_5),
+{name}_7 AS (
+  SELECT *, CASE WHEN any_match AND is_anomaly THEN boosted ELSE base END AS risk_score
+  FROM {name}_6),
+{name} AS (
+  SELECT *,
     CASE WHEN risk_score >= {real(block_at)} THEN 'BLOCK'
       WHEN risk_score >= {real(alert_at)} THEN 'ALERT' ELSE 'ALLOW' END AS action,
     {rounded("rule_score", "rule_part", 4)},
     {rounded("ml_score", "anomaly_score", 4)}
-  FROM {source})"""
+  FROM {name}_7)"""
 
 
 RULES_ONLY = """scored AS (

@@ -19,6 +19,7 @@ from flowverdict.operators.rules_relational import matches_by_division
 from flowverdict.plans import catalog_checks, reports, results
 from flowverdict.plans.pipeline import FROZEN, score_flows, train_model
 from flowverdict.schema import FEATURES, REPORT_ROWS, VECTOR
+from flowverdict.session import tune_session
 from flowverdict.sources import event_flows as ef
 from flowverdict.sources.catalog import catalog_frame, default_catalog
 from flowverdict.sources.flow_csv import read_flow_csv
@@ -35,7 +36,7 @@ KEY = [ef.KEY]
 
 def register(name: str, sql: str | None = None):
     def add(query: Query) -> Query:
-        QUERIES[name] = query
+        QUERIES[name] = lambda spark, sf_dir: query(tune_session(spark), sf_dir)
         if sql is not None:
             ORACLES[name] = sql
         return query
@@ -82,7 +83,7 @@ def flow_ingest_clean(spark, sf_dir):
 )
 def flow_identity(spark, sf_dir):
     flows = ingest(core(spark, sf_dir))
-    return flows.select(*KEY, *[c.alias(n) for n, c in identity_columns(flows).items()])
+    return flows.selectExpr(*KEY, *[f"{e} AS {n}" for n, e in identity_columns(flows).items()])
 
 
 @register(

@@ -5,6 +5,7 @@ from flowverdict.operators.fusion import FusionSettings
 from flowverdict.operators.rules import evaluate_rules
 from flowverdict.plans.pipeline import TrainingRun, score_flows, train_model
 from flowverdict.sources.catalog import default_catalog, load_catalog
+from flowverdict.session import tune_session
 from flowverdict.sources.flow_csv import read_flow_csv
 
 __all__ = [
@@ -19,4 +20,5 @@ __all__ = [
     "score_forest",
     "train_forest",
     "train_model",
+    "tune_session",
 ]

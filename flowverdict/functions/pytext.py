@@ -2,38 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _double_text(c: Column) -> Column:
-    c = c.cast("double")
-    plain = F.regexp_replace(c.cast("decimal(38,21)").cast("string"), r"0+$", "")
-    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
-    shown = c.cast("string")
-    mantissa = F.regexp_replace(F.substring_index(shown, "E", 1), r"\.0$", "")
-    exponent = F.substring_index(shown, "E", -1).try_cast("int")
-    scientific = F.concat(
-        mantissa,
-        F.when(exponent < 0, "e-").otherwise("e+"),
-        F.lpad(F.abs(exponent).cast("string"), 2, "0"),
-    )
-    size = F.abs(c)
+def _double_text(c: str) -> str:
+    c = f"CAST({c} AS DOUBLE)"
+    shown = f"CAST({c} AS STRING)"
+    digits = f"CAST(CAST({c} AS DECIMAL(38,21)) AS STRING)"
+    plain = f"regexp_replace(regexp_replace({digits}, '0+$', ''), '[.]$', '.0')"
+    mantissa = f"regexp_replace(substring_index({shown}, 'E', 1), '[.]0$', '')"
+    exponent = f"try_cast(substring_index({shown}, 'E', -1) AS INT)"
+    power = f"CAST(abs({exponent}) AS STRING)"
+    power = f"IF(length({power}) < 2, concat('0', {power}), {power})"
     return (
-        F.when(F.isnan(c), "nan")
-        .when(size == float("inf"), F.when(c > 0, "inf").otherwise("-inf"))
-        .when(c == 0, shown)
-        .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(scientific)
+        f"CASE WHEN isnan({c}) THEN 'nan' WHEN {c} = double('inf') THEN 'inf' "
+        f"WHEN {c} = double('-inf') THEN '-inf' WHEN {c} = 0D THEN {shown} "
+        f"WHEN abs({c}) >= 1.0e-4D AND abs({c}) < 1.0e16D THEN {plain} "
+        f"ELSE concat({mantissa}, IF({exponent} < 0, 'e-', 'e+'), {power}) END"
     )
 
 
-def python_text(c: Column, dtype: T.DataType) -> Column:
+def python_text(c: str, dtype: T.DataType) -> str:
+    """SQL that prints the column ``c`` of type ``dtype``."""
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        text = _double_text(c)
+        shown = _double_text(c)
     elif isinstance(dtype, T.BooleanType):
-        text = F.when(c, "True").otherwise("False")
+        shown = f"IF({c}, 'True', 'False')"
     else:
-        text = c.cast("string")
-    return F.when(c.isNull(), "None").otherwise(text)
+        shown = f"CAST({c} AS STRING)"
+    return f"IF({c} IS NULL, 'None', {shown})"

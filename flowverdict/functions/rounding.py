@@ -1,30 +1,27 @@
 """Decimal rounding of doubles, correct to the last binary digit.
 
-``F.round`` looks at the printed digits of a double and rounds ties up, so it can
-differ by one unit from a correctly rounded result (0.00005 is stored slightly above
-or below the tie).  The helper below recovers the exact error of ``value * 10^digits``
-from a two-part product and only then decides; it stays inside generated code.
+``round`` looks at the printed digits of a double and rounds ties up, so it can differ by
+one unit from a correctly rounded result (0.00005 is stored slightly above or below the
+tie).  The expression below recovers the exact error of ``value * 10^digits`` from a
+two-part product and only then decides.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from flowverdict.functions.sqltext import double
 
 
-def round_exact(df: DataFrame, name: str, value: Column, digits: int) -> DataFrame:
-    """Add column ``name``: ``value`` rounded half-to-even at ``digits`` decimals.
+def round_exact(value: str, digits: int) -> str:
+    """SQL for column ``value`` (a double) rounded half-to-even at ``digits`` decimals.
 
-    The steps are separate projections on purpose: each intermediate is used several
-    times, and nesting them in one expression would multiply the expression tree.
+    ``value`` appears many times, so it should be a column and not a computation.
     """
-    scale = F.lit(float(10**digits))
-    v, hi, p, err = (f"__{name}_{part}" for part in ("v", "hi", "p", "err"))
-    df = df.withColumn(v, value.cast("double"))
-    # A float holds 24 bits, the rest holds at most 29: both products are exact.
-    df = df.withColumns({hi: F.col(v).cast("float").cast("double"), p: F.col(v) * scale})
-    df = df.withColumn(err, (F.col(hi) * scale - F.col(p)) + (F.col(v) - F.col(hi)) * scale)
-    low = F.floor(p).cast("double")
-    tie = (F.col(p) - low == 0.5) & (F.col(err) != 0.0)
-    whole = F.when(tie, low + F.when(F.col(err) > 0, 1.0).otherwise(0.0)).otherwise(F.rint(p))
-    return df.withColumn(name, whole / scale).drop(v, hi, p, err)
+    scale = double(10.0**digits)
+    scaled = f"({value} * {scale})"
+    # A float holds 24 bits, the rest at most 29: both partial products are exact.
+    head = f"CAST(CAST({value} AS FLOAT) AS DOUBLE)"
+    error = f"(({head} * {scale} - {scaled}) + ({value} - {head}) * {scale})"
+    return (
+        f"(CASE WHEN {scaled} - floor({scaled}) = 0.5D AND {error} <> 0D "
+        f"THEN floor({scaled}) + IF({error} > 0D, 1, 0) ELSE rint({scaled}) END / {scale})"
+    )

@@ -14,13 +14,12 @@ import math
 import operator
 from typing import Any
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowverdict.functions import sqltext as sql
+
 STRICT = "strict"
 TYPED = "typed"
-MODES = (STRICT, TYPED)
 
 OPERATORS = {
     ">": operator.gt,
@@ -32,9 +31,10 @@ OPERATORS = {
 }
 
 # Text that reads as a number; a cast alone would also take "1.0d" and refuse "1_000".
+_DIGITS = "[0-9]+(_[0-9]+)*"
 NUMBER_TEXT = (
-    r"^\s*[+-]?((\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?"
-    r"|(?i:inf|infinity|nan))\s*$"
+    f"^[+-]?(({_DIGITS}[.]?({_DIGITS})?|[.]{_DIGITS})([eE][+-]?{_DIGITS})?"
+    "|(?i:inf|infinity|nan))$"
 )
 
 
@@ -45,10 +45,13 @@ def as_number(value: Any) -> float | None:
         return None
 
 
-def text_to_number(c: Column) -> Column:
-    """The number a text reads as, else null."""
-    digits = F.regexp_replace(F.trim(c), "_", "")
-    return F.when(c.rlike(NUMBER_TEXT), digits.try_cast("double"))
+def text_to_number(c: str) -> str:
+    """SQL for the number a text column reads as, else null."""
+    trimmed = f"trim(BOTH ' \\t\\r\\n' FROM {c})"
+    return (
+        f"IF({trimmed} RLIKE {sql.text(NUMBER_TEXT)}, "
+        f"try_cast(replace({trimmed}, '_', '') AS DOUBLE), NULL)"
+    )
 
 
 def compare_values(actual: Any, op: str | None, value: Any, mode: str = STRICT) -> bool:
@@ -62,49 +65,52 @@ def compare_values(actual: Any, op: str | None, value: Any, mode: str = STRICT)
     return op in OPERATORS and OPERATORS[op](left, right)
 
 
-def _on_numbers(c: Column, op: str | None, right: float, floating: bool) -> Column:
+def _on_numbers(c: str, op: str | None, right: float, floating: bool) -> str:
     if op not in OPERATORS:
-        return F.lit(False)
+        return "false"
     if math.isnan(right):
-        return F.lit(op == "!=")
+        return sql.boolean(op == "!=")
     # 443.0 against a BIGINT column is compared as BIGINT, without a cast per row.
-    literal = int(right) if right.is_integer() and abs(right) < 2**53 else right
-    test = OPERATORS[op](c, F.lit(float(right) if floating else literal))
+    whole = not floating and right.is_integer() and abs(right) < 2**53
+    test = f"{c} {op} {int(right) if whole else sql.double(right)}"
     # Spark orders NaN above every number; Python lets no comparison with it hold.
-    return ~F.isnan(c) & test if floating and op in (">", ">=") else test
+    return f"(NOT isnan({c}) AND {test})" if floating and op in (">", ">=") else f"({test})"
 
 
-def _on_text(c: Column, op: str | None, value: Any, mode: str) -> Column:
-    same = F.upper(c) == F.lit(str(value).upper())
+def _on_text(c: str, op: str | None, value: Any, mode: str) -> str:
+    same = f"(upper({c}) = {sql.text(str(value).upper())})"
     if mode == TYPED:
-        return {"==": same, "!=": ~same}.get(op, F.lit(False))
+        return {"==": same, "!=": f"(NOT {same})"}.get(op, "false")
     return same
 
 
 def compare_column(
-    c: Column, dtype: T.DataType, op: str | None, value: Any, mode: str = STRICT
-) -> Column:
-    """``c op value`` as a boolean that is never null."""
+    column: str, dtype: T.DataType, op: str | None, value: Any, mode: str = STRICT
+) -> str:
+    """SQL for ``column op value``, a boolean that is never null."""
+    c = sql.name(column)
     right = as_number(value)
     if isinstance(dtype, T.BooleanType):
         when_true, when_false = (compare_values(b, op, value, mode) for b in (True, False))
         if when_true == when_false:
-            test = F.lit(when_true)
+            test = f"IF({c} IS NULL, NULL, {sql.boolean(when_true)})"
         else:
-            test = c if when_true else ~c
+            test = c if when_true else f"(NOT {c})"
     elif isinstance(dtype, T.NumericType):
         if right is None:
             # No number prints as a text that does not read as a number.
-            test = F.lit(mode == TYPED and op == "!=")
+            test = f"IF({c} IS NULL, NULL, {sql.boolean(mode == TYPED and op == '!=')})"
         else:
             floating = isinstance(dtype, (T.DoubleType, T.FloatType))
             test = _on_numbers(c, op, right, floating)
+            if c not in test:
+                test = f"IF({c} IS NULL, NULL, {test})"
     else:
-        c = c.cast("string")
-        if right is None:
-            test = _on_text(c, op, value, mode)
-        else:
+        c = c if isinstance(dtype, T.StringType) else f"CAST({c} AS STRING)"
+        test = _on_text(c, op, value, mode)
+        if right is not None:
             number = text_to_number(c)
-            test = F.when(number.isNotNull(), _on_numbers(number, op, right, True))
-            test = test.otherwise(_on_text(c, op, value, mode))
-    return F.coalesce(test, F.lit(compare_values(None, op, value, mode)))
+            test = f"IF({number} IS NULL, {test}, {_on_numbers(number, op, right, True)})"
+        if mode == TYPED:
+            test = f"IF({c} IS NULL, NULL, {test})"
+    return f"coalesce({test}, {sql.boolean(compare_values(None, op, value, mode))})"

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowverdict.functions import sqltext as sql
 from flowverdict.functions.pytext import python_text
 from flowverdict.schema import FEATURES, KNOWN_PROTOCOLS, SCALED_FEATURES, VECTOR
 
@@ -21,50 +22,56 @@ def _types(df: DataFrame) -> dict[str, T.DataType]:
     return {f.name: f.dataType for f in df.schema.fields}
 
 
-def identity_columns(df: DataFrame) -> dict[str, Column]:
-    """label, src_ip, dst_ip, protocol as text; src_port, dst_port as whole numbers."""
+def identity_columns(df: DataFrame) -> dict[str, str]:
+    """SQL for label, src_ip, dst_ip, protocol as text; src_port, dst_port as whole
+    numbers."""
     types = _types(df)
 
-    def text(name: str, default: str) -> Column:
-        return python_text(F.col(name), types[name]) if name in types else F.lit(default)
+    def shown(name: str, default: str) -> str:
+        return python_text(name, types[name]) if name in types else sql.text(default)
 
-    def whole(name: str) -> Column:
+    def whole(name: str) -> str:
         # Doubles lose their fraction, towards zero; text has to read as a whole number.
-        return F.col(name).cast("long") if name in types else F.lit(0).cast("long")
+        return f"CAST({name if name in types else 0} AS BIGINT)"
 
     return {
-        "label": text("label", "UNKNOWN"),
-        "src_ip": text("src_ip", ""),
-        "dst_ip": text("dst_ip", ""),
+        "label": shown("label", "UNKNOWN"),
+        "src_ip": shown("src_ip", ""),
+        "dst_ip": shown("dst_ip", ""),
         "src_port": whole("src_port"),
         "dst_port": whole("dst_port"),
-        "protocol": text("protocol_type", ""),
+        "protocol": shown("protocol_type", ""),
     }
 
 
-def feature_value(df: DataFrame, name: str) -> Column:
-    """The feature as a double; text that does not read as a number is an error."""
-    c = F.col(name)
-    if isinstance(_types(df)[name], T.StringType):
-        number = c.try_cast("double")
-        problem = F.concat(F.lit(f"{name} is not a number: "), c)
-        return F.when(number.isNull(), F.raise_error(problem).cast("double")).otherwise(number)
-    return c.cast("double")
+def feature_values(df: DataFrame) -> dict[str, str]:
+    """SQL for each feature present, as a double; text that does not read as a number is
+    an error."""
+    types = _types(df)
+    values = {}
+    for f in FEATURES:
+        if f in types:
+            values[f] = f"CAST({f} AS DOUBLE)"
+            if isinstance(types[f], T.StringType):
+                problem = f"concat('{f} is not a number: ', {f})"
+                values[f] = f"coalesce(try_cast({f} AS DOUBLE), raise_error({problem}))"
+    return values
 
 
-def minmax_columns(df: DataFrame) -> list[Column]:
+def minmax_columns(df: DataFrame) -> list[str]:
     """``<feature>_min`` and ``<feature>_max`` of each feature present, as aggregates."""
-    bounds = []
-    for f in SCALED_FEATURES:
-        if f in df.columns:
-            v = feature_value(df, f)
-            bounds += [F.min(v).alias(f"{f}_min"), F.max(v).alias(f"{f}_max")]
-    return bounds
+    values = feature_values(df)
+    return [
+        f"{bound}({values[f]}) AS {f}_{bound}"
+        for f in SCALED_FEATURES
+        if f in values
+        for bound in ("min", "max")
+    ]
 
 
 def minmax_frame(df: DataFrame) -> DataFrame:
     """The bounds of ``minmax_columns`` as a table of one row."""
-    return df.agg(*minmax_columns(df))
+    return df.agg(*[F.expr(e) for e in minmax_columns(df)])
 
 
 def stats_from_row(row: Mapping, earlier: Stats | None = None) -> dict[str, tuple[float, float]]:
@@ -77,37 +84,31 @@ def stats_from_row(row: Mapping, earlier: Stats | None = None) -> dict[str, tupl
     return stats
 
 
-def encode_protocol(value: Column) -> Column:
-    return F.when(value.isin([float(p) for p in KNOWN_PROTOCOLS]), value).otherwise(F.lit(0.0))
+def _scaled(value: str, low: str, high: str) -> str:
+    share = f"({value} - {low}) / nullif({high} - {low}, 0D)"
+    return f"IF({low} = {high}, 0D, least(greatest({share}, 0D), 1D))"
 
 
-def _scaled(value: Column, low: Column, high: Column) -> Column:
-    share = (value - low) / (high - low)
-    return F.when(low == high, F.lit(0.0)).otherwise(
-        F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0))
-    )
-
-
-def feature_columns(df: DataFrame, bounds: dict[str, tuple[Column, Column]]) -> dict[str, Column]:
-    """Each feature scaled to [0, 1]; a feature without statistics is only clipped."""
+def feature_columns(df: DataFrame, bounds: dict[str, tuple[str, str]]) -> dict[str, str]:
+    """SQL for each feature scaled to [0, 1]; a feature without statistics is only
+    clipped, the protocol is encoded."""
+    known = ", ".join(sql.double(p) for p in KNOWN_PROTOCOLS)
     out = {}
-    for f in FEATURES:
-        value = feature_value(df, f)
+    for f, value in feature_values(df).items():
         if f == "protocol_type":
-            out[f] = encode_protocol(value)
+            out[f] = f"IF({value} IN ({known}), {value}, 0D)"
         else:
-            low, high = bounds.get(f, (F.lit(0.0), F.lit(1.0)))
-            out[f] = _scaled(value, low, high)
+            out[f] = _scaled(value, *bounds.get(f, ("0D", "1D")))
     return out
 
 
-def vector_column(columns: dict[str, Column]) -> Column:
-    return F.array(*[columns[f].cast("float") for f in FEATURES]).alias(VECTOR)
+def vector_column(columns: dict[str, str]) -> str:
+    return sql.array([f"CAST({columns[f]} AS FLOAT)" for f in FEATURES])
 
 
 def with_bounds(
     df: DataFrame, stats: Stats | DataFrame | None
-) -> tuple[DataFrame, dict[str, tuple[Column, Column]]]:
+) -> tuple[DataFrame, dict[str, tuple[str, str]]]:
     """Make statistics available to the rows of ``df``.
 
     Known statistics become literals.  A ``minmax_frame`` becomes a scalar subquery: it
@@ -117,13 +118,12 @@ def with_bounds(
     if isinstance(stats, DataFrame):
         fitted = [c[: -len("_min")] for c in stats.columns if c.endswith("_min")]
         df = df.withColumn(_STATS, stats.select(F.struct(*stats.columns)).scalar())
-        return df, {
-            f: (F.col(f"{_STATS}.{f}_min"), F.col(f"{_STATS}.{f}_max")) for f in fitted
-        }
-    return df, {f: (F.lit(lo), F.lit(hi)) for f, (lo, hi) in (stats or {}).items()}
+        return df, {f: (f"{_STATS}.{f}_min", f"{_STATS}.{f}_max") for f in fitted}
+    return df, {f: (sql.double(lo), sql.double(hi)) for f, (lo, hi) in (stats or {}).items()}
 
 
 def with_vector(df: DataFrame, stats: Stats | DataFrame | None) -> DataFrame:
     """Add the float vector ``features``."""
     df, bounds = with_bounds(df, stats)
-    return df.withColumn(VECTOR, vector_column(feature_columns(df, bounds))).drop(_STATS)
+    vector = F.expr(vector_column(feature_columns(df, bounds)))
+    return df.withColumn(VECTOR, vector).drop(_STATS)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from flowverdict import schema
 from flowverdict.functions.draws import uniform
 from flowverdict.functions.rounding import round_exact
+from flowverdict.functions.sqltext import double
 from flowverdict.operators import forest_kernels
 from flowverdict.operators.forest_kernels import PackedForest, depth_limit, grow_tree, mean_path
 
@@ -176,10 +177,13 @@ def raw_score(df: DataFrame, model: ForestModel) -> DataFrame:
 
 def scale_score(df: DataFrame, threshold: float) -> DataFrame:
     """Add ``anomaly_score`` in [0, 1] and ``is_anomaly`` from ``raw_score``."""
-    share = (F.col("raw_score") + schema.SCORE_OFFSET) / schema.SCORE_SPAN
-    clipped = F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0))
-    df = round_exact(df, "anomaly_score", 1.0 - clipped, 4)
-    return df.withColumn("is_anomaly", F.col("anomaly_score") >= threshold)
+    share = f"(raw_score + {double(schema.SCORE_OFFSET)}) / {double(schema.SCORE_SPAN)}"
+    return df.selectExpr(
+        "*",
+        f"1D - least(greatest({share}, 0D), 1D) AS __inverted",
+        f"{round_exact('__inverted', 4)} AS anomaly_score",
+        f"anomaly_score >= {double(threshold)} AS is_anomaly",
+    ).drop("__inverted")
 
 
 def score_forest(df: DataFrame, model: ForestModel | None) -> DataFrame:
@@ -191,6 +195,4 @@ def score_forest(df: DataFrame, model: ForestModel | None) -> DataFrame:
 
 def untrained_scores(df: DataFrame) -> DataFrame:
     """The columns of ``score_forest`` when there is no model: nothing is anomalous."""
-    return df.withColumns(
-        {"raw_score": F.lit(0.0), "anomaly_score": F.lit(0.0), "is_anomaly": F.lit(False)}
-    )
+    return df.selectExpr("*", "0D AS raw_score", "0D AS anomaly_score", "false AS is_anomaly")

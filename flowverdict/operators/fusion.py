@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from flowverdict import schema
 from flowverdict.functions.rounding import round_exact
+from flowverdict.functions.sqltext import double, text
 
 
 @dataclass(frozen=True)
@@ -28,101 +28,85 @@ class FusionSettings:
         return cls(rule_weight, 1.0 - rule_weight, **thresholds)
 
 
-def severity_weight(severity: Column) -> Column:
-    weight = F.lit(0.0)
-    for name, value in schema.SEVERITY_WEIGHTS.items():
-        weight = F.when(severity == name, F.lit(value)).otherwise(weight)
-    return weight
+def _choose(column: str, results: dict[str, str], other: str) -> str:
+    cases = " ".join(f"WHEN {text(value)} THEN {result}" for value, result in results.items())
+    return f"CASE {column} {cases} ELSE {other} END"
 
 
-def rule_score(any_match: Column, severity: Column, confidence: Column) -> Column:
-    return F.when(any_match, severity_weight(severity) * confidence).otherwise(F.lit(0.0))
+def severity_weight(column: str) -> str:
+    return _choose(column, {s: double(w) for s, w in schema.SEVERITY_WEIGHTS.items()}, "0D")
 
 
-def action_for(risk: Column, settings: FusionSettings) -> Column:
+def action_for(risk: str, settings: FusionSettings) -> str:
     return (
-        F.when(risk >= settings.block_at, "BLOCK")
-        .when(risk >= settings.alert_at, "ALERT")
-        .otherwise("ALLOW")
+        f"CASE WHEN {risk} >= {double(settings.block_at)} THEN 'BLOCK' "
+        f"WHEN {risk} >= {double(settings.alert_at)} THEN 'ALERT' ELSE 'ALLOW' END"
     )
 
 
 def fuse(df: DataFrame, settings: FusionSettings = FusionSettings()) -> DataFrame:
     """Needs any_match, highest_severity, max_confidence, anomaly_score, is_anomaly; adds
     rule_score, ml_score, risk_score, action."""
-    df = df.withColumn(
-        "__rule",
-        rule_score(F.col("any_match"), F.col("highest_severity"), F.col("max_confidence")),
+    weighted = (
+        f"{double(settings.rule_weight)} * __rule + {double(settings.ml_weight)} * anomaly_score"
     )
-    weighted = settings.rule_weight * F.col("__rule") + settings.ml_weight * F.col("anomaly_score")
-    df = round_exact(df, "__risk", weighted, 4)
-    df = df.withColumn("__risk", F.least(F.col("__risk"), F.lit(1.0)))
-    boost = F.least(F.lit(schema.BOOST_CAP), (1.0 - F.col("__risk")) * schema.BOOST_RATE)
-    df = round_exact(df, "__boosted", F.col("__risk") + boost, 4)
-    agreed = F.col("any_match") & F.col("is_anomaly")
-    df = df.withColumn(
-        "risk_score", F.when(agreed, F.col("__boosted")).otherwise(F.col("__risk"))
-    ).drop("__risk", "__boosted")
-    df = df.withColumn("action", action_for(F.col("risk_score"), settings))
-    df = round_exact(df, "rule_score", F.col("__rule"), 4)
-    df = round_exact(df, "ml_score", F.col("anomaly_score"), 4)
-    return df.drop("__rule")
+    boost = f"least({double(schema.BOOST_CAP)}, (1D - __base) * {double(schema.BOOST_RATE)})"
+    # Each step names the ones before it.
+    return df.selectExpr(
+        "*",
+        f"IF(any_match, {severity_weight('highest_severity')} * max_confidence, 0D) AS __rule",
+        f"{weighted} AS __weighted",
+        f"least({round_exact('__weighted', 4)}, 1D) AS __base",
+        f"__base + {boost} AS __boosted",
+        f"IF(any_match AND is_anomaly, {round_exact('__boosted', 4)}, __base) AS risk_score",
+        f"{action_for('risk_score', settings)} AS action",
+        f"{round_exact('__rule', 4)} AS rule_score",
+        f"{round_exact('anomaly_score', 4)} AS ml_score",
+    ).drop("__rule", "__weighted", "__base", "__boosted")
 
 
 def with_reasoning(df: DataFrame) -> DataFrame:
     """Add ``reasoning``, the explanation in one line."""
-    df = round_exact(df, "__ml2", F.col("anomaly_score"), 2)
-    df = round_exact(df, "__risk2", F.col("risk_score"), 2)
-    rules = F.when(
-        F.col("any_match"),
-        F.format_string(
-            "Rule engine matched %d rule(s): %s [Severity: %s]",
-            F.size("rule_names"),
-            F.array_join("rule_names", ", "),
-            F.col("highest_severity"),
-        ),
-    ).otherwise("No signature rules matched.")
-    model = F.format_string(
-        "ML model %s (anomaly score: %.2f)",
-        F.when(F.col("is_anomaly"), "flagged as anomalous").otherwise("considers traffic normal"),
-        F.col("__ml2"),
+    rules = (
+        "IF(any_match, format_string('Rule engine matched %d rule(s): %s [Severity: %s]', "
+        "size(rule_names), array_join(rule_names, ', '), highest_severity), "
+        "'No signature rules matched.')"
     )
-    final = F.format_string(
-        "Final risk score: %.2f → Action: %s", F.col("__risk2"), F.col("action")
+    model = (
+        "format_string('ML model %s (anomaly score: %.2f)', "
+        "IF(is_anomaly, 'flagged as anomalous', 'considers traffic normal'), "
+        f"{round_exact('anomaly_score', 2)})"
     )
-    return df.withColumn("reasoning", F.concat_ws(" | ", rules, model, final)).drop(
-        "__ml2", "__risk2"
+    final = (
+        "format_string('Final risk score: %.2f → Action: %s', "
+        f"{round_exact('risk_score', 2)}, action)"
     )
+    return df.selectExpr("*", f"concat_ws(' | ', {rules}, {model}, {final}) AS reasoning")
 
 
-def _by_action(words: dict[str, str], other: str) -> Column:
-    word = F.lit(other)
-    for action, value in words.items():
-        word = F.when(F.col("action") == action, value).otherwise(word)
-    return word
+def action_color() -> str:
+    words = {a: text(c) for a, c in schema.ACTION_COLORS.items()}
+    return _choose("action", words, text(schema.OTHER_COLOR))
 
 
-def action_color() -> Column:
-    return _by_action(schema.ACTION_COLORS, schema.OTHER_COLOR)
-
-
-def action_icon() -> Column:
-    return _by_action(schema.ACTION_ICONS, schema.OTHER_ICON)
+def action_icon() -> str:
+    words = {a: text(i) for a, i in schema.ACTION_ICONS.items()}
+    return _choose("action", words, text(schema.OTHER_ICON))
 
 
 def decision_record(df: DataFrame, key: list[str] = ()) -> DataFrame:
     """The decision record: nine fields plus the color and icon of the action."""
-    return with_reasoning(df).select(
+    return with_reasoning(df).selectExpr(
         *key,
         "action",
         "risk_score",
         "rule_score",
         "ml_score",
-        F.col("any_match").alias("rule_matched"),
-        F.col("rule_names").alias("matched_rule_names"),
-        F.col("highest_severity").alias("rule_severity"),
-        F.col("anomaly_score").alias("ml_anomaly_score"),
+        "any_match AS rule_matched",
+        "rule_names AS matched_rule_names",
+        "highest_severity AS rule_severity",
+        "anomaly_score AS ml_anomaly_score",
         "reasoning",
-        action_color().alias("color"),
-        action_icon().alias("icon"),
+        f"{action_color()} AS color",
+        f"{action_icon()} AS icon",
     )

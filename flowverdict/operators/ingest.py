@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowverdict.functions import sqltext as sql
 from flowverdict.schema import FEATURES, HEADER_NAMES
 
 
@@ -20,28 +21,27 @@ def rename_headers(df: DataFrame) -> DataFrame:
     return df if names == df.columns else df.toDF(*names)
 
 
-def _cleaned(c: Column, dtype: T.DataType) -> Column:
+def _cleaned(c: str, dtype: T.DataType) -> str:
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         # NaN sorts above infinity, so one comparison drops both.
-        return F.coalesce(F.when(F.abs(c) < float("inf"), c), F.lit(0.0).cast(dtype))
+        kept = f"IF(abs({c}) < double('inf'), {c}, NULL)"
+        return f"coalesce({kept}, CAST(0 AS {dtype.simpleString()}))"
     if isinstance(dtype, T.NumericType):
-        return F.coalesce(c, F.lit(0).cast(dtype))
+        return f"coalesce({c}, CAST(0 AS {dtype.simpleString()}))"
     if isinstance(dtype, T.BooleanType):
-        return F.coalesce(c, F.lit(False))
+        return f"coalesce({c}, false)"
     if isinstance(dtype, T.StringType):
-        return F.coalesce(c, F.lit("0"))
+        return f"coalesce({c}, '0')"
     return c
 
 
 def clean(df: DataFrame, keep: list[str] = ()) -> DataFrame:
     """Infinities, NaN and nulls become 0 in every column (text ``"0"``) but ``keep``."""
-    return df.select(
-        *[
-            F.col(f"`{f.name}`") if f.name in keep
-            else _cleaned(F.col(f"`{f.name}`"), f.dataType).alias(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    columns = []
+    for f in df.schema.fields:
+        c = sql.name(f.name)
+        columns.append(c if f.name in keep else f"{_cleaned(c, f.dataType)} AS {c}")
+    return df.selectExpr(*columns)
 
 
 def missing_features(df: DataFrame) -> list[str]:
@@ -51,7 +51,7 @@ def missing_features(df: DataFrame) -> list[str]:
 def fill_missing(df: DataFrame) -> DataFrame:
     """Features the input lacks become 0."""
     absent = missing_features(df)
-    return df.withColumns({f: F.lit(0) for f in absent}) if absent else df
+    return df.selectExpr("*", *[f"0 AS {f}" for f in absent]) if absent else df
 
 
 def ingest(df: DataFrame, cleaned: bool = True, keep: list[str] = ()) -> DataFrame:

@@ -7,109 +7,117 @@ in catalog order; names, severity and confidence are looked up from that short a
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowverdict.functions import sqltext as sql
 from flowverdict.functions.pytext import python_text
 from flowverdict.operators.compare import STRICT, TYPED, compare_column, compare_values
 from flowverdict.schema import SEVERITIES
 from flowverdict.sources.catalog import Condition, Rule
 
 MATCHED = "matched"
-SUMMARY_COLUMNS = ["any_match", "highest_severity", "max_confidence", "rule_names"]
 
+Types = dict[str, T.DataType]
+
+
+def column_types(df: DataFrame) -> Types:
+    return {f.name: f.dataType for f in df.schema.fields}
 
-def condition_column(
-    types: dict[str, T.DataType], condition: Condition, mode: str = STRICT
-) -> Column:
+
+def condition_sql(types: Types, condition: Condition, mode: str = STRICT) -> str:
     if condition.field in types:
-        column = F.col(f"`{condition.field}`")
         return compare_column(
-            column, types[condition.field], condition.op, condition.value, mode
+            condition.field, types[condition.field], condition.op, condition.value, mode
         )
     # An absent field counts as 0, which settles the condition here and now.
-    if mode == TYPED:
-        return F.lit(False)
-    return F.lit(compare_values(0, condition.op, condition.value))
+    return sql.boolean(
+        mode != TYPED and compare_values(0, condition.op, condition.value)
+    )
 
 
-def rule_column(types: dict[str, T.DataType], rule: Rule, mode: str = STRICT) -> Column:
+def rule_sql(types: Types, rule: Rule, mode: str = STRICT) -> str:
     """All conditions hold; a rule without conditions always matches."""
-    tests = [condition_column(types, c, mode) for c in rule.conditions]
-    return reduce(lambda a, b: a & b, tests) if tests else F.lit(True)
-
-
-def rule_columns(df: DataFrame, rules: list[Rule], mode: str = STRICT) -> list[Column]:
-    types = {f.name: f.dataType for f in df.schema.fields}
-    return [rule_column(types, r, mode) for r in rules]
-
-
-def _int_array(values: list[Column]) -> Column:
-    return F.array(*values) if values else F.array().cast("array<int>")
+    return " AND ".join(condition_sql(types, c, mode) for c in rule.conditions) or "true"
 
 
-def matched_rules(df: DataFrame, rules: list[Rule], mode: str = STRICT) -> Column:
+def matched_sql(types: Types, rules: list[Rule], mode: str = STRICT) -> str:
     """Indices of the matched rules, in catalog order."""
-    tests = rule_columns(df, rules, mode)
-    return F.array_compact(_int_array([F.when(t, F.lit(i)) for i, t in enumerate(tests)]))
+    found = [f"IF({rule_sql(types, r, mode)}, {i}, NULL)" for i, r in enumerate(rules)]
+    return f"array_compact(CAST({sql.array(found)} AS ARRAY<INT>))"
 
 
-def _lookup(values: list, index: Column, default) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values or [default]]), index + 1)
+def _per_rule(values: list[str], index: str) -> str:
+    return f"element_at({sql.array(values)}, {index} + 1)"
 
 
-def matched_names(matched: Column, rules: list[Rule]) -> Column:
-    return F.transform(matched, lambda i: _lookup([r.name for r in rules], i, ""))
+def summary_columns(rules: list[Rule]) -> dict[str, str]:
+    """SQL for what is known about a flow from its ``matched`` array.
 
+    The largest confidence may belong to another rule than the highest severity.
+    """
+    if not rules:
+        return {
+            "any_match": "false",
+            "highest_severity": "'NONE'",
+            "max_confidence": "0D",
+            "rule_names": "CAST(array() AS ARRAY<STRING>)",
+        }
+    ranks = [str(SEVERITIES.index(r.severity_or_low)) for r in rules]
+    confidences = [sql.double(r.confidence) for r in rules]
+    names = [sql.text(r.name) for r in rules]
+
+    def largest(values: list[str]) -> str:
+        return f"array_max(transform({MATCHED}, i -> {_per_rule(values, 'i')}))"
 
-def any_match(matched: Column) -> Column:
-    return F.size(matched) > 0
+    severities = [sql.text(s) for s in SEVERITIES]
+    return {
+        "any_match": f"size({MATCHED}) > 0",
+        # Not coalesce: element_at counts as never null even where its index is.
+        "highest_severity": f"IF(size({MATCHED}) = 0, 'NONE', "
+        f"{_per_rule(severities, largest(ranks))})",
+        "max_confidence": f"greatest(coalesce({largest(confidences)}, 0D), 0D)",
+        "rule_names": f"transform({MATCHED}, i -> {_per_rule(names, 'i')})",
+    }
 
 
-def highest_severity(matched: Column, rules: list[Rule]) -> Column:
-    ranks = [SEVERITIES.index(r.severity_or_low) for r in rules]
-    worst = F.array_max(F.transform(matched, lambda i: _lookup(ranks, i, 0)))
-    return F.coalesce(_lookup(SEVERITIES, worst, "NONE"), F.lit("NONE"))
+def match_rules(df: DataFrame, rules: list[Rule], mode: str = STRICT) -> DataFrame:
+    """Add ``matched``."""
+    return df.withColumn(MATCHED, F.expr(matched_sql(column_types(df), rules, mode)))
 
 
-def max_confidence(matched: Column, rules: list[Rule]) -> Column:
-    """The largest confidence of a match; it may belong to another rule than the severity."""
-    best = F.array_max(F.transform(matched, lambda i: _lookup([r.confidence for r in rules], i, 0.0)))
-    return F.greatest(F.coalesce(best, F.lit(0.0)), F.lit(0.0))
+def summarise_matches(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Add any_match, highest_severity, max_confidence, rule_names to ``matched``."""
+    return df.selectExpr("*", *[f"{e} AS {n}" for n, e in summary_columns(rules).items()])
 
 
 def evaluate_rules(df: DataFrame, rules: list[Rule], mode: str = STRICT) -> DataFrame:
-    """Add ``matched`` and its summary: any_match, highest_severity, max_confidence,
-    rule_names."""
-    df = df.withColumn(MATCHED, matched_rules(df, rules, mode))
-    return summarise_matches(df, rules)
+    """Add ``matched`` and its summary."""
+    return summarise_matches(match_rules(df, rules, mode), rules)
 
 
-def summarise_matches(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    m = F.col(MATCHED)
-    return df.withColumns(
-        {
-            "any_match": any_match(m),
-            "highest_severity": highest_severity(m, rules),
-            "max_confidence": max_confidence(m, rules),
-            "rule_names": matched_names(m, rules),
-        }
-    )
+def exploded_matches(evaluated: DataFrame, key: list[str] = ()) -> DataFrame:
+    """One row (key, rule_idx) per match.
 
+    The outer form plus a null check returns what ``explode`` does.  For ``explode`` the
+    optimizer would put a filter on the array's size below the projection that builds it,
+    and evaluate the whole catalog twice.
+    """
+    long = evaluated.select(*key, F.explode_outer(MATCHED).alias("rule_idx"))
+    return long.filter(F.col("rule_idx").isNotNull())
 
-def details_column(types: dict[str, T.DataType], rule: Rule) -> Column:
+
+def details_sql(types: Types, rule: Rule) -> str:
     """``field op value (actual: x)`` for each condition, joined by ``; ``."""
     parts = []
     for c in rule.conditions:
+        actual = "'0'"
         if c.field in types:
-            actual = python_text(F.col(f"`{c.field}`"), types[c.field])
-        else:
-            actual = F.lit("0")
-        parts.append(F.concat(F.lit(f"{c.field} {c.op} {c.value} (actual: "), actual, F.lit(")")))
-    return F.concat_ws("; ", *parts) if parts else F.lit("")
+            actual = python_text(sql.name(c.field), types[c.field])
+        shown = sql.text(f"{c.field} {c.op} {c.value} (actual: ")
+        parts.append(f"concat({shown}, {actual}, ')')")
+    return f"concat_ws('; ', {', '.join(parts)})" if parts else "''"
 
 
 def rule_results(
@@ -122,31 +130,33 @@ def rule_results(
 ) -> DataFrame:
     """One row per flow and rule: key, rule_idx, rule_id, rule_name, category, severity,
     confidence, matched and, on request, details."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    tests = rule_columns(df, rules, mode)
-    results = []
-    for i, (rule, test) in enumerate(zip(rules, tests)):
-        fields = [F.lit(i).alias("rule_idx"), test.alias("matched")]
+    types = column_types(df)
+    found = []
+    for i, rule in enumerate(rules):
+        test = rule_sql(types, rule, mode)
+        fields = f"'rule_idx', {i}, 'matched', {test}"
         if details:
-            text = F.when(test, details_column(types, rule)).otherwise(F.lit(""))
-            fields.append(text.alias("details"))
-        result = F.struct(*fields)
-        results.append(F.when(test, result) if matched_only else result)
-    listed = F.array(*results)
+            fields += f", 'details', IF({test}, {details_sql(types, rule)}, '')"
+        result = f"named_struct({fields})"
+        found.append(f"IF({test}, {result}, NULL)" if matched_only else result)
+    listed = sql.array(found)
     if matched_only:
-        listed = F.array_compact(listed)
-    long = df.select(*key, F.explode(listed).alias("r")).select(*key, "r.*")
-    i = F.col("rule_idx")
-    long = long.withColumns(
-        {
-            "rule_id": _lookup([r.rule_id for r in rules], i, ""),
-            "rule_name": _lookup([r.name for r in rules], i, ""),
-            "category": _lookup([r.category_or_general for r in rules], i, ""),
-            "severity": _lookup([r.severity_or_low for r in rules], i, ""),
-            "confidence": F.when(
-                F.col("matched"), _lookup([r.confidence for r in rules], i, 0.0)
-            ).otherwise(F.lit(0.0)),
-        }
+        listed = f"array_compact({listed})"
+    # Outer for the reason given in exploded_matches.
+    long = df.select(*key, F.explode_outer(F.expr(listed)).alias("r"))
+    long = long.filter(F.col("r").isNotNull()).select(*key, "r.*")
+    confidence = _per_rule([sql.double(r.confidence) for r in rules], "rule_idx")
+    looked_up = {
+        "rule_id": _per_rule([sql.text(r.rule_id) for r in rules], "rule_idx"),
+        "rule_name": _per_rule([sql.text(r.name) for r in rules], "rule_idx"),
+        "category": _per_rule([sql.text(r.category_or_general) for r in rules], "rule_idx"),
+        "severity": _per_rule([sql.text(r.severity_or_low) for r in rules], "rule_idx"),
+        "confidence": f"IF(matched, {confidence}, 0D)",
+    }
+    return long.selectExpr(
+        *key,
+        "rule_idx",
+        *[f"{e} AS {n}" for n, e in looked_up.items()],
+        "matched",
+        *(["details"] if details else []),
     )
-    columns = ["rule_idx", "rule_id", "rule_name", "category", "severity", "confidence", "matched"]
-    return long.select(*key, *columns, *(["details"] if details else []))

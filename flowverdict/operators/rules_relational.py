@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowverdict.functions import sqltext as sql
 from flowverdict.functions.pytext import python_text
 from flowverdict.operators.compare import as_number, text_to_number
 from flowverdict.sources.catalog import Rule
@@ -21,18 +22,18 @@ from flowverdict.sources.catalog import Rule
 BROADCAST_CONDITIONS = 50_000
 
 
-def _reading(name: str | None, types: dict[str, T.DataType]) -> Column:
+def _reading(name: str, types: dict[str, T.DataType]) -> str:
     """A field as number (null if it does not read as one) and as upper-case text."""
     if name not in types:
-        number, text = F.lit(0.0), F.lit("0")
+        number, shown = "0D", "'0'"
     else:
-        c, dtype = F.col(f"`{name}`"), types[name]
-        text = F.upper(python_text(c, dtype))
+        c, dtype = sql.name(name), types[name]
+        shown = f"upper({python_text(c, dtype)})"
         if isinstance(dtype, (T.NumericType, T.BooleanType)):
-            number = c.cast("double")
+            number = f"CAST({c} AS DOUBLE)"
         else:
-            number = text_to_number(c.cast("string"))
-    return F.struct(F.lit(name).alias("field"), number.alias("actual"), text.alias("actual_text"))
+            number = text_to_number(f"CAST({c} AS STRING)")
+    return f"struct({sql.text(name)} AS field, {number} AS actual, {shown} AS actual_text)"
 
 
 def _passed() -> Column:
@@ -72,7 +73,7 @@ def matches_by_division(df: DataFrame, rules: list[Rule], key: list[str]) -> Dat
         if len(wanted) <= BROADCAST_CONDITIONS:
             conditions = F.broadcast(conditions)
         readings = df.select(
-            *key, F.explode(F.array(*[_reading(f, types) for f in fields])).alias("r")
+            *key, F.explode(F.expr(sql.array([_reading(f, types) for f in fields]))).alias("r")
         ).select(*key, "r.*")
         passed = readings.join(conditions, "field").filter(_passed())
         matches = (

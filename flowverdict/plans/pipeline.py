@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowverdict import schema
+from flowverdict.functions.sqltext import name
 from flowverdict.operators.cap import row_cap
 from flowverdict.operators.compare import STRICT
 from flowverdict.operators.features import (
@@ -35,7 +36,12 @@ from flowverdict.operators.ingest import (
     missing_features,
     rename_headers,
 )
-from flowverdict.operators.rules import MATCHED, matched_rules, summarise_matches
+from flowverdict.operators.rules import (
+    MATCHED,
+    column_types,
+    matched_sql,
+    summarise_matches,
+)
 from flowverdict.sources.catalog import Rule, default_catalog
 
 BATCH = "batch"
@@ -71,7 +77,7 @@ def train_model(
     fit = flows.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(is_benign(flows)).alias("benign_rows"),
-        *minmax_columns(flows),
+        *[F.expr(e) for e in minmax_columns(flows)],
     ).first()
     stats = stats_from_row(fit.asDict())
     if key is None:
@@ -126,24 +132,19 @@ def score_flows(
     flows = ingest(df, cleaned, keep=list(key))
     rules = default_catalog() if rules is None else rules
 
-    bounds = {}
-    if model is not None:
+    kept = [name(k) for k in key]
+    kept += [f"{e} AS {n}" for n, e in identity_columns(flows).items() if n not in key]
+    kept.append(f"{matched_sql(column_types(flows), rules, mode)} AS {MATCHED}")
+    if model is None:
+        scored = untrained_scores(flows.selectExpr(*kept))
+    else:
         if stats == BATCH:
             stats = minmax_frame(flows)
         elif stats == FROZEN:
             stats = model.stats
-        matched = matched_rules(flows, rules, mode)
         flows, bounds = with_bounds(flows, stats)
-    else:
-        matched = matched_rules(flows, rules, mode)
-
-    kept = [F.col(f"`{k}`") for k in key]
-    kept += [c.alias(n) for n, c in identity_columns(flows).items() if n not in key]
-    kept.append(matched.alias(MATCHED))
-    if model is None:
-        scored = untrained_scores(flows.select(*kept))
-    else:
         # Only what later steps read travels past the model: ids, matches, the vector.
         vector = vector_column(feature_columns(flows, bounds))
-        scored = score_forest(flows.select(*kept, vector), model).drop(schema.VECTOR)
+        flows = flows.selectExpr(*kept, f"{vector} AS {schema.VECTOR}")
+        scored = score_forest(flows, model).drop(schema.VECTOR)
     return fuse(summarise_matches(scored, rules), settings)

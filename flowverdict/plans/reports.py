@@ -32,12 +32,12 @@ def action_totals(profile: DataFrame) -> DataFrame:
         flows("ALERT").alias("alerts"),
         flows("ALLOW").alias("allows"),
     )
+    shares = []
     for name in ("block", "alert", "allow"):
-        share = F.try_divide(F.col(f"{name}s").cast("double"), F.col("total")) * 100.0
-        totals = round_exact(totals, "__share", share, 1)
-        text = F.format_string("%.1f%%", F.col("__share"))
-        totals = totals.withColumn(f"{name}_share", F.when(F.col("total") > 0, text))
-    return totals.drop("__share")
+        shares.append(f"try_divide(CAST({name}s AS DOUBLE), total) * 100D AS __{name}")
+        shown = f"format_string('%.1f%%', {round_exact(f'__{name}', 1)})"
+        shares.append(f"IF(total > 0, {shown}, NULL) AS {name}_share")
+    return totals.selectExpr("*", *shares).drop("__block", "__alert", "__allow")
 
 
 def action_frequency(profile: DataFrame) -> DataFrame:

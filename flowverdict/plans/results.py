@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowverdict.functions.rounding import round_exact
+from flowverdict.functions.sqltext import array, text
 from flowverdict.operators.fusion import with_reasoning
-from flowverdict.operators.rules import MATCHED
+from flowverdict.operators.rules import exploded_matches
 from flowverdict.sources.catalog import Rule
 
 
 def report_rows(scored: DataFrame, index: str = "flow_idx") -> DataFrame:
     """The command-line result: one row per flow, twelve columns."""
-    return with_reasoning(scored).select(
-        F.col(index).cast("long").alias("flow_idx"),
+    return with_reasoning(scored).selectExpr(
+        f"CAST({index} AS BIGINT) AS flow_idx",
         "src_ip",
         "dst_ip",
         "src_port",
@@ -22,29 +23,26 @@ def report_rows(scored: DataFrame, index: str = "flow_idx") -> DataFrame:
         "label",
         "action",
         "risk_score",
-        F.col("any_match").alias("rule_matched"),
-        F.array_join("rule_names", ", ").alias("matched_rules"),
-        F.col("anomaly_score").alias("ml_score"),
+        "any_match AS rule_matched",
+        "array_join(rule_names, ', ') AS matched_rules",
+        "anomaly_score AS ml_score",
         "reasoning",
     )
 
 
 def table_rows(scored: DataFrame, key: list[str] = ()) -> DataFrame:
     """The table of the analysis page: nine columns with display names."""
-    scored = round_exact(with_reasoning(scored), "__ml3", F.col("anomaly_score"), 3)
-    return scored.select(
+    return with_reasoning(scored).selectExpr(
         *key,
-        F.col("action").alias("Action"),
-        F.col("risk_score").alias("Risk Score"),
-        F.when(F.col("any_match"), "Yes").otherwise("No").alias("Rule Hit"),
-        F.when(F.col("any_match"), F.array_join("rule_names", ", "))
-        .otherwise("None")
-        .alias("Matched Rules"),
-        F.col("highest_severity").alias("Rule Severity"),
-        F.col("__ml3").alias("ML Score"),
-        F.col("dst_port").alias("Dst Port"),
-        F.col("label").alias("Label"),
-        F.col("reasoning").alias("Reasoning"),
+        "action AS Action",
+        "risk_score AS `Risk Score`",
+        "IF(any_match, 'Yes', 'No') AS `Rule Hit`",
+        "IF(any_match, array_join(rule_names, ', '), 'None') AS `Matched Rules`",
+        "highest_severity AS `Rule Severity`",
+        f"{round_exact('anomaly_score', 3)} AS `ML Score`",
+        "dst_port AS `Dst Port`",
+        "label AS Label",
+        "reasoning AS Reasoning",
     )
 
 
@@ -58,10 +56,8 @@ def match_listing(evaluated: DataFrame, rules: list[Rule], key: list[str]) -> Da
         f"[{r.rule_id}] {r.name} | Severity: {r.severity_or_low} | Confidence: {r.confidence}"
         for r in rules
     ]
-    text = F.element_at(F.array(*[F.lit(line) for line in lines]), F.col("rule_idx") + 1)
-    return evaluated.select(*key, F.explode(MATCHED).alias("rule_idx")).select(
-        *key, "rule_idx", text.alias("listing")
-    )
+    listing = f"element_at({array([text(line) for line in lines])}, rule_idx + 1) AS listing"
+    return exploded_matches(evaluated, key).selectExpr(*key, "rule_idx", listing)
 
 
 def rule_listing(catalog: DataFrame) -> DataFrame:
@@ -112,7 +108,7 @@ def rule_hits(evaluated: DataFrame, catalog: DataFrame) -> DataFrame:
     flows costs no more than any other.
     """
     hits = (
-        evaluated.select(F.explode(MATCHED).alias("rule_idx"))
+        exploded_matches(evaluated)
         .groupBy("rule_idx")
         .agg(F.count(F.lit(1)).alias("flows"))
     )

@@ -6,7 +6,7 @@ can be written in any SQL dialect.  All 61 shipped rules fire on it from 10,000
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowverdict.schema import HEADER_NAMES
@@ -59,9 +59,9 @@ CORE_COLUMNS = [
 KEY = "event_id"
 
 
-def _pick(divisor: int, kind: str, values: list) -> Column:
-    position = F.pmod(F.expr(f"event_id div {divisor}"), F.lit(len(values))).cast("int")
-    return F.element_at(F.array(*[F.lit(v).cast(kind) for v in values]), position + 1)
+def _pick(divisor: int, kind: str, values: list) -> str:
+    items = ", ".join(f"'{v}'" if kind == "string" else f"CAST({v} AS {kind})" for v in values)
+    return f"element_at(array({items}), CAST((event_id div {divisor}) % {len(values)} AS INT) + 1)"
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,17 +70,14 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flows_from_events(events: DataFrame) -> DataFrame:
     """All columns the rules and the model can use."""
-    e = F.col("event_id")
     columns = {name: _pick(*spec) for name, spec in PICKED.items()}
-    columns["src_port"] = 1024 + (e * 31) % 60000
-    columns["fwd_pkt_len_mean"] = columns["active_mean"] = F.col("value")
-    columns["bwd_pkt_len_mean"] = columns["idle_mean"] = F.col("user_id").cast("double")
-    columns["label"] = F.element_at(
-        F.array(*[F.lit(v) for v in LABELS]), (e % len(LABELS)).cast("int") + 1
-    )
+    columns["src_port"] = "1024 + (event_id * 31) % 60000"
+    columns["fwd_pkt_len_mean"] = columns["active_mean"] = "value"
+    columns["bwd_pkt_len_mean"] = columns["idle_mean"] = "CAST(user_id AS DOUBLE)"
+    columns["label"] = _pick(1, "string", LABELS)
     for j, flag in enumerate(FLAGS):
-        columns[flag] = e % (j % 7 + 2) == 0
-    return events.select(KEY, *[c.alias(n) for n, c in columns.items()])
+        columns[flag] = f"event_id % {j % 7 + 2} = 0"
+    return events.selectExpr(KEY, *[f"{e} AS {n}" for n, e in columns.items()])
 
 
 def core_flows(events: DataFrame) -> DataFrame:
