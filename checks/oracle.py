@@ -126,8 +126,8 @@ def tested(variant: str = "full", typed: bool = False) -> str:
     )
 
 
-def rules_prefix(variant: str = "full", typed: bool = False) -> str:
-    return f"WITH {flows(variant)},\n{catalog()},\n{tested(variant, typed)}"
+def rules_prefix(variant: str = "full", typed: bool = False, recursive: bool = False) -> str:
+    return f"WITH {'RECURSIVE ' if recursive else ''}{flows(variant)},\n{catalog()},\n{tested(variant, typed)}"
 
 
 SUMMARY = f"""summary AS (
@@ -261,20 +261,23 @@ def forest(trees: int, seed: int, sample_rows: int = 256) -> str:
     """``nodes`` and its inputs, for more than 2 x sample_rows training rows or fewer."""
     levels = math.ceil(math.log2(sample_rows))
     seed_sql = quote(str(seed))
+
+    def jump(tree: str) -> str:
+        u = draw(seed_sql, "'next'", tree, "event_id")
+        return f"{tree} + 1 + CASE WHEN p >= 1 THEN 0 ELSE CAST(floor(ln(1 - {u}) / ln(1 - p)) AS BIGINT) END"
+
     p = f"least({real(1.0)}, {real(2.0)} * {sample_rows} / (SELECT count(*) FROM benign))"
     parts = [
         bounds(),
         vectors(),
         "benign AS MATERIALIZED (SELECT event_id, x FROM vectors WHERE upper(label) LIKE '%BENIGN%')",
         f"rate AS MATERIALIZED (SELECT {p} AS p)",
-        f"""firsts AS MATERIALIZED (SELECT event_id, p, CASE WHEN p >= 1 THEN 0 ELSE
-    floor(ln(1 - {draw(seed_sql, "'first'", "event_id")}) / ln(1 - p)) END AS first_tree
-  FROM benign, rate)""",
-        f"""wanted AS MATERIALIZED (
-  SELECT event_id, t.tree_id FROM firsts, (SELECT unnest(range({trees})) AS tree_id) t
-  WHERE p >= 1 OR t.tree_id = first_tree OR (t.tree_id > first_tree
-    AND {draw(seed_sql, "'more'", "t.tree_id", "event_id")} < p))""",
-        f"""sample AS MATERIALIZED (SELECT tree_id, event_id FROM wanted
+        # From one tree that wants a row to the next by geometric jumps.
+        f"""wanted AS (
+  SELECT event_id, p, {jump("-1")} AS tree_id FROM benign, rate
+  UNION ALL
+  SELECT event_id, p, {jump("tree_id")} FROM wanted WHERE tree_id < {trees})""",
+        f"""sample AS MATERIALIZED (SELECT tree_id, event_id FROM wanted WHERE tree_id < {trees}
   QUALIFY row_number() OVER (PARTITION BY tree_id
     ORDER BY {draw(seed_sql, "'rank'", "tree_id", "event_id")}, CAST(event_id AS VARCHAR)) <= {sample_rows})""",
         "level0 AS MATERIALIZED (SELECT tree_id, 1 AS node_id, x FROM sample JOIN benign USING (event_id))",

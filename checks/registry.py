@@ -581,7 +581,7 @@ _SCORES = o.forest_scores(TREES)
 _MODEL_SCORED = f"""scored AS (
   SELECT s.*, f.raw_score, f.anomaly_score, f.is_anomaly
   FROM summary s JOIN forest_scored f USING (event_id))"""
-_PIPELINE = f"""{o.rules_prefix()}, {o.SUMMARY}, {_FOREST}, {_SCORES}, {_MODEL_SCORED},
+_PIPELINE = f"""{o.rules_prefix(recursive=True)}, {o.SUMMARY}, {_FOREST}, {_SCORES}, {_MODEL_SCORED},
   {o.fused('scored')}, {o.REASONED}"""
 _PIPELINE_COLUMNS = """event_id, label, dst_port, any_match, highest_severity, matched_rules,
   round(raw_score, 9) AS raw_score, anomaly_score, is_anomaly, rule_score, risk_score, action"""
@@ -602,7 +602,7 @@ def _pipeline_columns(scored):
 
 @register(
     "forest_nodes",
-    f"""WITH {o.flows()}, {_FOREST} SELECT CAST(tree_id AS INTEGER) AS tree_id,
+    f"""WITH RECURSIVE {o.flows()}, {_FOREST} SELECT CAST(tree_id AS INTEGER) AS tree_id,
       CAST(node_id AS INTEGER) AS node_id, CAST(depth AS INTEGER) AS depth,
       CAST(feature AS INTEGER) AS feature, round(threshold, 12) AS threshold, n_rows FROM nodes""",
 )
@@ -613,7 +613,7 @@ def forest_nodes(spark, sf_dir):
 
 @register(
     "forest_scores",
-    f"""WITH {o.flows()}, {_FOREST}, {_SCORES}
+    f"""WITH RECURSIVE {o.flows()}, {_FOREST}, {_SCORES}
     SELECT event_id, round(raw_score, 9) AS raw_score, anomaly_score, is_anomaly FROM forest_scored""",
 )
 def forest_scores(spark, sf_dir):

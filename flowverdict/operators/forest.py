@@ -72,28 +72,38 @@ def draw_samples(
     """``sample_rows`` rows per tree, without replacement: the rows of ``df`` with their
     ``tree_id`` and ``rank``.
 
-    A tree wants each row with a small probability ``p``.  The first tree that wants a row
-    is found with one draw (its number is geometric), so almost every row is discarded
-    after one hash, without visiting the trees.  What remains is about ``overdraw`` times
-    the final sample whatever the input size.  Ranking then keeps exactly
-    ``sample_rows`` per tree; Spark cuts each ranked group within the map tasks already.
+    A tree wants each row with a small probability ``p``.  The trees that want a row are
+    found by geometric jumps from one to the next, so most rows of a large input are
+    discarded after a single draw and no row costs a draw per tree.  What remains is about
+    ``overdraw`` times the final sample whatever the input size.  Ranking then keeps
+    exactly ``sample_rows`` per tree; Spark cuts each ranked group within the map tasks
+    already.
     """
     p = min(1.0, overdraw * sample_rows / max(n_rows, 1))
     df = df.withColumn(_KEY, _key_text(key))
-    tree_ids = F.sequence(F.lit(0), F.lit(trees - 1))
     if p < 1.0:
-        u = uniform(seed, "first", F.col(_KEY))
-        df = df.withColumn("__first", F.floor(F.ln(1.0 - u) / math.log(1.0 - p)))
+
+        def following(tree: Column) -> Column:
+            u = uniform(seed, "next", tree, F.col(_KEY))
+            jump = F.floor(F.ln(1.0 - u) / math.log1p(-p))
+            return tree + 1 + F.least(jump, F.lit(trees)).cast("int")
+
+        def extend(wanted: Column, _: Column) -> Column:
+            last = F.element_at(wanted, -1)
+            return F.when(last >= trees, wanted).otherwise(
+                F.array_append(wanted, following(last))
+            )
+
+        df = df.withColumn("__first", following(F.lit(-1)))
         df = df.filter(F.col("__first") < trees)
-        first = F.col("__first").cast("int")
-        wanted = F.filter(
-            tree_ids,
-            lambda t: (t == first)
-            | ((t > first) & (uniform(seed, "more", t, F.col(_KEY)) < p)),
+        wanted = F.aggregate(
+            F.sequence(F.lit(1), F.lit(trees)), F.array("__first"), extend
         )
-        df = df.withColumn("tree_id", F.explode(wanted)).drop("__first")
+        wanted = F.filter(wanted, lambda t: t < trees)
+        # Outer: see exploded_matches; the first entry always exists.
+        df = df.withColumn("tree_id", F.explode_outer(wanted)).drop("__first")
     else:
-        df = df.withColumn("tree_id", F.explode(tree_ids))
+        df = df.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     df = df.withColumn("__order", uniform(seed, "rank", F.col("tree_id"), F.col(_KEY)))
     ranking = Window.partitionBy("tree_id").orderBy("__order", _KEY)
     df = df.withColumn("rank", F.row_number().over(ranking))

@@ -1,8 +1,10 @@
 """Signature rules as column predicates.
 
 The catalog compiles to one projection: no shuffle, no join, and only the columns that
-the conditions name are read.  The projection yields the *indices* of the matched rules
-in catalog order; names, severity and confidence are looked up from that short array.
+the conditions name are read.  The projection yields one bit per rule, packed into
+BIGINT words.  Everything else about a flow's matches is read off the words: severity and
+confidence by masks, the indices of the matched rules in catalog order by their bits.
+What a query does not read is pruned, and past this point a flow is a few words wide.
 """
 
 from __future__ import annotations
@@ -19,6 +21,9 @@ from flowverdict.sources.catalog import Condition, Rule
 
 MATCHED = "matched"
 
+# Rules per word; the sign bit stays free.
+WORD = 62
+
 Types = dict[str, T.DataType]
 
 
@@ -42,58 +47,78 @@ def rule_sql(types: Types, rule: Rule, mode: str = STRICT) -> str:
     return " AND ".join(condition_sql(types, c, mode) for c in rule.conditions) or "true"
 
 
-def matched_sql(types: Types, rules: list[Rule], mode: str = STRICT) -> str:
-    """Indices of the matched rules, in catalog order."""
-    found = [f"IF({rule_sql(types, r, mode)}, {i}, NULL)" for i, r in enumerate(rules)]
-    return f"array_compact(CAST({sql.array(found)} AS ARRAY<INT>))"
+def _word(k: int) -> str:
+    return f"__rules{k}"
+
+
+def word_columns(types: Types, rules: list[Rule], mode: str = STRICT) -> list[str]:
+    """SQL for the words, each with the outcome of ``WORD`` rules."""
+    words = []
+    for start in range(0, len(rules), WORD):
+        bits = [
+            f"IF({rule_sql(types, rule, mode)}, {1 << i}L, 0L)"
+            for i, rule in enumerate(rules[start : start + WORD])
+        ]
+        words.append(f"{' | '.join(bits)} AS {_word(start // WORD)}")
+    return words
+
+
+def _any_of(indices: list[int]) -> str:
+    """Some rule with one of these indices matched."""
+    masks: dict[int, int] = {}
+    for i in indices:
+        masks[i // WORD] = masks.get(i // WORD, 0) | 1 << i % WORD
+    tests = [f"({_word(k)} & {mask}L) <> 0L" for k, mask in masks.items()]
+    return " OR ".join(tests) or "false"
 
 
 def _per_rule(values: list[str], index: str) -> str:
     return f"element_at({sql.array(values)}, {index} + 1)"
 
 
-def summary_columns(rules: list[Rule]) -> dict[str, str]:
-    """SQL for what is known about a flow from its ``matched`` array.
+def summary_columns(rules: list[Rule]) -> list[str]:
+    """SQL for any_match, highest_severity, max_confidence, matched, rule_names.
 
     The largest confidence may belong to another rule than the highest severity.
     """
-    if not rules:
-        return {
-            "any_match": "false",
-            "highest_severity": "'NONE'",
-            "max_confidence": "0D",
-            "rule_names": "CAST(array() AS ARRAY<STRING>)",
-        }
-    ranks = [str(SEVERITIES.index(r.severity_or_low)) for r in rules]
-    confidences = [sql.double(r.confidence) for r in rules]
-    names = [sql.text(r.name) for r in rules]
-
-    def largest(values: list[str]) -> str:
-        return f"array_max(transform({MATCHED}, i -> {_per_rule(values, 'i')}))"
-
-    severities = [sql.text(s) for s in SEVERITIES]
-    return {
-        "any_match": f"size({MATCHED}) > 0",
-        # Not coalesce: element_at counts as never null even where its index is.
-        "highest_severity": f"IF(size({MATCHED}) = 0, 'NONE', "
-        f"{_per_rule(severities, largest(ranks))})",
-        "max_confidence": f"greatest(coalesce({largest(confidences)}, 0D), 0D)",
-        "rule_names": f"transform({MATCHED}, i -> {_per_rule(names, 'i')})",
-    }
+    severity, confidence = "'NONE'", "0D"
+    for s in SEVERITIES:
+        test = _any_of([i for i, r in enumerate(rules) if r.severity_or_low == s])
+        severity = f"WHEN {test} THEN {sql.text(s)} ELSE {severity} END"
+        severity = f"CASE {severity}"
+    levels = sorted({r.confidence for r in rules if r.confidence > 0}, reverse=True)
+    if levels:
+        cases = [
+            f"WHEN {_any_of([i for i, r in enumerate(rules) if r.confidence == c])} "
+            f"THEN {sql.double(c)}"
+            for c in levels
+        ]
+        confidence = f"CASE {' '.join(cases)} ELSE 0D END"
+    found = [f"IF({_any_of([i])}, {i}, -1)" for i in range(len(rules))]
+    matched = f"array_remove(CAST({sql.array(found)} AS ARRAY<INT>), -1)"
+    names = sql.array([sql.text(r.name) for r in rules] or ["''"])
+    return [
+        f"{_any_of(list(range(len(rules))))} AS any_match",
+        f"{severity} AS highest_severity",
+        f"{confidence} AS max_confidence",
+        f"{matched} AS {MATCHED}",
+        f"transform({MATCHED}, i -> element_at({names}, i + 1)) AS rule_names",
+    ]
 
 
 def match_rules(df: DataFrame, rules: list[Rule], mode: str = STRICT) -> DataFrame:
-    """Add ``matched``."""
-    return df.withColumn(MATCHED, F.expr(matched_sql(column_types(df), rules, mode)))
+    """Add the words."""
+    return df.selectExpr("*", *word_columns(column_types(df), rules, mode))
 
 
 def summarise_matches(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Add any_match, highest_severity, max_confidence, rule_names to ``matched``."""
-    return df.selectExpr("*", *[f"{e} AS {n}" for n, e in summary_columns(rules).items()])
+    """Replace the words by what they say."""
+    words = [_word(k) for k in range(-(-len(rules) // WORD))]
+    return df.selectExpr("*", *summary_columns(rules)).drop(*words)
 
 
 def evaluate_rules(df: DataFrame, rules: list[Rule], mode: str = STRICT) -> DataFrame:
-    """Add ``matched`` and its summary."""
+    """Add any_match, highest_severity, max_confidence, matched, rule_names."""
     return summarise_matches(match_rules(df, rules, mode), rules)
 
 
@@ -133,7 +158,7 @@ def rule_results(
     types = column_types(df)
     found = []
     for i, rule in enumerate(rules):
-        test = rule_sql(types, rule, mode)
+        test = f"({rule_sql(types, rule, mode)})"
         fields = f"'rule_idx', {i}, 'matched', {test}"
         if details:
             fields += f", 'details', IF({test}, {details_sql(types, rule)}, '')"

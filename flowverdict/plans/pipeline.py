@@ -37,11 +37,11 @@ from flowverdict.operators.ingest import (
     rename_headers,
 )
 from flowverdict.operators.rules import (
-    MATCHED,
     column_types,
-    matched_sql,
     summarise_matches,
+    word_columns,
 )
+from flowverdict.session import tune_session
 from flowverdict.sources.catalog import Rule, default_catalog
 
 BATCH = "batch"
@@ -72,6 +72,7 @@ def train_model(
     ``key`` identifies a flow and makes the model independent of the file layout; without
     it the position in the input is used.
     """
+    tune_session(df.sparkSession)
     renamed = rename_headers(df)
     flows = ingest(renamed, keep=list(key or ()))
     fit = flows.agg(
@@ -125,6 +126,7 @@ def score_flows(
     """
     if model is None and require_model:
         raise RuntimeError("no trained model: train one or load one first")
+    tune_session(df.sparkSession)
     if cap is not None:
         if not order_by and not key:
             raise ValueError("a capped run needs order_by (or key) to say which rows come first")
@@ -134,7 +136,7 @@ def score_flows(
 
     kept = [name(k) for k in key]
     kept += [f"{e} AS {n}" for n, e in identity_columns(flows).items() if n not in key]
-    kept.append(f"{matched_sql(column_types(flows), rules, mode)} AS {MATCHED}")
+    kept += word_columns(column_types(flows), rules, mode)
     if model is None:
         scored = untrained_scores(flows.selectExpr(*kept))
     else:
@@ -143,7 +145,7 @@ def score_flows(
         elif stats == FROZEN:
             stats = model.stats
         flows, bounds = with_bounds(flows, stats)
-        # Only what later steps read travels past the model: ids, matches, the vector.
+        # Only what later steps read travels past the model: ids, words, the vector.
         vector = vector_column(feature_columns(flows, bounds))
         flows = flows.selectExpr(*kept, f"{vector} AS {schema.VECTOR}")
         scored = score_forest(flows, model).drop(schema.VECTOR)
