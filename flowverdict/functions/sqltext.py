@@ -27,5 +27,16 @@ def boolean(value: bool) -> str:
     return "true" if value else "false"
 
 
+def pinned(expression: str, default: str) -> str:
+    """The expression, evaluated where it is written.
+
+    The optimizer moves a filter below the projection it reads from by copying the
+    projected expression into the filter, as often as it is named and without looking at
+    its size.  It does not do so for an expression that may depend on the partition.
+    ``default`` (never returned) gives the type.
+    """
+    return f"IF(spark_partition_id() < 0, {default}, {expression})"
+
+
 def array(items: list[str]) -> str:
     return f"array({', '.join(items)})"

@@ -180,6 +180,8 @@ def raw_score(df: DataFrame, model: ForestModel) -> DataFrame:
             rows = batch.flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
             yield pa.array(forest.mean_depth(rows))
 
+    # A filter on the score must not walk the trees a second time.
+    walk = walk.asNondeterministic()
     usual = float(mean_path(model.sample_rows))
     share = walk(schema.VECTOR) / usual if usual else F.lit(1.0)
     return df.withColumn("raw_score", -F.pow(F.lit(2.0), -share))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from flowverdict import schema
 from flowverdict.functions.rounding import round_exact
-from flowverdict.functions.sqltext import double, text
+from flowverdict.functions.sqltext import double, pinned, text
 
 
 @dataclass(frozen=True)
@@ -51,6 +51,7 @@ def fuse(df: DataFrame, settings: FusionSettings = FusionSettings()) -> DataFram
         f"{double(settings.rule_weight)} * __rule + {double(settings.ml_weight)} * anomaly_score"
     )
     boost = f"least({double(schema.BOOST_CAP)}, (1D - __base) * {double(schema.BOOST_RATE)})"
+    risk = f"IF(any_match AND is_anomaly, {round_exact('__boosted', 4)}, __base)"
     # Each step names the ones before it.
     return df.selectExpr(
         "*",
@@ -58,7 +59,7 @@ def fuse(df: DataFrame, settings: FusionSettings = FusionSettings()) -> DataFram
         f"{weighted} AS __weighted",
         f"least({round_exact('__weighted', 4)}, 1D) AS __base",
         f"__base + {boost} AS __boosted",
-        f"IF(any_match AND is_anomaly, {round_exact('__boosted', 4)}, __base) AS risk_score",
+        f"{pinned(risk, '0D')} AS risk_score",
         f"{action_for('risk_score', settings)} AS action",
         f"{round_exact('__rule', 4)} AS rule_score",
         f"{round_exact('anomaly_score', 4)} AS ml_score",

@@ -59,7 +59,8 @@ def word_columns(types: Types, rules: list[Rule], mode: str = STRICT) -> list[st
             f"IF({rule_sql(types, rule, mode)}, {1 << i}L, 0L)"
             for i, rule in enumerate(rules[start : start + WORD])
         ]
-        words.append(f"{' | '.join(bits)} AS {_word(start // WORD)}")
+        word = sql.pinned(" | ".join(bits), "0L")
+        words.append(f"{word} AS {_word(start // WORD)}")
     return words
 
 
