@@ -96,12 +96,18 @@ def draw_samples(
 
         df = df.withColumn("__first", following(F.lit(-1)))
         df = df.filter(F.col("__first") < trees)
-        wanted = F.aggregate(
-            F.sequence(F.lit(1), F.lit(trees)), F.array("__first"), extend
+        # A row is wanted by p * trees trees on average: a few jumps finish almost all
+        # rows, and only the others go through the remaining ones.
+        few = min(trees, 8 + math.ceil(4 * p * trees))
+        steps = F.sequence(F.lit(1), F.lit(few))
+        df = df.withColumn("__few", F.aggregate(steps, F.array("__first"), extend))
+        rest = F.sequence(F.lit(few), F.lit(trees))
+        wanted = F.when(F.element_at("__few", -1) >= trees, F.col("__few")).otherwise(
+            F.aggregate(rest, F.col("__few"), extend)
         )
         wanted = F.filter(wanted, lambda t: t < trees)
         # Outer: see exploded_matches; the first entry always exists.
-        df = df.withColumn("tree_id", F.explode_outer(wanted)).drop("__first")
+        df = df.withColumn("tree_id", F.explode_outer(wanted)).drop("__first", "__few")
     else:
         df = df.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     df = df.withColumn("__order", uniform(seed, "rank", F.col("tree_id"), F.col(_KEY)))
@@ -110,7 +116,7 @@ def draw_samples(
     return df.filter(F.col("rank") <= sample_rows).drop("__order", _KEY)
 
 
-def grow_forest(samples: DataFrame, seed: int, limit: int) -> DataFrame:
+def grow_forest(samples: DataFrame, trees: int, seed: int, limit: int) -> DataFrame:
     """The node table; each group is one tree's sample, ``sample_rows`` rows at most."""
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
@@ -122,8 +128,11 @@ def grow_forest(samples: DataFrame, seed: int, limit: int) -> DataFrame:
         names = ["tree_id", "node_id", "depth", "feature", "threshold", "n_rows"]
         return pd.DataFrame(nodes, columns=names)
 
+    # The samples are small, so adaptive execution would put all trees into one task.
+    cores = samples.sparkSession.sparkContext.defaultParallelism
     return (
         samples.select("tree_id", "rank", schema.VECTOR)
+        .repartition(min(trees, cores), "tree_id")
         .groupBy("tree_id")
         .applyInPandas(grow, NODE_SCHEMA)
     )
@@ -156,7 +165,7 @@ def train_forest(
     overdraw = OVERDRAW
     while True:
         samples = draw_samples(df, key, n_rows, trees, size, seed, overdraw)
-        nodes = grow_forest(vector(samples), seed, limit).toPandas()
+        nodes = grow_forest(vector(samples), trees, seed, limit).toArrow().to_pandas()
         roots = nodes[nodes.node_id == 1]
         if len(roots) == trees and (roots.n_rows == size).all():
             break

@@ -62,7 +62,7 @@ def load_model(spark: SparkSession, path: str) -> ForestModel:
         raise ValueError("the saved model is larger than a scoring task may carry")
     nodes = _read(spark, f"{path}/nodes/{meta.model_id}").orderBy("tree_id", "node_id")
     return ForestModel(
-        nodes.toPandas(),
+        nodes.toArrow().to_pandas(),
         meta.trees,
         meta.sample_rows,
         meta.seed,
