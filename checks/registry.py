@@ -12,7 +12,7 @@ from flowverdict.operators.cap import dense_index, number_rows, row_cap
 from flowverdict.operators.compare import TYPED
 from flowverdict.operators.features import identity_columns, minmax_frame, with_vector
 from flowverdict.operators.forest import scale_score
-from flowverdict.operators.fusion import FusionSettings, action_color, decision_record, fuse
+from flowverdict.operators.fusion import FusionSettings, decision_record, fuse, fuse_each
 from flowverdict.operators.ingest import benign_only, ingest
 from flowverdict.operators.rules import evaluate_rules, rule_results
 from flowverdict.operators.rules_relational import matches_by_division
@@ -60,9 +60,9 @@ def scored_by_rules(spark, sf_dir):
     return score_flows(full(spark, sf_dir), key=KEY)
 
 
-def scored_synthetic(spark, sf_dir, settings=FusionSettings()):
+def scored_synthetic(spark, sf_dir):
     evaluated = evaluate_rules(full(spark, sf_dir), default_catalog())
-    return fuse(ef.with_synthetic_scores(evaluated), settings)
+    return fuse(ef.with_synthetic_scores(evaluated))
 
 
 # -- ingest ------------------------------------------------------------------------------
@@ -439,14 +439,10 @@ _SETTINGS = {
     ),
 )
 def fusion_settings(spark, sf_dir):
-    # The flows are evaluated once per setting; the settings only differ after the rules.
-    frames = [
-        scored_synthetic(spark, sf_dir, FusionSettings.from_rule_weight(**s)).select(
-            F.lit(name).alias("setting"), *KEY, "risk_score", "action"
-        )
-        for name, s in _SETTINGS.items()
-    ]
-    return frames[0].union(frames[1]).union(frames[2])
+    settings = {name: FusionSettings.from_rule_weight(**s) for name, s in _SETTINGS.items()}
+    evaluated = evaluate_rules(full(spark, sf_dir), default_catalog())
+    fused = fuse_each(ef.with_synthetic_scores(evaluated), settings)
+    return fused.select("setting", *KEY, "risk_score", "action")
 
 
 # -- results -----------------------------------------------------------------------------
@@ -477,23 +473,17 @@ def result_cli_capped(spark, sf_dir):
     return results.report_rows(number_rows(scored, KEY, REPORT_ROWS))
 
 
-def _synthetic_result_rows(spark, sf_dir):
-    flows = full(spark, sf_dir)
-    evaluated = evaluate_rules(flows, default_catalog())
-    return fuse(ef.with_synthetic_scores(evaluated))
-
-
 @register(
     "result_ui",
     f"""{o.decided(o.SYNTHETIC)} SELECT event_id, {_TABLE}, reasoning AS "Reasoning" FROM reasoned""",
 )
 def result_ui(spark, sf_dir):
-    return results.table_rows(_synthetic_result_rows(spark, sf_dir), KEY)
+    return results.table_rows(scored_synthetic(spark, sf_dir), KEY)
 
 
 @register("result_table", f"{o.decided(o.SYNTHETIC)} SELECT event_id, {_TABLE} FROM reasoned")
 def result_table(spark, sf_dir):
-    return results.table_view(results.table_rows(_synthetic_result_rows(spark, sf_dir), KEY))
+    return results.table_view(results.table_rows(scored_synthetic(spark, sf_dir), KEY))
 
 
 @register(
@@ -501,7 +491,7 @@ def result_table(spark, sf_dir):
     f"""{o.decided(o.SYNTHETIC)} SELECT event_id, {_TABLE}, reasoning AS "Reasoning" FROM reasoned""",
 )
 def csv_roundtrip(spark, sf_dir):
-    rows = results.table_rows(_synthetic_result_rows(spark, sf_dir), KEY)
+    rows = results.table_rows(scored_synthetic(spark, sf_dir), KEY)
     folder = scratch_folder(spark, "csv-roundtrip")
     write_csv(rows, folder)
     back = read_flow_csv(spark, folder)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 from pyspark.sql import DataFrame
 
 from flowverdict import schema
 from flowverdict.functions.rounding import round_exact
-from flowverdict.functions.sqltext import double, pinned, text
+from flowverdict.functions.sqltext import array, double, pinned, text
 
 
 @dataclass(frozen=True)
@@ -37,19 +37,37 @@ def severity_weight(column: str) -> str:
     return _choose(column, {s: double(w) for s, w in schema.SEVERITY_WEIGHTS.items()}, "0D")
 
 
-def action_for(risk: str, settings: FusionSettings) -> str:
+def action_for(risk: str, alert_at: str, block_at: str) -> str:
     return (
-        f"CASE WHEN {risk} >= {double(settings.block_at)} THEN 'BLOCK' "
-        f"WHEN {risk} >= {double(settings.alert_at)} THEN 'ALERT' ELSE 'ALLOW' END"
+        f"CASE WHEN {risk} >= {block_at} THEN 'BLOCK' "
+        f"WHEN {risk} >= {alert_at} THEN 'ALERT' ELSE 'ALLOW' END"
     )
 
 
 def fuse(df: DataFrame, settings: FusionSettings = FusionSettings()) -> DataFrame:
     """Needs any_match, highest_severity, max_confidence, anomaly_score, is_anomaly; adds
     rule_score, ml_score, risk_score, action."""
-    weighted = (
-        f"{double(settings.rule_weight)} * __rule + {double(settings.ml_weight)} * anomaly_score"
-    )
+    return _fuse(df, *[double(v) for v in astuple(settings)])
+
+
+def fuse_each(df: DataFrame, settings: dict[str, FusionSettings]) -> DataFrame:
+    """One row per flow and entry of ``settings``, told apart by ``setting``.
+
+    The flows fan out after rules and model, so those run once for all settings.
+    """
+    names = ["__rule_weight", "__ml_weight", "__alert_at", "__block_at"]
+    rows = [
+        f"struct({', '.join([text(key), *(double(v) for v in astuple(value))])})"
+        for key, value in settings.items()
+    ]
+    df = df.selectExpr("*", f"inline({array(rows)}) AS (setting, {', '.join(names)})")
+    return _fuse(df, *names).drop(*names)
+
+
+def _fuse(
+    df: DataFrame, rule_weight: str, ml_weight: str, alert_at: str, block_at: str
+) -> DataFrame:
+    weighted = f"{rule_weight} * __rule + {ml_weight} * anomaly_score"
     boost = f"least({double(schema.BOOST_CAP)}, (1D - __base) * {double(schema.BOOST_RATE)})"
     risk = f"IF(any_match AND is_anomaly, {round_exact('__boosted', 4)}, __base)"
     # Each step names the ones before it.
@@ -60,7 +78,7 @@ def fuse(df: DataFrame, settings: FusionSettings = FusionSettings()) -> DataFram
         f"least({round_exact('__weighted', 4)}, 1D) AS __base",
         f"__base + {boost} AS __boosted",
         f"{pinned(risk, '0D')} AS risk_score",
-        f"{action_for('risk_score', settings)} AS action",
+        f"{action_for('risk_score', alert_at, block_at)} AS action",
         f"{round_exact('__rule', 4)} AS rule_score",
         f"{round_exact('anomaly_score', 4)} AS ml_score",
     ).drop("__rule", "__weighted", "__base", "__boosted")
