@@ -128,12 +128,16 @@ def grow_forest(samples: DataFrame, trees: int, seed: int, limit: int) -> DataFr
         names = ["tree_id", "node_id", "depth", "feature", "threshold", "n_rows"]
         return pd.DataFrame(nodes, columns=names)
 
-    # The samples are small, so adaptive execution would put all trees into one task.
+    # The samples are small, so adaptive execution would put all trees into one task; it
+    # leaves a stated number of partitions alone.  The new column keeps Spark from taking
+    # the shuffle of the ranking, which it may shrink, for this one.
     cores = samples.sparkSession.sparkContext.defaultParallelism
+    numbered = samples.select(
+        (F.col("tree_id") + 1).alias("number"), "tree_id", "rank", schema.VECTOR
+    )
     return (
-        samples.select("tree_id", "rank", schema.VECTOR)
-        .repartition(min(trees, cores), "tree_id")
-        .groupBy("tree_id")
+        numbered.repartition(min(trees, cores), "number")
+        .groupBy("number")
         .applyInPandas(grow, NODE_SCHEMA)
     )
 

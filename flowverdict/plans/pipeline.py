@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -44,6 +45,8 @@ from flowverdict.operators.rules import (
 from flowverdict.session import tune_session
 from flowverdict.sources.catalog import Rule, default_catalog
 
+log = logging.getLogger(__name__)
+
 BATCH = "batch"
 FROZEN = "frozen"
 
@@ -131,6 +134,9 @@ def score_flows(
         if not order_by and not key:
             raise ValueError("a capped run needs order_by (or key) to say which rows come first")
         df = row_cap(rename_headers(df), cap, list(order_by or key))
+    absent = missing_features(rename_headers(df))
+    if absent and model is not None:
+        log.warning("features absent from the input count as 0: %s", ", ".join(absent))
     flows = ingest(df, cleaned, keep=list(key))
     rules = default_catalog() if rules is None else rules
 

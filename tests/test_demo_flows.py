@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from flowverdict import evaluate_rules, default_catalog, score_flows, train_model
+from flowverdict import default_catalog, evaluate_rules, score_flows
 from flowverdict.operators.features import minmax_frame, with_vector
 from flowverdict.operators.fusion import fuse, with_reasoning
 from flowverdict.operators.ingest import ingest

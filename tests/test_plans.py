@@ -5,6 +5,8 @@ import time
 from pyspark.sql import functions as F
 
 from flowverdict import score_flows
+from flowverdict.operators.forest import draw_samples, grow_forest
+from flowverdict.operators.features import with_vector
 from flowverdict.plans.reports import risk_profile
 
 
@@ -58,3 +60,26 @@ def test_filter_gives_the_right_rows(flows):
     assert scored.filter("action = 'ALERT'").count() == 857
     assert scored.filter("highest_severity = 'NONE'").count() == 21
     assert scored.agg(F.count_if("any_match")).first()[0] == 979
+
+
+def test_samples_are_cut_before_the_shuffle(flows, trained):
+    """Each map task sends at most one sample per tree, however many rows share a key."""
+    samples = draw_samples(flows, ["event_id"], 1000, 20, 64, 42)
+    plan = plan_of(samples)
+    final, exchange, partial = (plan.index(s) for s in ("64, Final", "Exchange hashpartitioning(tree_id", "64, Partial"))
+    assert final < exchange < partial
+    assert "size(" not in plan.split("Generate explode")[1].split("FileScan")[0]
+    plan = plan_of(grow_forest(with_vector(samples, trained.model.stats), 20, 42, 6))
+    # A second, tiny shuffle keeps the trees in tasks of their own.
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "REPARTITION_BY_NUM" in plan
+
+
+def test_matches_are_evaluated_once(flows):
+    """No size filter appears below the generator that lists the matches."""
+    from flowverdict import default_catalog, evaluate_rules
+    from flowverdict.operators.rules import exploded_matches
+
+    plan = plan_of(exploded_matches(evaluate_rules(flows, default_catalog()), ["event_id"]))
+    assert plan.count("__rules0") > 0
+    assert "- Filter" not in plan.split("Generate")[1]
