@@ -5,20 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowverdict.sources.scratch import scratch_folder
+from flowverdict.sources.scratch import reliable_checkpoint
 
 # Up to here the capped rows may meet in one task.
 SMALL_CAP = 100_000
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the folder the cluster names in ``spark.checkpoint.dir``."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_folder(df.sparkSession, "checkpoint"))
-    return df.checkpoint()
-
-
 def dense_index(df: DataFrame, order_by: list[str], name: str = "flow_idx") -> DataFrame:
     """Add 0, 1, 2, ... in the order of ``order_by``, which must identify each row.
 

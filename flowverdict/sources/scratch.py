@@ -1,16 +1,40 @@
-"""Folders for intermediate results that every executor can reach."""
+"""Folders and tables for intermediate results that every executor can reach."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``; local only where that is unset."""
+    """A new folder below ``spark.checkpoint.dir``.
+
+    Where that is unset, a temporary folder serves a local master; on a cluster the
+    executors could not read each other's files there, so it is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="flowverdict-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a scratch table and read back: cuts the lineage, prunes columns.
+
+    The table stays until its folder is removed, since the frame that reads it is lazy.
+    """
+    folder = scratch_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the folder the cluster names in ``spark.checkpoint.dir``."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_folder(df.sparkSession, "checkpoint"))
+    return df.checkpoint()
