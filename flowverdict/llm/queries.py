@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowverdict.llm import exact_dedup, url_rules
+from flowverdict.llm import exact_dedup, packing, url_rules
 from flowverdict.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +90,33 @@ def op9_url_rules(spark, sf_dir):
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
     judged = url_rules.filter_urls(pages, rules)
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+TOKENIZER_FILE = "byte_bpe_50k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(TOKENIZER_FILE))
+
+
+def packed_rows(docs: DataFrame) -> DataFrame:
+    """One row per piece; the ids are digested before they are placed, so they stay put."""
+    pieces = packing.tokenise(docs, tokenizer_path())
+    plan = packing.plan_packing(packing.histogram(pieces))
+    placed = packing.place(packing.with_crc32(pieces), plan, counted=pieces)
+    return placed.select(
+        F.col("key").alias("doc_id"),
+        "piece",
+        "start",
+        "length",
+        "ids_crc32",
+        "sequence_id",
+        "offset",
+    )
+
+
+@register("op6_packing")
+def op6_packing(spark, sf_dir):
+    return packed_rows(read(spark, sf_dir, "documents"))
