@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowverdict.llm import exact_dedup, packing, url_rules
+from flowverdict.llm import decontaminate, exact_dedup, licenses, packing, url_rules
+from flowverdict.llm.license_texts import LICENSE_TEXTS
 from flowverdict.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +121,18 @@ def packed_rows(docs: DataFrame) -> DataFrame:
 @register("op6_packing")
 def op6_packing(spark, sf_dir):
     return packed_rows(read(spark, sf_dir, "documents"))
+
+
+@register("op7_decontaminate")
+def op7_decontaminate(spark, sf_dir):
+    found = decontaminate.contaminated(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    )
+    return found.withColumnsRenamed({"key": "doc_id", "item": "item_id"})
+
+
+@register("op10_licenses")
+def op10_licenses(spark, sf_dir):
+    templates = spark.createDataFrame(LICENSE_TEXTS, "template_id string, text string")
+    found = licenses.scan_licenses(read(spark, sf_dir, "documents"), templates)
+    return found.withColumnsRenamed({"key": "doc_id", "template": "template_id"})

@@ -120,3 +120,31 @@ def shingle_hashes(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, n
 
 def shingles_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return shingle_hashes(*word_hashes(column))
+
+
+class HashSet:
+    """A fixed set of 64-bit hashes; most strangers are told by one table look-up."""
+
+    BITS = 20
+
+    def __init__(self, members: np.ndarray):
+        self.members = np.unique(members)
+        self.table = np.zeros(1 << self.BITS, dtype=bool)
+        self.table[self._slot(self.members)] = True
+
+    def _slot(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        found = self.table[self._slot(hashes)]
+        maybe = np.flatnonzero(found)
+        if len(maybe):
+            at = np.searchsorted(self.members, hashes[maybe])
+            at = np.minimum(at, len(self.members) - 1)
+            found[maybe] = self.members[at] == hashes[maybe]
+        return found
+
+
+def row_of(begin: np.ndarray, positions: np.ndarray) -> np.ndarray:
+    """The row that holds each shingle position."""
+    return np.searchsorted(begin, positions, side="right") - 1
