@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowverdict.llm import decontaminate, exact_dedup, licenses, packing, url_rules
+from flowverdict.llm import (
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    licenses,
+    packing,
+    url_rules,
+)
 from flowverdict.llm.license_texts import LICENSE_TEXTS
 from flowverdict.llm.tables import read
 
@@ -136,3 +143,11 @@ def op10_licenses(spark, sf_dir):
     templates = spark.createDataFrame(LICENSE_TEXTS, "template_id string, text string")
     found = licenses.scan_licenses(read(spark, sf_dir, "documents"), templates)
     return found.withColumnsRenamed({"key": "doc_id", "template": "template_id"})
+
+
+@register("op2_jaccard_join")
+def op2_jaccard_join(spark, sf_dir):
+    found = jaccard_join.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("key").alias("doc_id"), F.col("class_key").alias("class_id"), "n_links"
+    )
