@@ -13,6 +13,7 @@ from flowverdict.llm import (
     jaccard_join,
     licenses,
     packing,
+    quality,
     url_rules,
 )
 from flowverdict.llm.license_texts import LICENSE_TEXTS
@@ -151,3 +152,16 @@ def op2_jaccard_join(spark, sf_dir):
     return found.select(
         F.col("key").alias("doc_id"), F.col("class_key").alias("class_id"), "n_links"
     )
+
+
+@register("op4_quality")
+def op4_quality(spark, sf_dir):
+    judged = quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return judged.withColumnRenamed("key", "doc_id")
+
+
+@register("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
