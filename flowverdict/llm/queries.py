@@ -13,6 +13,7 @@ from flowverdict.llm import (
     exact_dedup,
     jaccard_join,
     licenses,
+    lm_scoring,
     packing,
     quality,
     url_rules,
@@ -198,6 +199,12 @@ def op3_chat_tree(spark, sf_dir):
     return chat_tree.read_back(tree)
 
 
+@register("op8_lm_scoring")
+def op8_lm_scoring(spark, sf_dir):
+    scored = lm_scoring.pseudo_likelihood(read(spark, sf_dir, "documents"))
+    return scored.withColumnRenamed("key", "doc_id")
+
+
 @register("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
