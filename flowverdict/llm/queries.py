@@ -16,8 +16,10 @@ from flowverdict.llm import (
     lm_scoring,
     packing,
     quality,
+    revisits,
     url_rules,
 )
+from flowverdict.llm.crawl import RECORDS, crawl_records
 from flowverdict.llm.license_texts import LICENSE_TEXTS
 from flowverdict.llm.tables import read
 
@@ -205,6 +207,72 @@ def op8_lm_scoring(spark, sf_dir):
     return scored.withColumnRenamed("key", "doc_id")
 
 
+@register(
+    "op1_revisits",
+    f"""
+    WITH tagged AS (
+        SELECT page_id, url, left(sha256(coalesce(html, '')), 16) AS tag,
+               length(coalesce(html, ''))::VARCHAR AS size,
+               regexp_extract(url, '^.*?://([^/?#]*)', 1, 's') AS host
+        FROM pages
+    ), records AS ({RECORDS}
+    ), cleaned AS (
+        SELECT *, status = 200 AS is_full,
+               regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path,
+               regexp_replace(lower(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's')),
+                              ':(80|443)$', '')
+               || CASE WHEN regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's') = ''
+                       THEN '/' ELSE regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's') END
+               || regexp_extract(url, '^.*?://[^?#]*(\\?[^#]*)', 1, 's') AS canonical_url
+        FROM records
+    ), latest AS (
+        SELECT *, last_value(CASE WHEN is_full THEN record_id END IGNORE NULLS) OVER (
+                   PARTITION BY canonical_url ORDER BY fetched_at, record_id
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS found_id
+        FROM cleaned
+    ), checked AS (
+        SELECT a.*, f.etag AS old_etag, f.modified AS old_modified, f.length AS old_length,
+               f.type AS old_type,
+               CASE WHEN a.is_full THEN 'full'
+                    WHEN a.kind = 'response' THEN 'other'
+                    WHEN a.found_id IS NULL THEN 'missing'
+                    WHEN a.etag IS NOT NULL AND f.etag IS NOT NULL
+                    THEN CASE WHEN regexp_replace(a.etag, '^W/', '') = f.etag
+                              THEN 'resolved' ELSE 'mismatch' END
+                    WHEN a.etag IS NULL AND a.modified IS NOT NULL AND f.modified IS NOT NULL
+                    THEN CASE WHEN a.modified = f.modified
+                              THEN 'resolved' ELSE 'mismatch' END
+                    ELSE 'unverified' END AS resolution
+        FROM latest a LEFT JOIN cleaned f ON a.found_id = f.record_id
+    ), lines AS (
+        SELECT *, resolution = 'resolved' AS merged FROM checked
+    )
+    SELECT record_id, canonical_url, resolution,
+           CASE WHEN resolution IN ('resolved', 'mismatch', 'unverified')
+                THEN found_id ELSE -1 END AS source_id,
+           sha256(concat_ws(chr(10), 'connection: close',
+               'content-length: ' || CASE WHEN merged THEN old_length ELSE length END,
+               'content-type: ' || CASE WHEN merged THEN old_type ELSE type END,
+               'date: ' || fetched_at,
+               'etag: ' || CASE WHEN merged THEN coalesce(etag, old_etag) ELSE etag END,
+               'last-modified: ' || CASE WHEN merged THEN coalesce(modified, old_modified)
+                                         ELSE modified END)) AS headers_sha256
+    FROM lines
+    """,
+)
+def op1_revisits(spark, sf_dir):
+    records = crawl_records(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    found = revisits.resolve_revisits(records)
+    return found.select(
+        "record_id",
+        "canonical_url",
+        "resolution",
+        # -1: none; keeps the column free of nulls.
+        F.coalesce("source_id", F.lit(-1)).alias("source_id"),
+        revisits.header_digest(F.col("headers")).alias("headers_sha256"),
+    )
+
+
 @register("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
