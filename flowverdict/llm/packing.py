@@ -5,8 +5,9 @@
 2. ``plan_packing`` works on the histogram of lengths alone (at most ``capacity`` numbers,
    so it fits the driver whatever the input size).  A configuration is a multiset of lengths
    that fits a sequence; the linear program asks for the fewest configurations that use up
-   the histogram.  It is solved by multiplicative weights: a length's price is its size
-   times a weight that shrinks as the length gets covered, a knapsack dynamic program finds
+   the histogram.  It is solved by multiplicative weights: a length's price is its worth
+   (size, and up to twice that for long ones, which are hard to place late) times a weight
+   that shrinks as the length gets covered, a knapsack dynamic program finds
    the most valuable configuration at these prices, and as much of it is taken as the
    remaining demand allows.  Amounts are then rounded down to whole sequences, and what
    rounding (or the last round) leaves over is packed by best fit in falling length.
@@ -164,7 +165,8 @@ def solve_fractional(demand: np.ndarray, rounds: int = ROUNDS) -> Counter:
         if (sizes * left).sum() <= ENOUGH * total:
             break
         uncovered = np.divide(left, wanted, out=np.zeros_like(left), where=wanted > 0)
-        price = np.where(left > 0, sizes * np.exp(uncovered - 1), -np.inf)
+        worth = sizes * (1 + sizes / (len(demand) - 1))
+        price = np.where(left > 0, worth * np.exp(uncovered - 1), -np.inf)
         configuration = best_configuration(price)
         parts, times = np.unique(configuration, return_counts=True)
         amount = (left[parts] / times).min()

@@ -189,7 +189,7 @@ def train_heads(
     n = len(slots)
     sizes = pc.fill_null(pc.list_value_length(slots), 0).to_numpy() if n else np.zeros(0, int)
     rows, flat = np.repeat(np.arange(n), sizes), pc.list_flatten(slots).to_numpy()
-    shapes = np.array(got["shapes"].to_pylist(), dtype=float).reshape(n, -1)
+    shapes = np.array(got["shapes"].to_pylist(), dtype=float).reshape(n, -1 if n else 0)
     heads = []
     for name, bad_value in (("quality", 0), ("toxic", 1)):
         label = np.array([-1 if v is None else v for v in got[name].to_pylist()], dtype=int)

@@ -9,8 +9,8 @@ ones the one whose text sorts last).  URLs that no rule fits get the default ver
 Everything runs on distinct (host, path) pairs, so a URL that makes up a third of the rows
 is judged once; verdicts come back by an equi-join that Spark may split.
 Null URLs and URLs without ``://`` have an empty host and path and fit no rule but one of
-empty host and path.  Repeated rows stay; other columns stay, names that clash with added
-columns are refused.  An empty rule table gives every URL the default verdict.  Two rules
+empty host and path.  Repeated rows stay; other columns stay, but columns named like an added
+one are replaced.  An empty rule table gives every URL the default verdict.  Two rules
 with one host and path but two verdicts are an error.
 """
 
@@ -81,9 +81,7 @@ def filter_urls(
     pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow"
 ) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` and ``verdict``."""
-    clash = [c for c in pages.columns if c.lower() in ADDED]
-    if clash:
-        raise ValueError(f"columns {clash} exist already")
+    pages = pages.drop(*[c for c in pages.columns if c.lower() in ADDED and c != url])
     table = rule_table(rules)
     # The distinct lengths of rule paths, not the rules: checked against a bound.
     lengths = [r[0] for r in table.select("path_length").distinct().limit(MAX_PATH_LENGTHS + 1).collect()]
