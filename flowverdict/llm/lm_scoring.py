@@ -36,7 +36,7 @@ MEMBERS = VOCABULARY // CLASSES
 UNKNOWN = 512
 SIDE, WIDTH = 3, 32
 STRIDE = 8
-BATCH, RATE = 512, 0.02
+BATCH, RATE = 256, 0.1
 SEED = 20_240_503
 BLOCK = 4096  # parameters in a row while copies are averaged
 SALTS = 16

@@ -36,9 +36,9 @@ from flowverdict.sources.scratch import stored
 SAMPLE = 16_384
 THRESHOLD = 0.5
 SLOT_BITS = 18
-LEAST_Z = 4.0
+LEAST_Z, LEAST_ROWS = 4.5, 3
 BINS = 12
-STEPS, RATE, RIDGE = 400, 0.1, 1e-4
+STEPS, RATE, RIDGE = 800, 0.1, 1e-5
 SYMBOLS = b"|$%&#*!=~^<>_{}[]@\\+"
 
 
@@ -125,7 +125,7 @@ def fit_head(rows: np.ndarray, slots: np.ndarray, shapes: np.ndarray, bad: np.nd
     share = in_all / n
     spread = np.sqrt(share * (1 - share) * (1 / n_bad + 1 / (n - n_bad))) + 1e-12
     z = (in_bad / n_bad - (in_all - in_bad) / (n - n_bad)) / spread
-    chosen = np.flatnonzero((np.abs(z) >= LEAST_Z) & (in_all >= 5))
+    chosen = np.flatnonzero((np.abs(z) >= LEAST_Z) & (in_all >= LEAST_ROWS))
     number = np.full(len(words), -1)
     number[chosen] = np.arange(len(chosen))
     use = number[slots] >= 0
