@@ -1,7 +1,7 @@
 """SQL texts for ``oracle_sql()``, written for DuckDB.
 
 The SQL states the meaning of each query directly: predicates from the condition texts,
-aggregates, recursion-free tree growing.  It shares only the catalog and the column
+aggregates, and tree growing as a recursive query.  It shares only the catalog and the column
 formulas with the Spark code.
 """
 

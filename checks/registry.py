@@ -14,14 +14,14 @@ from flowverdict.operators.features import identity_columns, minmax_frame, with_
 from flowverdict.operators.forest import scale_score
 from flowverdict.operators.fusion import FusionSettings, decision_record, fuse, fuse_each
 from flowverdict.operators.ingest import benign_only, ingest
-from flowverdict.operators.rules import evaluate_rules, rule_results
+from flowverdict.operators.rules import evaluate_rules, exploded_matches, rule_results
 from flowverdict.operators.rules_relational import matches_by_division
 from flowverdict.plans import catalog_checks, reports, results
 from flowverdict.plans.pipeline import FROZEN, score_flows, train_model
-from flowverdict.schema import FEATURES, REPORT_ROWS, VECTOR
+from flowverdict.schema import FEATURES, REPORT_ROWS, SEVERITIES, VECTOR
 from flowverdict.session import tune_session
 from flowverdict.sources import event_flows as ef
-from flowverdict.sources.catalog import catalog_frame, default_catalog
+from flowverdict.sources.catalog import Condition, Rule, catalog_frame, default_catalog
 from flowverdict.sources.flow_csv import read_flow_csv
 from flowverdict.sources.model_store import load_model, save_model
 from flowverdict.sources.scratch import scratch_folder
@@ -106,6 +106,17 @@ def row_cap_query(spark, sf_dir):
     return flows.select(*KEY, "duration", "dst_port", "label")
 
 
+@register(
+    "row_cap_lineitem",
+    """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+    ORDER BY l_orderkey, l_linenumber LIMIT 40000""",
+)
+def row_cap_lineitem(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    first = row_cap(lines, 40_000, ["l_orderkey", "l_linenumber"])
+    return first.select("l_orderkey", "l_linenumber", "l_quantity")
+
+
 @register(
     "flow_index",
     """SELECT row_number() OVER (ORDER BY ts, event_id) - 1 AS flow_idx, event_id FROM events""",
@@ -166,10 +177,10 @@ def rule_filter(spark, sf_dir):
 
 @register(
     "rule_categories",
-    f"{_CATALOG_HITS} SELECT DISTINCT category FROM listed WHERE flows > 0",
+    f"{_CATALOG_HITS} SELECT DISTINCT category FROM listed",
 )
 def rule_categories(spark, sf_dir):
-    return results.catalog_categories(_catalog_hits(spark, sf_dir).filter("flows > 0"))
+    return results.catalog_categories(_catalog_hits(spark, sf_dir))
 
 
 def _condition_rows() -> str:
@@ -292,6 +303,59 @@ def rule_hits_division(spark, sf_dir):
     return matches_by_division(full(spark, sf_dir), default_catalog(), KEY)
 
 
+@register(
+    "rule_hits_repeated_keys",
+    f"""{o.rules_prefix()} SELECT event_id // 2 AS pair, CAST(rule_idx AS INTEGER) AS rule_idx
+    FROM tested WHERE matched""",
+)
+def rule_hits_repeated_keys(spark, sf_dir):
+    """Two flows under one key count twice."""
+    flows = full(spark, sf_dir).withColumn("pair", F.floor(F.col("event_id") / 2))
+    return matches_by_division(flows, default_catalog(), ["pair"])
+
+
+_LARGE_FIELDS = ["duration", "dst_port", "pkt_count", "avg_pkt_size", "syn_flag_count"]
+_LARGE_RULES = 2_400
+
+
+def _large_catalog() -> list[Rule]:
+    """Rule i: field i mod 5, ``>=`` for even i and ``<`` for odd i, threshold 3 i."""
+    return [
+        Rule(
+            f"GEN-{i}", f"generated {i}", "Generated", SEVERITIES[i % 4], 0.5,
+            (Condition(_LARGE_FIELDS[i % 5], "<" if i % 2 else ">=", 3 * i),),
+        )
+        for i in range(_LARGE_RULES)
+    ]
+
+
+@register(
+    "large_catalog_hits",
+    f"""WITH {o.flows()}, readings AS (SELECT unnest(range(5)) AS f, unnest([
+        {", ".join(f"CAST({f} AS DOUBLE)" for f in _LARGE_FIELDS)}]) AS v FROM flows),
+    grouped AS (SELECT f, v, count(*) AS n FROM readings GROUP BY f, v),
+    rules AS (SELECT CAST(i AS INTEGER) AS rule_idx FROM (SELECT unnest(range({_LARGE_RULES})) AS i))
+    SELECT rule_idx, CAST(sum(n) AS BIGINT) AS flows FROM rules JOIN grouped ON f = rule_idx % 5
+      AND CASE WHEN rule_idx % 2 = 1 THEN v < 3 * rule_idx ELSE v >= 3 * rule_idx END
+    GROUP BY rule_idx""",
+)
+def large_catalog_hits(spark, sf_dir):
+    """A catalog beyond what is compiled."""
+    evaluated = evaluate_rules(full(spark, sf_dir), _large_catalog())
+    hits = exploded_matches(evaluated).groupBy("rule_idx")
+    return hits.agg(F.count(F.lit(1)).alias("flows"))
+
+
+@register(
+    "rule_group_hits",
+    f"""{_CATALOG_HITS} SELECT category, severity, count(*) AS rules,
+      count(*) FILTER (WHERE flows > 0) AS rules_hit, CAST(sum(flows) AS BIGINT) AS hits
+    FROM listed GROUP BY category, severity""",
+)
+def rule_group_hits(spark, sf_dir):
+    return results.group_hits(_catalog_hits(spark, sf_dir))
+
+
 def _details_sql() -> str:
     rows = []
     for *_, conditions in o.SIGNATURES:
@@ -388,6 +452,15 @@ def risk_fused(spark, sf_dir):
     return scored.select(*KEY, "rule_score", "ml_score", "risk_score", "action")
 
 
+@register(
+    "scored_filtered",
+    f"{o.decided(o.RULES_ONLY)} SELECT {_FUSION} FROM fused WHERE dst_port = 22 AND label = 'DDoS'",
+)
+def scored_filtered(spark, sf_dir):
+    scored = score_flows(full(spark, sf_dir), key=KEY, where="dst_port = 22 AND label = 'DDoS'")
+    return scored.select(*KEY, "rule_score", "ml_score", "risk_score", "action")
+
+
 @register(
     "score_scale",
     f"""WITH raw AS (SELECT event_id,
@@ -470,7 +543,7 @@ def result_cli(spark, sf_dir):
 )
 def result_cli_capped(spark, sf_dir):
     scored = score_flows(full(spark, sf_dir), key=KEY, cap=REPORT_ROWS)
-    return results.report_rows(number_rows(scored, KEY, REPORT_ROWS))
+    return results.report_rows(number_rows(scored, KEY))
 
 
 @register(
@@ -503,6 +576,23 @@ def csv_roundtrip(spark, sf_dir):
     )
 
 
+_CSV_COLUMNS = ["event_id", "duration", "protocol_type", "dst_port", "pkt_count", "label"]
+
+
+@register(
+    "csv_many_files",
+    f"WITH {o.flows('core')} SELECT {', '.join(_CSV_COLUMNS)} FROM flows",
+)
+def csv_many_files(spark, sf_dir):
+    """Files that order their columns differently, as one table."""
+    folder = scratch_folder(spark, "csv-many")
+    flows = core(spark, sf_dir)
+    for part, columns in enumerate((_CSV_COLUMNS, _CSV_COLUMNS[::-1], sorted(_CSV_COLUMNS))):
+        rows = flows.filter(F.col("event_id") % 3 == part).select(*columns)
+        write_csv(rows, f"{folder}/{part}")
+    return read_flow_csv(spark, [f"{folder}/{part}" for part in range(3)]).select(*_CSV_COLUMNS)
+
+
 # -- reports -----------------------------------------------------------------------------
 
 _SHARE = """CASE WHEN total > 0 THEN printf('%.1f%%', {0}_share_v) END AS {0}_share"""
@@ -535,6 +625,27 @@ def action_frequency(spark, sf_dir):
     return reports.action_frequency(reports.risk_profile(scored_synthetic(spark, sf_dir)))
 
 
+@register(
+    "label_actions",
+    f"{o.decided(o.SYNTHETIC)} SELECT label, action, count(*) AS flows FROM fused GROUP BY label, action",
+)
+def label_actions(spark, sf_dir):
+    return reports.label_actions(scored_synthetic(spark, sf_dir))
+
+
+@register(
+    "detection_counts",
+    f"""{o.decided(o.SYNTHETIC)}, told AS (
+      SELECT upper(label) LIKE '%BENIGN%' AS benign, action <> 'ALLOW' AS raised FROM fused)
+    SELECT count(*) FILTER (NOT benign AND raised) AS true_positives,
+      count(*) FILTER (benign AND raised) AS false_positives,
+      count(*) FILTER (NOT benign AND NOT raised) AS false_negatives,
+      count(*) FILTER (benign AND NOT raised) AS true_negatives FROM told""",
+)
+def detection_counts(spark, sf_dir):
+    return reports.detection_counts(scored_synthetic(spark, sf_dir))
+
+
 @register(
     "risk_histogram",
     f"""{o.decided(o.SYNTHETIC)},
@@ -617,6 +728,15 @@ def forest_scores(spark, sf_dir):
     )
 
 
+@register("single_flow_scores", f"{_PIPELINE} SELECT {_PIPELINE_COLUMNS} FROM fused")
+def single_flow_scores(spark, sf_dir):
+    """Flows on the path of a single flow: not cleaned, scaled by the training statistics."""
+    scored = score_flows(
+        full(spark, sf_dir), model=_trained(spark, sf_dir), stats=FROZEN, key=KEY, cleaned=False
+    )
+    return _pipeline_columns(scored)
+
+
 @register("full_pipeline", f"{_PIPELINE} SELECT {_PIPELINE_COLUMNS} FROM fused")
 def full_pipeline(spark, sf_dir):
     model = _trained(spark, sf_dir)

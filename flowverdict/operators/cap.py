@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from flowverdict.sources.scratch import reliable_checkpoint
-
-# Up to here the capped rows may meet in one task.
-SMALL_CAP = 100_000
+from flowverdict.sources.scratch import reliable_checkpoint, stored
 
 
 def dense_index(df: DataFrame, order_by: list[str], name: str = "flow_idx") -> DataFrame:
@@ -16,7 +14,8 @@ def dense_index(df: DataFrame, order_by: list[str], name: str = "flow_idx") -> D
 
     The rows are range-partitioned and sorted, so no task sees more than its share; the
     offset of each partition comes from the partition sizes.  The checkpoint fixes the
-    partition bounds, which Spark would otherwise sample anew for each job.
+    partition bounds, which Spark would otherwise sample anew for each job; it is written
+    when this function is called.
     """
     ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     ordered = reliable_checkpoint(ordered.withColumn("__id", F.monotonically_increasing_id()))
@@ -35,18 +34,52 @@ def dense_index(df: DataFrame, order_by: list[str], name: str = "flow_idx") -> D
     )
 
 
+def cut_off(df: DataFrame, n: int, order_by: list[str]) -> Row | None:
+    """The order key of the n-th row; None if there are fewer rows.
+
+    Only the keys are read and put into range partitions, unsorted.  Their counts tell the
+    partition that holds the n-th row, and only that one is ranked.
+    """
+    ranged = df.select(*order_by).repartitionByRange(*order_by)
+    ranged = stored(ranged.withColumn("__part", F.spark_partition_id()), "order-keys")
+    sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
+    # One row per partition.
+    running = F.sum("__size").over(Window.orderBy("__part"))
+    sizes = sizes.withColumn("__upto", running)
+    edge = sizes.filter(f"__upto >= {n}").orderBy("__part").first()
+    if edge is None:
+        return None
+    within = n - (edge["__upto"] - edge["__size"])
+    rank = F.row_number().over(Window.partitionBy("__part").orderBy(*order_by))
+    last = ranged.filter(F.col("__part") == edge["__part"]).withColumn("__rank", rank)
+    return last.filter(F.col("__rank") == within).select(*order_by).first()
+
+
 def row_cap(df: DataFrame, n: int | None, order_by: list[str]) -> DataFrame:
-    """The first ``n`` rows in the order of ``order_by``; all of them for ``None``."""
+    """The first ``n`` rows in the order of ``order_by``, which must identify each row; all
+    of them for ``None``.
+
+    The same plan for every ``n``: the key of the n-th row is looked up when this function
+    is called, the result is a lazy filter on it.  Nulls come first.
+    """
     if n is None:
         return df
-    if n <= SMALL_CAP:
-        return df.orderBy(*order_by).limit(n)
-    return dense_index(df, order_by, "__idx").filter(F.col("__idx") < n).drop("__idx")
+    if n <= 0:
+        return df.limit(0)
+    last = cut_off(df, n, order_by)
+    if last is None:
+        return df
+    key = df.select(*order_by).schema
+    if len(order_by) == 1 and not isinstance(key[0].dataType, T.StructType):
+        # A comparison that the scan can use.
+        column = F.col(order_by[0])
+        if last[0] is None:
+            return df.filter(column.isNull())
+        return df.filter(column.isNull() | (column <= F.lit(last[0]).cast(key[0].dataType)))
+    bound = df.sparkSession.createDataFrame([last], key).select(F.struct(*order_by)).scalar()
+    return df.filter(F.struct(*order_by) <= bound)
 
 
-def number_rows(df: DataFrame, order_by: list[str], capped_at: int | None = None) -> DataFrame:
-    """Add ``flow_idx``; a small cap allows one sort, otherwise the rows stay spread."""
-    if capped_at is not None and capped_at <= SMALL_CAP:
-        position = F.row_number().over(Window.orderBy(*order_by))
-        return df.withColumn("flow_idx", position.cast("long") - 1)
+def number_rows(df: DataFrame, order_by: list[str]) -> DataFrame:
+    """Add ``flow_idx`` (see ``dense_index``)."""
     return dense_index(df, order_by)

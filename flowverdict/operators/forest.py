@@ -25,13 +25,16 @@ cloudpickle.register_pickle_by_value(forest_kernels)
 NODE_SCHEMA = (
     "tree_id int, node_id int, depth int, feature int, threshold double, n_rows long"
 )
-# Upper bounds that keep the model (trees x (2 x rows - 1) nodes) a few megabytes: it is
-# gathered on the driver after training and travels with every scoring task.
+# Upper bounds on the model, which is gathered on the driver after training and travels
+# with every scoring task: trees x (2 x rows - 1) nodes, some 50,000 (a few megabytes) by
+# default and 2 million (tens of megabytes) at most.
 MAX_TREES = 1_000
 MAX_SAMPLE_ROWS = 1_000  # also Spark's limit for cutting a ranked group before the shuffle
 
 # Rows drawn per tree, as a multiple of the rows it needs.
 OVERDRAW = 2.0
+# The same for the second and last attempt, should a draw leave a tree short.
+REDRAW = 8.0
 
 _KEY = "__key"
 
@@ -57,7 +60,9 @@ class ForestModel:
 
 
 def _key_text(key: list[str]) -> Column:
-    return F.concat_ws("\u0001", *[F.col(k).cast("string") for k in key])
+    """The key as text; a null part differs from every other and from an absent one."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("\u0002")) for k in key]
+    return F.concat_ws("\u0001", *parts)
 
 
 def draw_samples(
@@ -113,15 +118,25 @@ def draw_samples(
     df = df.withColumn("__order", uniform(seed, "rank", F.col("tree_id"), F.col(_KEY)))
     ranking = Window.partitionBy("tree_id").orderBy("__order", _KEY)
     df = df.withColumn("rank", F.row_number().over(ranking))
-    return df.filter(F.col("rank") <= sample_rows).drop("__order", _KEY)
+    return df.filter(F.col("rank") <= sample_rows).drop("__order")
 
 
 def grow_forest(samples: DataFrame, trees: int, seed: int, limit: int) -> DataFrame:
-    """The node table; each group is one tree's sample, ``sample_rows`` rows at most."""
+    """The node table; each group is one tree's sample, ``sample_rows`` rows at most.
+
+    Rows with one key are drawn and ranked as a block, so a key that does not identify the
+    flows shows in the samples, and is an error.
+    """
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         import numpy as np
 
+        twice = int(group[_KEY].duplicated().sum())
+        if twice:
+            raise ValueError(
+                f"the key does not identify flows: {twice} of {len(group)} sampled rows of a "
+                "tree repeat the key of another; give a unique key, or none"
+            )
         group = group.sort_values("rank")
         rows = np.stack(group["features"].to_numpy())
         nodes = grow_tree(rows, int(group["tree_id"].iloc[0]), seed, limit)
@@ -133,7 +148,7 @@ def grow_forest(samples: DataFrame, trees: int, seed: int, limit: int) -> DataFr
     # the shuffle of the ranking, which it may shrink, for this one.
     cores = samples.sparkSession.sparkContext.defaultParallelism
     numbered = samples.select(
-        (F.col("tree_id") + 1).alias("number"), "tree_id", "rank", schema.VECTOR
+        (F.col("tree_id") + 1).alias("number"), "tree_id", "rank", _KEY, schema.VECTOR
     )
     return (
         numbered.repartition(min(trees, cores), "number")
@@ -166,16 +181,14 @@ def train_forest(
         raise ValueError(f"sample_rows must be between 1 and {MAX_SAMPLE_ROWS}")
     size = min(sample_rows, n_rows)
     limit = depth_limit(size)
-    overdraw = OVERDRAW
-    while True:
+    for overdraw in (OVERDRAW, REDRAW):
         samples = draw_samples(df, key, n_rows, trees, size, seed, overdraw)
         nodes = grow_forest(vector(samples), trees, seed, limit).toArrow().to_pandas()
         roots = nodes[nodes.node_id == 1]
         if len(roots) == trees and (roots.n_rows == size).all():
             break
-        if overdraw * size >= n_rows:
-            raise ValueError(f"fewer than {size} of the stated {n_rows} rows were found")
-        overdraw *= 2.0  # an unlucky draw left a tree short
+    else:
+        raise ValueError(f"no {size} rows for each tree were found among the stated {n_rows}")
     nodes = nodes.sort_values(["tree_id", "node_id"], ignore_index=True)
     return ForestModel(nodes, trees, size, seed, threshold, contamination)
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from flowverdict.functions import sqltext as sql
 from flowverdict.functions.pytext import python_text
 from flowverdict.operators.compare import STRICT, TYPED, compare_column, compare_values
+from flowverdict.operators.rules_relational import matched_by_data
 from flowverdict.schema import SEVERITIES
 from flowverdict.sources.catalog import Condition, Rule
 
@@ -24,6 +25,9 @@ MATCHED = "matched"
 # Rules per word; the sign bit stays free.
 WORD = 62
 
+# Larger catalogs are not compiled into the plan but travel as data, with the same results.
+COMPILED_RULES = 2_000
+
 Types = dict[str, T.DataType]
 
 
@@ -118,8 +122,46 @@ def summarise_matches(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.selectExpr("*", *summary_columns(rules)).drop(*words)
 
 
+def match_large(df: DataFrame, rules: list[Rule], mode: str = STRICT) -> DataFrame:
+    """Add ``matched`` for a catalog of any size."""
+    if mode == TYPED:
+        raise ValueError(f"typed comparison is for catalogs of at most {COMPILED_RULES} rules")
+    return df.withColumn(MATCHED, matched_by_data(df, rules))
+
+
+def summarise_large(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """What ``summarise_matches`` adds, looked up in the catalog as data."""
+    rank = {s: i for i, s in enumerate(SEVERITIES)}
+    table = F.expr(
+        sql.array(
+            [
+                f"struct({rank[r.severity_or_low]} AS rank, {sql.double(max(r.confidence, 0.0))} "
+                f"AS confidence, {sql.text(r.name)} AS name)"
+                for r in rules
+            ]
+        )
+    )
+    found = F.transform(F.array(table), lambda t: F.transform(MATCHED, lambda i: F.get(t, i)))[0]
+    df = df.withColumn("__found", found)
+    # SEVERITIES goes from low to high where its last entry is the highest.
+    names = F.array(*[F.lit(s) for s in SEVERITIES])
+    any_match = F.size(MATCHED) > 0
+    return df.withColumns(
+        {
+            "any_match": any_match,
+            "highest_severity": F.when(
+                any_match, F.element_at(names, F.array_max("__found.rank") + 1)
+            ).otherwise("NONE"),
+            "max_confidence": F.coalesce(F.array_max("__found.confidence"), F.lit(0.0)),
+            "rule_names": F.col("__found.name"),
+        }
+    ).drop("__found")
+
+
 def evaluate_rules(df: DataFrame, rules: list[Rule], mode: str = STRICT) -> DataFrame:
     """Add any_match, highest_severity, max_confidence, matched, rule_names."""
+    if len(rules) > COMPILED_RULES:
+        return summarise_large(match_large(df, rules, mode), rules)
     return summarise_matches(match_rules(df, rules, mode), rules)
 
 

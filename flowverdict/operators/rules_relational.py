@@ -1,10 +1,9 @@
-"""The rules as a join: a second plan for the same answer.
+"""The rules as data: a second plan for the same answer.
 
-Each flow becomes one row per field, conditions join on the field name, and a rule
-matches when all its conditions passed (relational division).  The plan's size does not
-depend on the catalog, but passed conditions are shuffled by flow, so the compiled
-projection in ``rules`` stays the default; this one checks it and serves catalogs too
-large to compile.
+The catalog is a constant array, the fields of a flow are read into another, and a rule
+matches when all its conditions hold, tested inside the row.  The plan's size does not
+depend on the catalog, nothing is shuffled and rows need no key, so this serves catalogs
+too large to compile.  The compiled projection in ``rules`` is faster and stays the default.
 """
 
 from __future__ import annotations
@@ -18,8 +17,24 @@ from flowverdict.functions.pytext import python_text
 from flowverdict.operators.compare import as_number, text_to_number
 from flowverdict.sources.catalog import Rule
 
-# Conditions are broadcast up to this many (some megabytes); beyond, Spark chooses.
-BROADCAST_CONDITIONS = 50_000
+def _condition(number: int, op: str, value: float | None, shown: str) -> str:
+    value_sql = "CAST(NULL AS DOUBLE)" if value is None else sql.double(value)
+    return f"struct({number} AS field, {sql.text(op)} AS op, {value_sql} AS value, {sql.text(shown)} AS value_text)"
+
+
+def constant_rules(rules: list[Rule], fields: list[str]) -> Column:
+    """The catalog as one array, which the optimizer folds into a literal."""
+    number = {f: i for i, f in enumerate(fields)}
+    none = f"slice({sql.array([_condition(0, '', None, '')])}, 1, 0)"
+    rows = []
+    for i, r in enumerate(rules):
+        own = [
+            _condition(number[str(c.field)], str(c.op), as_number(c.value), str(c.value).upper())
+            for c in r.conditions
+        ]
+        rows.append(f"struct({i} AS rule_idx, {sql.array(own) if own else none} AS conditions)")
+    empty = f"slice(array(struct(0 AS rule_idx, {none} AS conditions)), 1, 0)"
+    return F.expr(sql.array(rows) if rows else empty)
 
 
 def _reading(name: str, types: dict[str, T.DataType]) -> str:
@@ -33,11 +48,11 @@ def _reading(name: str, types: dict[str, T.DataType]) -> str:
             number = f"CAST({c} AS DOUBLE)"
         else:
             number = text_to_number(f"CAST({c} AS STRING)")
-    return f"struct({sql.text(name)} AS field, {number} AS actual, {shown} AS actual_text)"
+    return f"struct({number} AS actual, {shown} AS actual_text)"
 
 
-def _passed() -> Column:
-    a, v, op = F.col("actual"), F.col("value"), F.col("op")
+def _passed(reading: Column, condition: Column) -> Column:
+    a, v, op = reading["actual"], condition["value"], condition["op"]
     by_number = (
         F.when(F.isnan(a) | F.isnan(v), op == "!=")
         .when(op == ">", a > v)
@@ -49,41 +64,29 @@ def _passed() -> Column:
         .otherwise(F.lit(False))
     )
     numeric = a.isNotNull() & v.isNotNull()
-    return F.when(numeric, by_number).otherwise(F.col("actual_text") == F.col("value_text"))
+    same = reading["actual_text"] == condition["value_text"]
+    return F.coalesce(F.when(numeric, by_number).otherwise(same), F.lit(False))
 
 
-def matches_by_division(df: DataFrame, rules: list[Rule], key: list[str]) -> DataFrame:
-    """(key, rule_idx) of each match; ``key`` must identify a flow."""
+def matched_by_data(df: DataFrame, rules: list[Rule]) -> Column:
+    """The indices of the matched rules in catalog order."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    wanted = [
-        (i, len(r.conditions), str(c.field), str(c.op), as_number(c.value), str(c.value).upper())
-        for i, r in enumerate(rules)
-        for c in r.conditions
-    ]
-    fields = sorted({row[2] for row in wanted})
-    always = [i for i, r in enumerate(rules) if not r.conditions]
-
-    matches = None
-    if wanted:
-        conditions = df.sparkSession.createDataFrame(
-            wanted,
-            "rule_idx int, n_conditions int, field string, op string, value double, "
-            "value_text string",
-        )
-        if len(wanted) <= BROADCAST_CONDITIONS:
-            conditions = F.broadcast(conditions)
-        readings = df.select(
-            *key, F.explode(F.expr(sql.array([_reading(f, types) for f in fields]))).alias("r")
-        ).select(*key, "r.*")
-        passed = readings.join(conditions, "field").filter(_passed())
-        matches = (
-            passed.groupBy(*key, "rule_idx", "n_conditions")
-            .agg(F.count(F.lit(1)).alias("n_passed"))
-            .filter(F.col("n_passed") == F.col("n_conditions"))
-            .select(*key, "rule_idx")
+    fields = sorted({str(c.field) for r in rules for c in r.conditions})
+    catalog = constant_rules(rules, fields)
+    readings = F.expr(sql.array([_reading(f, types) for f in fields or [""]]))
+
+    # Bound to a variable, so the fields are read once for all conditions.
+    def matched(read: Column) -> Column:
+        held = F.filter(
+            catalog,
+            lambda r: F.forall(r["conditions"], lambda c: _passed(F.get(read, c["field"]), c)),
         )
-    if always or matches is None:
-        ids = F.array(*[F.lit(i) for i in always]) if always else F.array().cast("array<int>")
-        free = df.select(*key, F.explode(ids).alias("rule_idx"))
-        matches = free if matches is None else matches.union(free)
-    return matches
+        return F.transform(held, lambda r: r["rule_idx"])
+
+    return F.transform(F.array(readings), matched)[0]
+
+
+def matches_by_division(df: DataFrame, rules: list[Rule], key: list[str]) -> DataFrame:
+    """(key, rule_idx) of each match, once for every row."""
+    long = df.select(*key, F.explode_outer(matched_by_data(df, rules)).alias("rule_idx"))
+    return long.filter(F.col("rule_idx").isNotNull())

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowverdict import schema
@@ -38,11 +38,14 @@ from flowverdict.operators.ingest import (
     rename_headers,
 )
 from flowverdict.operators.rules import (
+    COMPILED_RULES,
+    MATCHED,
     column_types,
+    match_large,
+    summarise_large,
     summarise_matches,
     word_columns,
 )
-from flowverdict.session import tune_session
 from flowverdict.sources.catalog import Rule, default_catalog
 
 log = logging.getLogger(__name__)
@@ -75,7 +78,6 @@ def train_model(
     ``key`` identifies a flow and makes the model independent of the file layout; without
     it the position in the input is used.
     """
-    tune_session(df.sparkSession)
     renamed = rename_headers(df)
     flows = ingest(renamed, keep=list(key or ()))
     fit = flows.agg(
@@ -120,16 +122,21 @@ def score_flows(
     order_by: list[str] | None = None,
     cleaned: bool = True,
     require_model: bool = False,
+    where: str | Column | None = None,
 ) -> DataFrame:
     """Raw flows -> one scored row per flow, lazily and without a shuffle.
 
+    ``where`` chooses flows by their raw columns (after renaming); it reaches the scan, as a
+    filter on the result does not.  It comes before ``cap`` and before statistics.
+
     ``stats`` chooses the scaling of the features: ``"batch"`` fits it on the flows being
     scored (one extra aggregate over them), ``"frozen"`` takes it from the training run, a
     mapping is used as given.  Without a model the rules decide alone.
     """
     if model is None and require_model:
         raise RuntimeError("no trained model: train one or load one first")
-    tune_session(df.sparkSession)
+    if where is not None:
+        df = rename_headers(df).filter(where)
     if cap is not None:
         if not order_by and not key:
             raise ValueError("a capped run needs order_by (or key) to say which rows come first")
@@ -142,7 +149,12 @@ def score_flows(
 
     kept = [name(k) for k in key]
     kept += [f"{e} AS {n}" for n, e in identity_columns(flows).items() if n not in key]
-    kept += word_columns(column_types(flows), rules, mode)
+    compiled = len(rules) <= COMPILED_RULES
+    if compiled:
+        kept += word_columns(column_types(flows), rules, mode)
+    else:
+        flows = match_large(flows, rules, mode)
+        kept.append(MATCHED)
     if model is None:
         scored = untrained_scores(flows.selectExpr(*kept))
     else:
@@ -155,4 +167,5 @@ def score_flows(
         vector = vector_column(feature_columns(flows, bounds))
         flows = flows.selectExpr(*kept, f"{vector} AS {schema.VECTOR}")
         scored = score_forest(flows, model).drop(schema.VECTOR)
-    return fuse(summarise_matches(scored, rules), settings)
+    summarise = summarise_matches if compiled else summarise_large
+    return fuse(summarise(scored, rules), settings)

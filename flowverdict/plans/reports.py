@@ -7,7 +7,7 @@ whatever the number of flows, and the flows are scored once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowverdict.functions.rounding import round_exact
@@ -50,40 +50,52 @@ def risk_histogram(profile: DataFrame, bins: int = BINS) -> DataFrame:
     """Equal-width bins over the observed range, closed on the right, the first one also
     on the left; empty bins are kept.  A constant score widens the range by 0.1%."""
     scores = profile.groupBy("risk_score").agg(F.sum("flows").alias("flows"))
-    # The profile is small and bounded; its range joins it without a second pass.
-    everything = Window.partitionBy()
-    scores = scores.withColumns(
-        {
-            "__lo": F.min("risk_score").over(everything),
-            "__hi": F.max("risk_score").over(everything),
-        }
-    )
+    # A risk score has four decimals, so one row holds them all: some ten thousand cells.
+    whole = scores.agg(
+        F.min("risk_score").alias("lo"),
+        F.max("risk_score").alias("hi"),
+        F.collect_list(F.struct("risk_score", "flows")).alias("cells"),
+    ).filter("lo IS NOT NULL")
     margin = F.when(
-        F.col("__lo") == F.col("__hi"),
-        F.when(F.col("__lo") == 0, 0.001).otherwise(F.abs("__lo") * 0.001),
+        F.col("lo") == F.col("hi"),
+        F.when(F.col("lo") == 0, 0.001).otherwise(F.abs("lo") * 0.001),
     ).otherwise(0.0)
-    scores = scores.withColumn("__margin", margin)
-    scores = scores.withColumns(
-        {"__lo": F.col("__lo") - F.col("__margin"), "__hi": F.col("__hi") + F.col("__margin")}
-    )
-    scores = scores.withColumn("__step", (F.col("__hi") - F.col("__lo")) / bins)
+    whole = whole.select(
+        (F.col("lo") - margin).alias("lo"), (F.col("hi") + margin).alias("hi"), "cells"
+    ).withColumn("step", (F.col("hi") - F.col("lo")) / bins)
     edges = F.transform(
         F.sequence(F.lit(0), F.lit(bins)),
-        lambda i: F.when(i == bins, F.col("__hi")).otherwise(i * F.col("__step") + F.col("__lo")),
+        lambda i: F.when(i == bins, F.col("hi")).otherwise(i * F.col("step") + F.col("lo")),
+    )
+    every = whole.withColumn("edges", edges).select(
+        F.posexplode(F.slice("edges", 1, bins)).alias("at", "lower"), "edges", "cells"
+    ).withColumn("upper", F.element_at("edges", F.col("at") + 2))
+
+    def inside(cell):
+        above = (cell["risk_score"] > F.col("lower")) | (F.col("at") == 0)
+        return above & (cell["risk_score"] <= F.col("upper"))
+
+    flows = F.aggregate(
+        F.filter("cells", inside), F.lit(0).cast("long"), lambda n, cell: n + cell["flows"]
     )
-    scores = scores.withColumn("__edges", edges)
-    counted = scores.select(
-        "risk_score",
-        "flows",
-        "__edges",
-        F.posexplode(F.slice("__edges", 2, bins)).alias("__bin", "upper"),
-    ).withColumn("lower", F.element_at("__edges", F.col("__bin") + 1))
-    inside = (F.col("risk_score") > F.col("lower")) | (F.col("__bin") == 0)
-    inside = inside & (F.col("risk_score") <= F.col("upper"))
-    return (
-        counted.groupBy((F.col("__bin") + 1).alias("bin"), "lower", "upper")
-        .agg(F.coalesce(F.sum(F.when(inside, F.col("flows"))), F.lit(0)).alias("flows"))
-        .orderBy("bin")
+    return every.select(
+        (F.col("at") + 1).alias("bin"), "lower", "upper", flows.alias("flows")
+    ).orderBy("bin")
+
+
+def label_actions(scored: DataFrame) -> DataFrame:
+    """Flows per label and action."""
+    return scored.groupBy("label", "action").agg(F.count(F.lit(1)).alias("flows"))
+
+
+def detection_counts(scored: DataFrame) -> DataFrame:
+    """One row: benign and other flows, split by whether an alert or block was raised."""
+    raised, benign = F.col("action") != "ALLOW", is_benign(scored)
+    return scored.agg(
+        F.count_if(~benign & raised).alias("true_positives"),
+        F.count_if(benign & raised).alias("false_positives"),
+        F.count_if(~benign & ~raised).alias("false_negatives"),
+        F.count_if(benign & ~raised).alias("true_negatives"),
     )
 
 

@@ -115,3 +115,12 @@ def rule_hits(evaluated: DataFrame, catalog: DataFrame) -> DataFrame:
     return catalog.join(hits, "rule_idx", "left").withColumn(
         "flows", F.coalesce("flows", F.lit(0))
     )
+
+
+def group_hits(hits: DataFrame) -> DataFrame:
+    """``rule_hits`` summed up by category and severity: rules, rules_hit, hits."""
+    return filter_catalog(hits).groupBy("category", "severity").agg(
+        F.count(F.lit(1)).alias("rules"),
+        F.count_if(F.col("flows") > 0).alias("rules_hit"),
+        F.sum("flows").alias("hits"),
+    )

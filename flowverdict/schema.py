@@ -80,7 +80,6 @@ SAMPLE_ROWS = 256
 
 # Row caps of the two front ends.
 REPORT_ROWS = 500
-TABLE_ROWS = 300
 
 # Words for the presentation of an action.
 ACTION_COLORS = {"ALLOW": "green", "ALERT": "orange", "BLOCK": "red"}

@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 from flowverdict.schema import SEVERITIES
 from flowverdict.sources.signatures import SIGNATURES
 
-# A catalog is compiled into the query plan, so it has to stay small.
-MAX_CATALOG_RULES = 2_000
+# A catalog is held by the driver and travels with the plan; some tens of megabytes.
+MAX_CATALOG_RULES = 100_000
 
 
 @dataclass(frozen=True)
@@ -106,16 +106,22 @@ def rules_from_dicts(entries: Iterable[dict]) -> list[Rule]:
 
 def check_catalog(rules: list[Rule]) -> list[Rule]:
     if len(rules) > MAX_CATALOG_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MAX_CATALOG_RULES} fit in one plan")
+        raise ValueError(f"{len(rules)} rules; at most {MAX_CATALOG_RULES} are served")
     for rule in rules:
         if rule.severity_or_low not in SEVERITIES:
             raise ValueError(f"rule {rule.rule_id}: unknown severity {rule.severity!r}")
     return rules
 
 
-def load_catalog(path: str | Path) -> list[Rule]:
-    """Read a rule file holding ``rules: [...]`` (YAML, or JSON by its suffix)."""
-    text = Path(path).read_text(encoding="utf-8")
+def load_catalog(path: str | Path, spark: SparkSession | None = None) -> list[Rule]:
+    """Read a rule file holding ``rules: [...]`` (YAML, or JSON by its suffix).
+
+    With ``spark`` the path may be any that its readers open; without, a local one.
+    """
+    if spark is None:
+        text = Path(path).read_text(encoding="utf-8")
+    else:
+        text = spark.read.text(str(path), wholetext=True).first()[0]
     if str(path).endswith(".json"):
         content = json.loads(text)
     else:

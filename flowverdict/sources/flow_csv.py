@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,27 +36,70 @@ def unique_headers(headers: list[str]) -> list[str]:
     return names
 
 
+def _header_groups(
+    reader, spark: SparkSession, path: str | list[str]
+) -> list[tuple[list[str], list[str]]]:
+    """The distinct headers and the files that have them."""
+    files = spark.read.text(path).inputFiles()
+    if len(files) <= 1:
+        header = reader(header=False).csv(path).first()
+        if header is None:
+            raise ValueError(f"no header in {path}")
+        return [([h or "" for h in header], path if isinstance(path, list) else [path])]
+    # One pass over the lines; the driver gets the first line of each file.
+    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), place.alias("place")
+    )
+    found: dict[str, list[str]] = {}
+    for row in lines.groupBy("file").agg(F.min_by("value", "place").alias("line")).collect():
+        found.setdefault(row.line, []).append(unquote(row.file))
+    groups = []
+    for members in sorted(found.values(), key=min):
+        header = reader(header=False).csv(members[0]).first()
+        groups.append(([h or "" for h in header], sorted(members)))
+    if not groups:
+        raise ValueError(f"no header in {path}")
+    return groups
+
+
 def _text_frame(
     spark: SparkSession, path: str | list[str], position: bool, multi_line: bool
 ) -> tuple[DataFrame, list[str]]:
-    options = {"quote": '"', "escape": '"', "encoding": "UTF-8", "multiLine": multi_line}
-    header = spark.read.options(header=False, **options).csv(path).first()
-    if header is None:
-        raise ValueError(f"no header in {path}")
-    names = unique_headers([h or "" for h in header])
+    def reader(**more):
+        return spark.read.options(
+            quote='"', escape='"', encoding="UTF-8", multiLine=multi_line, **more
+        )
+
+    groups = [(unique_headers(h), files) for h, files in _header_groups(reader, spark, path)]
+    names = list(dict.fromkeys(n for own, _ in groups for n in own))
     # Names Spark may carry through any expression; the real ones come back at the end.
-    fields = [T.StructField(f"c{i}", T.StringType()) for i in range(len(names))]
-    df = spark.read.options(header=True, enforceSchema=True, **options).schema(
-        T.StructType(fields)
-    ).csv(path)
-    if position:
-        where = F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
+    number = {n: f"c{i}" for i, n in enumerate(names)}
+    whole = None
+    for own, files in groups:
+        fields = [T.StructField(number[n], T.StringType()) for n in own]
+        # One field more than the header has, to notice cells beyond it.
+        surplus = T.StructField("surplus", T.StringType())
+        df = reader(header=True, enforceSchema=True).schema(T.StructType([*fields, surplus]))
+        df = df.csv(files)
+        beyond = F.raise_error(F.lit(f"a row has more cells than the header of {files[0]}"))
+        df = df.filter(
+            F.when(F.col("surplus").isNull(), True).otherwise(beyond.cast("boolean"))
         )
-        df = df.select(*[f.name for f in fields], where.alias(POSITION))
-    return df, names
+        columns = [
+            F.col(c) if n in own else F.lit(None).cast("string").alias(c)
+            for n, c in number.items()
+        ]
+        if position:
+            where = F.struct(
+                F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("row"),
+            )
+            columns.append(where.alias(POSITION))
+        df = df.select(*columns)
+        whole = df if whole is None else whole.unionByName(df)
+    return whole, names
 
 
 def _present(name: str) -> Column:
@@ -106,8 +151,11 @@ def read_flow_csv(
     position: bool = False,
     multi_line: bool = False,
 ) -> DataFrame:
-    """Flow records from CSV with a header row.
+    """Flow records from CSV with a header row in each file.
 
+    Files may order their columns differently or lack some: columns are taken by name, and
+    what a file lacks is missing.  A row with more cells than its header is an error.  Quoted
+    line breaks need ``multi_line``; without it each line is a record.
     Without ``schema`` the types come from one extra pass over the data; large inputs
     should give one (fields by header name, others are read as text).  ``position`` adds
     ``flow_position``, a column to order by in file order.

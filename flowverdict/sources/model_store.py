@@ -1,8 +1,9 @@
 """Trained models as Parquet tables.
 
 ``<path>/nodes/<model_id>`` holds the trees and ``<path>/meta`` one row per saved model,
-with the training statistics.  Saving only adds files, so a reader always finds a whole
-model; loading takes the newest.
+with the training statistics.  Saving only adds files (the trees of a model that is there
+already are not written again), so a reader always finds a whole model; loading takes the
+newest, of equally new ones the one with the largest id, or the one that is asked for.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ def save_model(spark: SparkSession, model: ForestModel, path: str) -> str:
     content = model.nodes.to_csv(index=False) + repr(sorted(model.stats.items()))
     model_id = hashlib.md5(content.encode()).hexdigest()
     nodes = model.node_frame(spark).coalesce(1)
-    nodes.write.mode("overwrite").parquet(f"{path}/nodes/{model_id}")
+    nodes.write.mode("ignore").parquet(f"{path}/nodes/{model_id}")
     row = (
         model_id,
         model.trees,
@@ -54,8 +55,13 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
-def load_model(spark: SparkSession, path: str) -> ForestModel:
-    meta = _read(spark, f"{path}/meta").orderBy(F.desc("saved_at")).first()
+def load_model(spark: SparkSession, path: str, model_id: str | None = None) -> ForestModel:
+    meta = _read(spark, f"{path}/meta")
+    if model_id is not None:
+        meta = meta.filter(F.col("model_id") == model_id)
+    meta = meta.orderBy(F.desc("saved_at"), F.desc("model_id")).first()
+    if meta is None:
+        raise FileNotFoundError(f"no saved model {model_id} at {path}")
     if meta.features != FEATURES:
         raise ValueError("the saved model was trained on other features")
     if meta.trees > MAX_TREES or meta.sample_rows > MAX_SAMPLE_ROWS:

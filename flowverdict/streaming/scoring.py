@@ -41,8 +41,13 @@ def start_batch_scoring(
     options.setdefault("stats", BATCH)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        scored = prepare(score_flows(batch, model=model, **options))
-        scored.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        # The statistics and the scoring both read the batch; its source is read once.
+        batch = batch.persist()
+        try:
+            scored = prepare(score_flows(batch, model=model, **options))
+            scored.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = flows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

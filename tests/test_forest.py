@@ -162,3 +162,38 @@ def test_rules_are_independent_of_the_model(flows, trained):
     with_model = score_flows(flows, model=trained.model, key=["event_id"]).select("event_id", "matched")
     without = evaluate_rules(flows, default_catalog()).select("event_id", "matched")
     assert with_model.exceptAll(without).count() == 0
+
+
+@pytest.mark.parametrize(
+    "key", ["event_id % 50", "CAST(NULL AS BIGINT)", "IF(event_id % 5 < 3, -1, event_id)"]
+)
+def test_a_key_that_repeats_is_an_error(flows, key):
+    """50 values, null throughout, and one value for 60 % of the flows."""
+    with pytest.raises(Exception, match="does not identify flows"):
+        train_model(flows.withColumn("k", F.expr(key)), ["k"])
+
+
+def test_null_parts_of_a_key_count(spark):
+    rows = [(i if i % 2 else None, None if i % 2 else i) for i in range(400)]
+    df = spark.createDataFrame([(*r, 0.5 * n) for n, r in enumerate(rows)], "a int, b int, duration double")
+    model = train_model(df, ["a", "b"], trees=5, sample_rows=64).model
+    assert (model.nodes[model.nodes.node_id == 1].n_rows == 64).all()
+
+
+def test_rows_are_included_at_equal_rates(spark):
+    """Each row is in a tree's sample with probability 64 / 2000, independently by tree."""
+    got = draw_samples(spark.range(2000), ["id"], 2000, 200, 64, 3).toPandas()
+    counts = np.bincount(got.id, minlength=2000)
+    mean, spread = 200 * 64 / 2000, 200 * (64 / 2000) * (1 - 64 / 2000)
+    assert counts.mean() == mean
+    assert 0.85 * spread < counts.var() < 1.15 * spread
+    assert counts.max() < mean + 6 * spread**0.5
+
+
+def test_isolation_depths_have_the_expected_moments(spark):
+    """The mean depth over uniform points is near that of an unsuccessful search."""
+    df = spark.range(4000).select("id", *[F.rand(i).alias(c) for i, c in enumerate(("duration", "pkt_count", "byte_count"))])
+    model = train_model(df, ["id"], trees=60).model
+    leaves = model.nodes[model.nodes.feature < 0]
+    depth = (leaves.depth + leaves.n_rows.map(lambda n: float(kernels.mean_path(n)))) * leaves.n_rows
+    assert depth.sum() / leaves.n_rows.sum() == pytest.approx(float(kernels.mean_path(256)), rel=0.1)

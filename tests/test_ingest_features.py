@@ -1,3 +1,4 @@
+import re
 import math
 
 import numpy as np
@@ -111,14 +112,31 @@ def test_row_cap(spark):
     assert row_cap(df, 100, ["id"]).count() == 50
     assert row_cap(df, 0, ["id"]).count() == 0
     assert row_cap(df, None, ["id"]).count() == 50
-    numbered = number_rows(row_cap(df, 5, ["id"]), ["id"], 5).collect()
+    numbered = number_rows(row_cap(df, 5, ["id"]), ["id"]).collect()
     assert sorted((r.flow_idx, r.id) for r in numbered) == [(i, i) for i in range(5)]
 
 
-def test_large_cap_avoids_one_task(spark, monkeypatch):
-    monkeypatch.setattr("flowverdict.operators.cap.SMALL_CAP", 5)
-    df = spark.range(1000).repartition(7)
-    assert sorted(r.id for r in row_cap(df, 321, ["id"]).collect()) == list(range(321))
+def test_row_cap_is_the_same_filter_for_every_size(spark):
+    """No sort, no shuffle of the rows and no limit: a filter on the key of the last row."""
+    df = spark.range(600_000).withColumn("x", F.col("id") % 7).repartition(7)
+    plans = set()
+    for n in (3, 321, 300_000):
+        capped = row_cap(df, n, ["id"])
+        assert capped.agg(F.count("*"), F.max("id")).first() == (n, n - 1)
+        plan = capped._jdf.queryExecution().optimizedPlan().toString()
+        assert "Limit" not in plan and "Sort" not in plan
+        plans.add(plan.replace(str(n - 1), "LAST"))
+    assert len({re.sub(r"#\d+", "", p) for p in plans}) == 1
+
+
+def test_row_cap_by_several_columns_with_nulls(spark):
+    rows = [(None, 2), (None, 1), (1, None), (1, 5), (2, 0), (0, 9)]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(3)
+    in_order = sorted(rows, key=lambda r: [(v is not None, v or 0) for v in r])
+    for n in range(1, 8):
+        got = [tuple(r) for r in row_cap(df, n, ["a", "b"]).collect()]
+        assert sorted(map(str, got)) == sorted(map(str, in_order[:n]))
+    assert row_cap(df.select("a").limit(1), 1, ["a"]).count() == 1
 
 
 def test_dense_index_with_one_hot_value(spark):

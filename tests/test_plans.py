@@ -1,7 +1,5 @@
 """Shapes of the physical plans."""
 
-import time
-
 from pyspark.sql import functions as F
 
 from flowverdict import score_flows
@@ -40,14 +38,13 @@ def test_rules_run_before_the_model(flows, trained):
     assert "__rules0" in lines[walk + 1] and "http_method" not in lines[walk].split("walk(")[0]
 
 
-def test_filters_on_results_plan_quickly(flows, trained):
+def test_filters_on_results_do_not_copy_the_model(flows, trained):
     scored = score_flows(flows, key=["event_id"], model=trained.model, stats="frozen")
-    start = time.time()
     for condition in ("action = 'BLOCK'", "risk_score > 0.9", "rule_score > 0.5", "ml_score > 0.9",
                       "any_match AND highest_severity = 'HIGH'", "anomaly_score > 0.9"):
         plan = plan_of(scored.filter(condition))
         assert plan.count("ArrowEvalPython") == 1
-    assert time.time() - start < 60
+        assert len(plan) < 300_000
 
 
 def test_profile_scores_once(flows, trained):
@@ -83,3 +80,34 @@ def test_matches_are_evaluated_once(flows):
     plan = plan_of(exploded_matches(evaluate_rules(flows, default_catalog()), ["event_id"]))
     assert plan.count("__rules0") > 0
     assert "- Filter" not in plan.split("Generate")[1]
+
+
+def test_where_reaches_the_scan(spark, flows, trained, tmp_path):
+    days = flows.withColumn("day", F.col("event_id") % 5)
+    days.write.partitionBy("day").parquet(str(tmp_path / "flows"))
+    table = spark.read.parquet(str(tmp_path / "flows"))
+    for options in ({}, {"model": trained.model, "stats": "frozen"}, {"model": trained.model}):
+        scored = score_flows(table, key=["event_id", "day"], where="day = 3 AND dst_port = 22", **options)
+        plan = plan_of(scored)
+        scans = [line for line in plan.splitlines() if "PartitionFilters" in line]
+        assert scans and all("(day#" in s.split("PartitionFilters")[1] for s in scans)
+        assert all("EqualTo(dst_port,22)" in s for s in scans)
+        want = flows.filter("event_id % 5 = 3 AND dst_port = 22").count()
+        assert scored.count() == want > 0
+
+
+def test_rules_as_data_do_not_shuffle(flows):
+    from flowverdict import default_catalog
+    from flowverdict.operators.rules_relational import matches_by_division
+
+    plan = plan_of(matches_by_division(flows, default_catalog(), ["event_id"]))
+    main = plan.split("Subquery")[0]
+    assert "Exchange" not in main and "Join" not in plan
+
+
+def test_histogram_scores_once(flows, trained):
+    from flowverdict.plans.reports import risk_histogram
+
+    scored = score_flows(flows, key=["event_id"], model=trained.model, stats="frozen")
+    plan = plan_of(risk_histogram(risk_profile(scored)))
+    assert "Window" not in plan

@@ -148,3 +148,56 @@ def test_csv_to_result(spark, csv_path):
     assert len(rows) == 3
     # The label column is absent, so every flow is UNKNOWN.
     assert {r.label for r in rows} == {"UNKNOWN"}
+
+
+def test_files_with_different_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Destination Port,Protocol,Label\n443,6,x\n80,17,\n")
+    (tmp_path / "b c.csv").write_text("Protocol,Destination Port,Extra\n6,22,7\n")
+    df = read_flow_csv(spark, str(tmp_path))
+    assert df.columns == ["Destination Port", "Protocol", "Label", "Extra"]
+    rows = {tuple(r) for r in df.collect()}
+    assert rows == {(443, 6, "x", None), (80, 17, None, None), (22, 6, None, 7.0)}
+    assert read_flow_csv(spark, str(tmp_path), position=True).count() == 3
+
+
+@pytest.mark.parametrize("files", [["a"], ["a", "b"]])
+def test_surplus_cells_are_an_error(spark, tmp_path, files):
+    for name in files:
+        (tmp_path / f"{name}.csv").write_text("p,q\n1,2\n3,4,5\n6\n")
+    with pytest.raises(Exception, match="more cells than the header"):
+        read_flow_csv(spark, str(tmp_path)).collect()
+    with pytest.raises(Exception, match="more cells than the header"):
+        read_flow_csv(spark, str(tmp_path), schema=T.StructType()).select("q").collect()
+
+
+def test_detection_counts(spark):
+    rows = [("BENIGN", "ALLOW"), ("benign", "BLOCK"), ("DDoS", "ALERT"), (None, "ALLOW"), ("x", "BLOCK")]
+    scored = spark.createDataFrame(rows, "label string, action string")
+    assert tuple(reports.detection_counts(scored).first()) == (2, 1, 1, 1)
+    assert reports.label_actions(scored).count() == 5
+
+
+def test_saved_models_are_chosen_by_id(spark, trained, tmp_path):
+    from dataclasses import replace
+
+    from flowverdict.sources.model_store import load_model, save_model
+
+    path = str(tmp_path / "models")
+    first = save_model(spark, trained.model, path)
+    assert save_model(spark, trained.model, path) == first
+    other = replace(trained.model, nodes=trained.model.nodes.assign(threshold=0.0))
+    assert save_model(spark, other, path) != first
+    assert load_model(spark, path, first).nodes.equals(trained.model.nodes)
+    assert (load_model(spark, path).nodes.threshold == 0).all()
+    with pytest.raises(FileNotFoundError):
+        load_model(spark, path, "none")
+
+
+def test_catalog_through_the_readers_of_spark(spark, tmp_path):
+    import json
+
+    from flowverdict.sources.catalog import load_catalog
+
+    file = tmp_path / "rules.json"
+    file.write_text(json.dumps({"rules": [{"id": "A", "conditions": [{"field": "x", "op": ">", "value": 1}]}]}))
+    assert load_catalog(f"file://{file}", spark) == load_catalog(file)

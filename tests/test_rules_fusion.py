@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from flowverdict import FusionSettings, default_catalog, evaluate_rules, score_flows
 from flowverdict.functions.pytext import python_text
 from flowverdict.functions.rounding import round_exact
+from flowverdict.operators.compare import TYPED
 from flowverdict.operators.fusion import fuse
 from flowverdict.operators.rules import exploded_matches, rule_results
 from flowverdict.operators.rules_relational import matches_by_division
@@ -114,6 +115,28 @@ def test_two_plans_agree(spark, flows):
     assert compiled.exceptAll(divided).count() == 0 and divided.exceptAll(compiled).count() == 0
 
 
+def test_rules_as_data_keep_repeated_rows(spark, flows):
+    rules = default_catalog()
+    twice = flows.limit(50).union(flows.limit(50))
+    compiled = exploded_matches(evaluate_rules(twice, rules), ["event_id"])
+    divided = matches_by_division(twice, rules, ["event_id"])
+    assert compiled.exceptAll(divided).count() == 0 and divided.exceptAll(compiled).count() == 0
+    assert divided.count() == 2 * divided.distinct().count()
+
+
+def test_large_catalogs_give_the_same_results(spark, flows, monkeypatch):
+    few = evaluate_rules(flows, default_catalog())
+    scored = score_flows(flows, key=["event_id"])
+    monkeypatch.setattr("flowverdict.operators.rules.COMPILED_RULES", 10)
+    monkeypatch.setattr("flowverdict.plans.pipeline.COMPILED_RULES", 10)
+    names = ["event_id", "any_match", "highest_severity", "max_confidence", "matched", "rule_names"]
+    many = evaluate_rules(flows, default_catalog())
+    assert many.select(names).exceptAll(few.select(names)).count() == 0
+    assert score_flows(flows, key=["event_id"]).select(scored.columns).exceptAll(scored).count() == 0
+    with pytest.raises(ValueError):
+        evaluate_rules(flows, default_catalog(), TYPED)
+
+
 def test_details(spark):
     rules = [Rule(conditions=(Condition("d", ">", 5), Condition("b", "==", True), Condition("s", "==", "x"),
                               Condition("gone", "==", 0)))]
