@@ -281,13 +281,20 @@ def exact_links(
     return out
 
 
+def distinct_shingles(texts: pa.Array) -> list[np.ndarray]:
+    """The sorted distinct shingles of each text."""
+    out = []
+    for low, high in text_chunks(texts):
+        hashes, begin = shingles_of(texts.slice(low, high - low))
+        out += [np.unique(hashes[x:y]) for x, y in zip(begin[:-1], begin[1:], strict=True)]
+    return out
+
+
 def _verified(least: np.ndarray, threshold: float):
     def run(batches):
         for table in whole_groups(batches, "pair", least_rows=512):
             starts, sizes, side, values = _arrays(table)
-            texts = table["text"].combine_chunks()
-            hashes, begin = shingles_of(texts)
-            own = [np.unique(hashes[x:y]) for x, y in zip(begin[:-1], begin[1:], strict=True)]
+            own = distinct_shingles(table["text"].combine_chunks())
             links = np.zeros(len(values), dtype=np.int64)
             kept = [(np.zeros(0, np.int64),) * 2]
             for a, b in group_pairs(starts, sizes, side):

@@ -92,10 +92,20 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the rows, and for each row where its words begin (n + 1)."""
     data, offsets = lower_bytes(column)
     starts, ends = word_spans(data, offsets)
-    up, down = _Powers.upto(len(data) + 1)
-    running = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=running[1:])
-    hashes = (running[ends] - running[starts]) * down[starts]
+    hashes = np.empty(len(starts), dtype=np.uint64)
+    low = 0
+    while low < len(starts):
+        # A block of whole words, so that 64-bit copies of the bytes stay small.
+        base = starts[low]
+        high = max(low + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, side="right")))
+        block = data[base : ends[high - 1]].astype(np.uint64) + np.uint64(1)
+        up, down = _Powers.upto(len(block) + 1)
+        block *= up[: len(block)]
+        running = np.zeros(len(block) + 1, dtype=np.uint64)
+        np.cumsum(block, out=running[1:])
+        begin, end = starts[low:high] - base, ends[low:high] - base
+        hashes[low:high] = (running[end] - running[begin]) * down[begin]
+        low = high
     hashes += (ends - starts).astype(np.uint64)
     return mix(hashes), np.searchsorted(starts, offsets)
 
