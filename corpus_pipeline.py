@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowverdict.llm import decontaminate, exact_dedup, jaccard_join, quality
 from flowverdict.llm.queries import packed_rows
-from flowverdict.llm.tables import read
+from flowverdict.llm.tables import bounded_batches, read
 from flowverdict.sources.scratch import stored
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject as low quality or toxic."""
+    bounded_batches(spark)
     return quality.keep_good(docs, read(spark, sf_dir, "labels"))
 
 
@@ -27,16 +28,19 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each near-duplicate class the document with the least id."""
+    bounded_batches(spark)
     return jaccard_join.keep_one_of_each(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    bounded_batches(spark)
     return decontaminate.remove_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their place in the training sequences."""
+    bounded_batches(spark)
     return packed_rows(docs)
 
 

@@ -21,7 +21,7 @@ from flowverdict.llm import (
 )
 from flowverdict.llm.crawl import RECORDS, crawl_records
 from flowverdict.llm.license_texts import LICENSE_TEXTS
-from flowverdict.llm.tables import read
+from flowverdict.llm.tables import bounded_batches, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_QUERIES: dict[str, Query] = {}
@@ -30,7 +30,7 @@ LLM_ORACLES: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def add(query: Query) -> Query:
-        LLM_QUERIES[name] = query
+        LLM_QUERIES[name] = lambda spark, sf_dir: query(bounded_batches(spark), sf_dir)
         if sql is not None:
             LLM_ORACLES[name] = sql
         return query

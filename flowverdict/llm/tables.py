@@ -13,6 +13,21 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 
+# Texts reach Python in batches of some megabytes, so a worker's memory does not depend on
+# how long ten thousand texts happen to be.
+BATCH_SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+}
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Apply the settings; queries and pipeline stages start with this, operators do not."""
+    for name, value in BATCH_SETTINGS.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -31,12 +46,16 @@ def whole_groups(
 ) -> Iterator[pa.Table]:
     """Tables that end where a group ends, from batches sorted by the column ``key``.
 
-    Memory holds one batch and one group; callers bound the size of a group.
+    A table has ``least_rows`` rows and what its last group needs beyond; callers bound the
+    size of a group.
     """
     held = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    slices = (
+        batch.slice(at, least_rows)
+        for batch in batches
+        for at in range(0, batch.num_rows, least_rows)
+    )
+    for batch in slices:
         table = pa.Table.from_batches([batch])
         held = table if held is None else pa.concat_tables([held, table])
         if held.num_rows < least_rows:
