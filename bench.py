@@ -2,6 +2,8 @@
 
 Each query is planned and run completely into a sink that discards the rows.  The first
 run warms the JVM and the Python workers up; the better of the two following runs counts.
+The queries named ``_10x`` read the events ten times over, in 16 files written beforehand:
+the table itself is one file with one row group, which one core scans.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from checks.session import local_session  # noqa: E402
 from flowverdict import (  # noqa: E402
     default_catalog,
@@ -27,8 +31,21 @@ from flowverdict.operators.ingest import ingest  # noqa: E402
 from flowverdict.plans import reports, results  # noqa: E402
 from flowverdict.sources import event_flows as ef  # noqa: E402
 from flowverdict.sources.catalog import catalog_frame  # noqa: E402
+from flowverdict.sources.scratch import scratch_folder  # noqa: E402
 
 RUNS = 3
+COPIES, FILES = 10, 16
+
+
+def copied_events(spark, sf_dir: str) -> str:
+    """A folder with the events ``COPIES`` times over, under new ids."""
+    folder = scratch_folder(spark, "bench")
+    events = ef.read_events(spark, sf_dir)
+    n = events.count()
+    copies = events.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
+    copies = copies.withColumn(ef.KEY, F.col(ef.KEY) + F.col("copy") * n).drop("copy")
+    copies.repartition(FILES).write.parquet(f"{folder}/events.parquet")
+    return folder
 
 
 def discard(df) -> None:
@@ -41,13 +58,15 @@ def main() -> None:
     rules = default_catalog()
     key = [ef.KEY]
 
-    def flows():
-        return ef.flows_from_events(ef.read_events(spark, sf_dir))
+    def flows(folder=sf_dir):
+        return ef.flows_from_events(ef.read_events(spark, folder))
 
     model = train_model(flows(), key).model
 
-    def scored(**options):
-        return score_flows(flows(), rules, key=key, **options)
+    many = copied_events(spark, sf_dir)
+
+    def scored(folder=sf_dir, **options):
+        return score_flows(flows(folder), rules, key=key, **options)
 
     def profile(**options):
         return reports.risk_profile(scored(**options))
@@ -65,6 +84,10 @@ def main() -> None:
         "action_totals": lambda: discard(reports.action_totals(profile(model=model))),
         "risk_histogram": lambda: discard(reports.risk_histogram(profile(model=model))),
         "train": lambda: train_model(flows(), key),
+        "score_rules_10x": lambda: discard(scored(many)),
+        "score_frozen_10x": lambda: discard(scored(many, model=model, stats="frozen")),
+        "score_batch_10x": lambda: discard(scored(many, model=model)),
+        "train_10x": lambda: train_model(flows(many), key),
     }
     seconds = {}
     for name, query in queries.items():
@@ -85,8 +108,9 @@ def main() -> None:
                 "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
                 "flows": n_flows,
                 "flows_per_sec": {
-                    name: round(n_flows / seconds[name])
+                    name + suffix: round(n_flows * times / seconds[name + suffix])
                     for name in ("score_rules", "score_frozen", "score_batch")
+                    for suffix, times in (("", 1), ("_10x", COPIES))
                 },
             }
         )

@@ -7,12 +7,20 @@ formulas with the Spark code.
 
 from __future__ import annotations
 
+import json
 import math
 
 from flowverdict.schema import FEATURES, KNOWN_PROTOCOLS, SCALED_FEATURES
 from flowverdict.sources.event_flows import CORE_COLUMNS, FLAGS, LABELS, PICKED
-from flowverdict.sources.signatures import SIGNATURES
+from flowverdict.sources.signatures import SIGNATURE_FILE
 
+SIGNATURES = [
+    (
+        r["id"], r["name"], r["category"], r["severity"], r["confidence"],
+        [(c["field"], c["op"], c["value"]) for c in r["conditions"]],
+    )
+    for r in json.loads(SIGNATURE_FILE.read_text(encoding="utf-8"))["rules"]
+]
 SQL_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
 SEVERITY_RANK = "CASE severity WHEN 'LOW' THEN 1 WHEN 'MEDIUM' THEN 2 WHEN 'HIGH' THEN 3 ELSE 4 END"
 RANK_NAME = (

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import cache
 from pathlib import Path
 from typing import Any
 
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from flowverdict.schema import SEVERITIES
-from flowverdict.sources.signatures import SIGNATURES
+from flowverdict.sources.signatures import SIGNATURE_FILE
 
 # A catalog is held by the driver and travels with the plan; some tens of megabytes.
 MAX_CATALOG_RULES = 100_000
@@ -77,11 +78,12 @@ CATALOG_SCHEMA = T.StructType(
 
 
 def default_catalog() -> list[Rule]:
-    return [
-        Rule(rule_id, name, category, severity, confidence,
-             tuple(Condition(*c) for c in conditions))
-        for rule_id, name, category, severity, confidence, conditions in SIGNATURES
-    ]
+    return list(_shipped())
+
+
+@cache
+def _shipped() -> tuple[Rule, ...]:
+    return tuple(load_catalog(SIGNATURE_FILE))
 
 
 def rules_from_dicts(entries: Iterable[dict]) -> list[Rule]:

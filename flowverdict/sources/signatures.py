@@ -1,149 +1,9 @@
-"""The shipped signature catalog."""
+"""The shipped signature catalog: a rule file like any other.
 
-# Identifiers, names, categories, severities, confidences and conditions
-# decide the results and must stay exactly as they are, in this order.
-# Each entry: id, name, category, severity, confidence, conditions (all must hold).
-SIGNATURES = [
-    # Network anomalies
-    ("NET-001", "Unusual Port Traffic", "Anomaly", "LOW", 0.60,
-     [("dst_port", ">", 49152), ("pkt_count", ">", 50)]),
-    ("NET-002", "High Byte Transfer Rate", "Anomaly", "MEDIUM", 0.70,
-     [("flow_bytes_per_sec", ">", 10000000), ("duration", ">", 60)]),
-    ("NET-003", "Long Duration Connection", "Anomaly", "LOW", 0.65,
-     [("duration", ">", 3600000), ("byte_count", "<", 1000)]),
-    ("NET-004", "Tiny Packet Flood", "DoS", "MEDIUM", 0.75,
-     [("avg_pkt_size", "<", 100), ("pkt_count", ">", 500), ("flow_pkts_per_sec", ">", 200)]),
-    ("NET-005", "Asymmetric Traffic Pattern", "Anomaly", "MEDIUM", 0.72,
-     [("fwd_pkt_count", ">", 100), ("bwd_pkt_count", "<", 5), ("duration", ">", 1000)]),
-    # Protocol flag anomalies
-    ("PROTO-001", "TCP Flag Combination Anomaly (SYN+FIN)", "Anomaly", "HIGH", 0.88,
-     [("syn_flag_count", ">", 0), ("fin_flag_count", ">", 0), ("protocol_type", "==", 6)]),
-    ("PROTO-002", "TCP Flag Combination Anomaly (SYN+RST)", "Anomaly", "HIGH", 0.88,
-     [("syn_flag_count", ">", 0), ("rst_flag_count", ">", 0), ("protocol_type", "==", 6)]),
-    ("PROTO-003", "TCP Flag Combination Anomaly (FIN+RST)", "Anomaly", "MEDIUM", 0.82,
-     [("fin_flag_count", ">", 0), ("rst_flag_count", ">", 0), ("protocol_type", "==", 6)]),
-    ("PROTO-004", "TCP NULL Scan (No Flags Set)", "Probe", "MEDIUM", 0.85,
-     [("syn_flag_count", "==", 0), ("ack_flag_count", "==", 0), ("fin_flag_count", "==", 0),
-      ("rst_flag_count", "==", 0), ("psh_flag_count", "==", 0), ("urg_flag_count", "==", 0),
-      ("protocol_type", "==", 6)]),
-    ("PROTO-005", "TCP XMAS Scan (FIN+PSH+URG)", "Probe", "MEDIUM", 0.85,
-     [("fin_flag_count", ">", 0), ("psh_flag_count", ">", 0), ("urg_flag_count", ">", 0),
-      ("syn_flag_count", "==", 0), ("protocol_type", "==", 6)]),
-    ("PROTO-006", "ACK Scan", "Probe", "MEDIUM", 0.80,
-     [("ack_flag_count", ">", 5), ("syn_flag_count", "==", 0), ("fin_flag_count", "==", 0),
-      ("protocol_type", "==", 6)]),
-    ("PROTO-007", "Invalid TCP Window Size", "Anomaly", "LOW", 0.68,
-     [("window_size", "==", 0), ("syn_flag_count", "==", 0), ("protocol_type", "==", 6)]),
-    # Open redirect
-    ("REDIRECT-001", "Open Redirect via URL Parameter", "Injection", "MEDIUM", 0.82,
-     [("url_param_redirect", "==", True), ("redirect_external", "==", True)]),
-    ("REDIRECT-002", "Open Redirect with Encoded URL", "Injection", "MEDIUM", 0.80,
-     [("encoded_redirect", "==", True), ("redirect_external", "==", True)]),
-    # Denial of service
-    ("DOS-001", "High Volume SYN Flood", "DoS", "CRITICAL", 0.95,
-     [("syn_flag_count", ">", 100), ("ack_flag_count", "<", 5), ("flow_pkts_per_sec", ">", 1000)]),
-    ("DOS-002", "UDP Flood", "DoS", "HIGH", 0.88,
-     [("protocol_type", "==", 17), ("flow_pkts_per_sec", ">", 500), ("byte_count", ">", 100000)]),
-    ("DOS-003", "ICMP Flood (Ping Flood)", "DoS", "HIGH", 0.90,
-     [("protocol_type", "==", 1), ("pkt_count", ">", 200), ("flow_pkts_per_sec", ">", 300)]),
-    # Probing
-    ("PROBE-001", "Port Scan (Low Duration, Many Packets)", "Probe", "MEDIUM", 0.82,
-     [("duration", "<", 500), ("pkt_count", ">", 20), ("syn_flag_count", ">", 10),
-      ("ack_flag_count", "<", 3)]),
-    ("PROBE-002", "Stealth Scan (FIN/NULL/XMAS)", "Probe", "HIGH", 0.85,
-     [("fin_flag_count", ">", 5), ("syn_flag_count", "<", 2), ("ack_flag_count", "<", 2)]),
-    ("PROBE-003", "Service Version Scan", "Probe", "LOW", 0.70,
-     [("pkt_count", ">", 10), ("byte_count", "<", 500), ("duration", "<", 200)]),
-    # Brute force
-    ("BRUTE-001", "SSH Brute Force", "Brute-Force", "HIGH", 0.87,
-     [("dst_port", "==", 22), ("pkt_count", ">", 50), ("flow_pkts_per_sec", ">", 10)]),
-    ("BRUTE-002", "FTP Brute Force", "Brute-Force", "HIGH", 0.85,
-     [("dst_port", "==", 21), ("pkt_count", ">", 30), ("rst_flag_count", ">", 5)]),
-    ("BRUTE-003", "HTTP Brute Force (Login)", "Brute-Force", "MEDIUM", 0.78,
-     [("dst_port", "==", 80), ("pkt_count", ">", 100), ("flow_bytes_per_sec", "<", 1000)]),
-    # Suspicious flags
-    ("MISC-001", "URG Flag Anomaly", "Misc", "MEDIUM", 0.72,
-     [("urg_flag_count", ">", 10)]),
-    ("MISC-002", "RST Storm", "Misc", "MEDIUM", 0.76,
-     [("rst_flag_count", ">", 50), ("flow_pkts_per_sec", ">", 100)]),
-    # Cross-site scripting
-    ("XSS-001", "Reflected XSS via Query Parameter", "Injection", "HIGH", 0.91,
-     [("url_param_xss", "==", True), ("http_method", "==", "GET")]),
-    ("XSS-002", "Stored XSS via POST Body", "Injection", "HIGH", 0.90,
-     [("post_body_xss", "==", True), ("http_method", "==", "POST")]),
-    ("XSS-003", "DOM-Based XSS Attempt", "Injection", "HIGH", 0.85,
-     [("url_fragment_xss", "==", True), ("http_method", "==", "GET")]),
-    ("XSS-004", "XSS via HTTP Header", "Injection", "HIGH", 0.88,
-     [("any_header_xss", "==", True), ("http_method", "!=", "")]),
-    ("XSS-005", "Unicode Encoding XSS Bypass", "Injection", "MEDIUM", 0.80,
-     [("unicode_xss_payload", "==", True), ("http_method", "!=", "")]),
-    ("XSS-006", "XSS with Event Handler", "Injection", "HIGH", 0.89,
-     [("event_handler_xss", "==", True), ("http_method", "!=", "")]),
-    # SQL injection
-    ("SQLI-001", "SQL Injection via Query Parameter", "Injection", "CRITICAL", 0.95,
-     [("url_param_sqli", "==", True), ("http_method", "==", "GET")]),
-    ("SQLI-002", "SQL Injection via POST Body", "Injection", "CRITICAL", 0.94,
-     [("post_body_sqli", "==", True), ("http_method", "==", "POST")]),
-    ("SQLI-003", "Blind SQL Injection Attempt", "Injection", "HIGH", 0.88,
-     [("blind_sqli_pattern", "==", True), ("http_method", "!=", "")]),
-    ("SQLI-004", "Union-Based SQL Injection", "Injection", "CRITICAL", 0.93,
-     [("union_sqli_pattern", "==", True), ("http_method", "!=", "")]),
-    ("SQLI-005", "Time-Based Blind SQL Injection", "Injection", "HIGH", 0.86,
-     [("time_sqli_pattern", "==", True), ("response_time_abnormal", "==", True)]),
-    ("SQLI-006", "Error-Based SQL Injection", "Injection", "HIGH", 0.89,
-     [("error_sqli_pattern", "==", True), ("http_response_code", "==", 500)]),
-    # Command injection
-    ("CMDI-001", "OS Command Injection via Query Parameter", "Injection", "CRITICAL", 0.95,
-     [("url_param_cmdi", "==", True), ("http_method", "==", "GET")]),
-    ("CMDI-002", "OS Command Injection via POST Body", "Injection", "CRITICAL", 0.94,
-     [("post_body_cmdi", "==", True), ("http_method", "==", "POST")]),
-    ("CMDI-003", "Shell Metacharacter Injection", "Injection", "HIGH", 0.88,
-     [("shell_metachar_pattern", "==", True), ("http_method", "!=", "")]),
-    ("CMDI-004", "Blind Command Injection (Time-Based)", "Injection", "HIGH", 0.85,
-     [("blind_cmdi_pattern", "==", True), ("response_time_abnormal", "==", True)]),
-    # Path traversal and local file inclusion
-    ("LFI-001", "Path Traversal via URL Parameter", "Injection", "HIGH", 0.92,
-     [("path_traversal_pattern", "==", True), ("http_method", "==", "GET")]),
-    ("LFI-002", "Local File Inclusion via POST", "Injection", "HIGH", 0.90,
-     [("lfi_pattern", "==", True), ("http_method", "==", "POST")]),
-    ("LFI-003", "Null Byte Injection in File Path", "Injection", "HIGH", 0.88,
-     [("null_byte_pattern", "==", True), ("http_method", "!=", "")]),
-    ("LFI-004", "Double URL-Encoded Path Traversal", "Injection", "HIGH", 0.87,
-     [("double_encoded_traversal", "==", True), ("http_method", "!=", "")]),
-    # Server-side request forgery
-    ("SSRF-001", "SSRF via URL Parameter (Internal IP)", "Injection", "CRITICAL", 0.93,
-     [("ssrf_internal_ip", "==", True), ("http_method", "!=", "")]),
-    ("SSRF-002", "SSRF via Cloud Metadata Endpoint", "Injection", "CRITICAL", 0.97,
-     [("ssrf_metadata_endpoint", "==", True), ("http_method", "!=", "")]),
-    ("SSRF-003", "SSRF via DNS Rebinding", "Injection", "HIGH", 0.85,
-     [("ssrf_dns_rebind", "==", True), ("redirect_external", "==", True)]),
-    ("SSRF-004", "SSRF via Localhost / Loopback Reference", "Injection", "CRITICAL", 0.95,
-     [("ssrf_loopback_ref", "==", True), ("http_method", "!=", "")]),
-    # HTTP abuse
-    ("HTTP-ABUSE-001", "Suspicious HTTP Method (TRACE/TRACK)", "Anomaly", "MEDIUM", 0.82,
-     [("http_method_trace", "==", True)]),
-    ("HTTP-ABUSE-002", "HTTP CONNECT Tunnelling Attempt", "Anomaly", "HIGH", 0.88,
-     [("http_method_connect", "==", True), ("dst_port", "!=", 443)]),
-    ("HTTP-ABUSE-003", "Oversized HTTP Header", "Anomaly", "MEDIUM", 0.78,
-     [("http_header_size", ">", 8192), ("http_method", "!=", "")]),
-    ("HTTP-ABUSE-004", "HTTP Request Smuggling Attempt", "Anomaly", "CRITICAL", 0.90,
-     [("transfer_encoding_anomaly", "==", True), ("content_length_anomaly", "==", True)]),
-    # Exfiltration
-    ("EXFIL-001", "Large Outbound Data Transfer", "Exfiltration", "HIGH", 0.85,
-     [("bwd_byte_count", ">", 5000000), ("duration", ">", 30000)]),
-    ("EXFIL-002", "DNS Tunnelling (High Query Volume)", "Exfiltration", "HIGH", 0.88,
-     [("dst_port", "==", 53), ("pkt_count", ">", 300), ("avg_pkt_size", ">", 200)]),
-    ("EXFIL-003", "Repeated Outbound HTTPS to Rare Destination", "Exfiltration", "MEDIUM", 0.76,
-     [("dst_port", "==", 443), ("rare_destination", "==", True), ("bwd_byte_count", ">", 1000000)]),
-    ("EXFIL-004", "ICMP Data Exfiltration (Large ICMP Payload)", "Exfiltration", "HIGH", 0.83,
-     [("protocol_type", "==", 1), ("avg_pkt_size", ">", 500), ("byte_count", ">", 100000)]),
-    # More brute force
-    ("BRUTE-004", "RDP Brute Force", "Brute-Force", "HIGH", 0.88,
-     [("dst_port", "==", 3389), ("pkt_count", ">", 40), ("flow_pkts_per_sec", ">", 8)]),
-    ("BRUTE-005", "SMTP Brute Force / Credential Stuffing", "Brute-Force", "MEDIUM", 0.80,
-     [("dst_port", "==", 25), ("pkt_count", ">", 50), ("rst_flag_count", ">", 5)]),
-    ("BRUTE-006", "HTTPS Login Brute Force", "Brute-Force", "MEDIUM", 0.79,
-     [("dst_port", "==", 443), ("pkt_count", ">", 100), ("flow_bytes_per_sec", "<", 1500)]),
-    ("BRUTE-007", "Telnet Brute Force", "Brute-Force", "HIGH", 0.86,
-     [("dst_port", "==", 23), ("pkt_count", ">", 30), ("flow_pkts_per_sec", ">", 10)]),
-]
+Fixed values: identifiers, names, categories, severities, confidences and conditions decide
+the results and must stay exactly as they are, in this order.
+"""
+
+from pathlib import Path
+
+SIGNATURE_FILE = Path(__file__).with_name("signatures.json")
