@@ -16,6 +16,7 @@ from flowverdict.operators.fusion import FusionSettings, decision_record, fuse,
 from flowverdict.operators.ingest import benign_only, ingest
 from flowverdict.operators.rules import evaluate_rules, exploded_matches, rule_results
 from flowverdict.operators.rules_relational import matches_by_division
+from flowverdict.operators.upstream import with_rare_destination
 from flowverdict.plans import catalog_checks, reports, results
 from flowverdict.plans.pipeline import FROZEN, score_flows, train_model
 from flowverdict.schema import FEATURES, REPORT_ROWS, SEVERITIES, VECTOR
@@ -663,6 +664,20 @@ def risk_histogram(spark, sf_dir):
     return reports.risk_histogram(reports.risk_profile(scored_synthetic(spark, sf_dir)))
 
 
+_RARE = 10
+
+
+@register(
+    "rare_destinations",
+    f"""SELECT event_id, count(*) OVER (PARTITION BY user_id) <= {_RARE} AS rare_destination
+    FROM events""",
+)
+def rare_destinations(spark, sf_dir):
+    events = ef.read_events(spark, sf_dir).select("event_id", "user_id")
+    found = with_rare_destination(events, "user_id", _RARE)
+    return found.select("event_id", "rare_destination")
+
+
 @register(
     "row_counts",
     f"""WITH {o.flows('dirty')} SELECT count(*) AS total_flows,

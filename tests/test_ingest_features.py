@@ -144,3 +144,13 @@ def test_dense_index_with_one_hot_value(spark):
     df = spark.range(3000).select(F.when(F.col("id") < 1000, 7).otherwise(F.col("id")).alias("k"), "id")
     got = dense_index(df.repartition(5), ["k", "id"]).orderBy("k", "id").collect()
     assert [r.flow_idx for r in got] == list(range(3000))
+
+
+def test_rare_destination(spark):
+    from flowverdict.operators.upstream import with_rare_destination
+
+    rows = [("a", False)] * 5 + [("b", True), ("b", None), (None, True)]
+    got = with_rare_destination(spark.createDataFrame(rows, "d string, rare_destination boolean"), "d", 2)
+    assert sorted((str(r.d), r.rare_destination) for r in got.collect()) == (
+        [("None", False)] + [("a", False)] * 5 + [("b", True)] * 2
+    )
