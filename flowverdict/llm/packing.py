@@ -250,13 +250,9 @@ def histogram(pieces: DataFrame, capacity: int = CAPACITY) -> np.ndarray:
     return demand
 
 
-def place(pieces: DataFrame, plan: Plan, counted: DataFrame | None = None) -> DataFrame:
-    """Add ``sequence_id`` and ``offset``.
-
-    ``pieces`` needs length, task and number; ``counted`` is the whole piece table if
-    ``pieces`` is a projection of it.
-    """
-    counts = (pieces if counted is None else counted).groupBy("task", "length").count()
+def place(pieces: DataFrame, plan: Plan) -> DataFrame:
+    """Add ``sequence_id`` and ``offset``; ``pieces`` needs length, task and number."""
+    counts = pieces.groupBy("task", "length").count()
     # One row per task and length, so a length has as many rows as there were tasks.
     before = Window.partitionBy("length").orderBy("task").rowsBetween(
         Window.unboundedPreceding, -1
@@ -279,7 +275,7 @@ def place(pieces: DataFrame, plan: Plan, counted: DataFrame | None = None) -> Da
             ["sequence_id", "offset"],
         )
 
-    numbered = pieces.join(broadcast_if_small(first, 1_000_000), ["task", "length"])
+    numbered = pieces.join(broadcast_if_small(first), ["task", "length"])
     placed = numbered.withColumn("slot", slot("length", F.col("first") + F.col("number")))
     return placed.select(*pieces.columns, "slot.sequence_id", "slot.offset")
 

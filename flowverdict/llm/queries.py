@@ -22,6 +22,7 @@ from flowverdict.llm import (
 from flowverdict.llm.crawl import RECORDS, crawl_records
 from flowverdict.llm.license_texts import LICENSE_TEXTS
 from flowverdict.llm.tables import bounded_batches, read
+from flowverdict.sources.scratch import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_QUERIES: dict[str, Query] = {}
@@ -118,7 +119,9 @@ def packed_rows(docs: DataFrame) -> DataFrame:
     """One row per piece; the ids are digested before they are placed, so they stay put."""
     pieces = packing.tokenise(docs, tokenizer_path())
     plan = packing.plan_packing(packing.histogram(pieces))
-    placed = packing.place(packing.with_crc32(pieces), plan, counted=pieces)
+    # Stored, so that a stage runs one Python function and keeps one worker for each task.
+    digests = stored(packing.with_crc32(pieces), "digests")
+    placed = packing.place(digests, plan)
     return placed.select(
         F.col("key").alias("doc_id"),
         "piece",
