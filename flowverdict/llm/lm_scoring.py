@@ -8,8 +8,8 @@
    vector for its place, and summed; a tanh layer gives the state that predicts the class
    and, together with an embedding of the class, the member.  The word itself is masked: it
    is no part of its own context.  Numpy only.
-3. Training: every task trains a copy, starting from the same parameters, on every
-   ``STRIDE``-th position of all its texts; copies are averaged, weighted by positions, in two
+3. Training: every task trains a copy, starting from the same parameters, on every position
+   of all its texts (in drawn order); copies are averaged, weighted by positions, in two
    grouped steps over parameter blocks, so what is gathered grows with the input and no task
    holds more than running sums.  The result is a model of fixed size.
 4. Scoring is a map over whole texts: log-probabilities of all words are summed.
@@ -35,8 +35,7 @@ VOCABULARY, CLASSES = 4096, 64
 MEMBERS = VOCABULARY // CLASSES
 UNKNOWN = 512
 SIDE, WIDTH = 3, 32
-STRIDE = 8
-BATCH, RATE = 256, 0.1
+BATCH, RATE = 1024, 0.1
 SEED = 20_240_503
 BLOCK = 4096  # parameters in a row while copies are averaged
 SALTS = 16
@@ -234,7 +233,7 @@ class Trainer:
 
 def _train_task(start: Parameters, vocabulary: Vocabulary):
     def run(batches):
-        trainer = Trainer(start)
+        trainer, draw = Trainer(start), np.random.default_rng(SEED)
         kept: list[tuple] = []
         waiting = 0
         for batch in batches:
@@ -242,9 +241,8 @@ def _train_task(start: Parameters, vocabulary: Vocabulary):
             for low, high in text_chunks(texts):
                 words, first = word_hashes(texts.slice(low, high - low))
                 ids = vocabulary.encode(words)
-                # Every text gives positions, whatever its length.
-                row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-                at = np.flatnonzero((np.arange(len(ids)) - first[row]) % STRIDE == row % STRIDE)
+                # Neighbours share their context, so a batch takes positions from all over.
+                at = draw.permutation(len(ids))
                 kept.append((contexts(ids, first, at), ids[at]))
                 waiting += len(at)
                 if waiting >= BATCH:

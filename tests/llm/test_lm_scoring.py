@@ -104,6 +104,18 @@ def test_vocabulary_counts_all_texts(spark, texts, trained):
     assert (unknown >= lm.VOCABULARY - lm.UNKNOWN).all()
 
 
+def test_every_position_trains_whatever_the_batches():
+    texts = [f"k{i}" for i in range(12)] + ["k1 k2", "k3 k4 k5", "", None, "k6 " * 3000]
+    n = sum(len(words(t)) for t in texts)
+    vocabulary = lm.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.ones(lm.VOCABULARY))
+    start = lm.initial_parameters(vocabulary.counts)
+    column = pa.array(texts, pa.string())
+    for cuts in ([0, 17], [0, 1, 2, 9, 17], [*range(18)]):
+        batches = [pa.record_batch({"text": column.slice(a, z - a)}) for a, z in zip(cuts, cuts[1:])]
+        rows = [r.to_pydict() for r in lm._train_task(start, vocabulary)(batches)]
+        assert {r["seen"][0] for r in rows} == {n}
+
+
 def test_average_is_weighted_by_positions():
     def row(n, value):
         weights = np.full(3, value * n, dtype=np.float32).tobytes()
