@@ -1,9 +1,11 @@
 """Masked pseudo-likelihood: every word is predicted from both sides, the sum scores a text.
 
 1. Vocabulary: the words of the whole corpus are counted (per task, then by a shuffle on the
-   word hash); the ``VOCABULARY - UNKNOWN`` most frequent get ids in order of frequency, others
-   share ``UNKNOWN`` ids by hash.  Ids are split into a class and a member, 64 by 64, so a
-   softmax over the vocabulary is two softmaxes of 64.
+   word hash).  The vocabulary has room for all of them up to ``MAX_VOCABULARY`` ids (from
+   ``VOCABULARY`` up, four times as many each time); the most frequent get ids in order of
+   frequency, others share ``UNKNOWN`` ids by hash.  Ids are split into a class and a member,
+   64 by 64 (128 by 128), so a softmax over the vocabulary is two softmaxes of 64 (128).
+   The bound keeps a task's model, its squares and the tables for scoring below 20 MB.
 2. Network: the ``SIDE`` words before and after a position are embedded, each weighted by a
    vector for its place, and summed; a tanh layer gives the state that predicts the class
    and, together with an embedding of the class, the member.  The word itself is masked: it
@@ -12,9 +14,13 @@
    of all its texts (in drawn order); copies are averaged, weighted by positions, in two
    grouped steps over parameter blocks, so what is gathered grows with the input and no task
    holds more than running sums.  The result is a model of fixed size.
-4. Scoring is a map over whole texts: log-probabilities of all words are summed.
+4. Scoring is a map over whole texts: log-probabilities of all words are summed.  A word that
+   shares its id has the probability of the id times its share of the id's occurrences, from
+   the corpus-wide counts: such words leave the map as (row, word, times), are joined with the
+   stored counts and summed by row, so no task holds all words.
 
-Null and empty texts have no words and the score 0 (mean null).  Repeated rows are scored
+``score`` without word counts gives a shared id's words the probability of the id, and so does
+a word without a count.  Null and empty texts have no words and the score 0 (mean null).  Repeated rows are scored
 alike, null keys are kept, extra columns ignored.  An empty corpus leaves the starting model.
 A lost task is retrained from the same start on the same rows.
 """
@@ -31,8 +37,7 @@ from pyspark.sql import functions as F
 from flowverdict.llm.text import mix, text_chunks, word_hashes
 from flowverdict.sources.scratch import stored
 
-VOCABULARY, CLASSES = 4096, 64
-MEMBERS = VOCABULARY // CLASSES
+VOCABULARY, MAX_VOCABULARY = 4096, 1 << 14  # squares of the number of classes
 UNKNOWN = 512
 SIDE, WIDTH = 3, 32
 BATCH, RATE = 1024, 0.1
@@ -40,7 +45,7 @@ SEED = 20_240_503
 BLOCK = 4096  # parameters in a row while copies are averaged
 SALTS = 16
 SCORED = 1024  # words scored at a time
-PAD = VOCABULARY  # stands before and after a text
+PAD = VOCABULARY  # stands before and after a text; the id after the last one
 
 
 class Parameters(NamedTuple):
@@ -71,17 +76,18 @@ def initial_parameters(counts: np.ndarray) -> Parameters:
     def small(*shape: int) -> np.ndarray:
         return draw.normal(0, 0.1, shape).astype(np.float32)
 
-    table = counts.reshape(CLASSES, MEMBERS) + 1.0
+    classes = members = round(len(counts) ** 0.5)
+    table = counts.reshape(classes, members) + 1.0
     of_class = table.sum(axis=1)
     return Parameters(
-        small(VOCABULARY + 1, WIDTH),
+        small(len(counts) + 1, WIDTH),
         np.ones((2 * SIDE, WIDTH), dtype=np.float32),
         (np.eye(WIDTH) + 0.1 * draw.normal(size=(WIDTH, WIDTH))).astype(np.float32),
         np.zeros(WIDTH, dtype=np.float32),
-        small(WIDTH, CLASSES),
+        small(WIDTH, classes),
         np.log(of_class / of_class.sum()).astype(np.float32),
-        small(CLASSES, WIDTH),
-        small(WIDTH, MEMBERS),
+        small(classes, WIDTH),
+        small(WIDTH, members),
         np.log(table / of_class[:, None]).astype(np.float32),
     )
 
@@ -96,7 +102,7 @@ class Vocabulary(NamedTuple):
     counts: np.ndarray
 
     def encode(self, words: np.ndarray) -> np.ndarray:
-        out = VOCABULARY - UNKNOWN + (mix(words) % np.uint64(UNKNOWN)).astype(np.int64)
+        out = len(self.counts) - UNKNOWN + (mix(words) % np.uint64(UNKNOWN)).astype(np.int64)
         if len(self.hashes):
             at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
             known = self.hashes[at] == words
@@ -112,29 +118,53 @@ def _count_words(batches):
             yield pa.record_batch({"word": pa.array(words.view(np.int64)), "n": pa.array(n)})
 
 
-def build_vocabulary(docs: DataFrame, text: str = "text") -> Vocabulary:
-    """Counts over all texts; the driver gets the most frequent words only."""
+def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Stored rows (word, n) of all words of the corpus."""
     narrow = docs.select(F.col(text).alias("text"))
     counted = narrow.mapInArrow(_count_words, "word long, n long").groupBy("word")
-    counted = stored(counted.agg(F.sum("n").alias("n")), "words")
-    known = VOCABULARY - UNKNOWN
+    return stored(counted.agg(F.sum("n").alias("n")), "words")
+
+
+def build_vocabulary(
+    docs: DataFrame, text: str = "text", counted: DataFrame | None = None
+) -> Vocabulary:
+    """Counts over all texts; the driver gets the most frequent words only."""
+    counted = count_words(docs, text) if counted is None else counted
+    distinct, total = counted.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    size = VOCABULARY
+    while size < MAX_VOCABULARY and size - UNKNOWN < distinct:
+        size *= 4
+    known = size - UNKNOWN
     top = counted.orderBy(F.desc("n"), "word").limit(known).toArrow()
     words = top["word"].to_numpy().view(np.uint64)
-    counts = np.zeros(VOCABULARY)
+    counts = np.zeros(size)
     counts[: len(words)] = top["n"].to_numpy()
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    counts[known:] = (total - counts.sum()) / UNKNOWN
     order = np.argsort(words)
-    return Vocabulary(words[order], np.arange(len(words))[order], counts)
+    vocabulary = Vocabulary(words[order], np.arange(len(words))[order], counts)
+    shared = shared_ids(counted, vocabulary).groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    counts[shared["id"].to_numpy()] = shared["n"].to_numpy()
+    return vocabulary
+
 
+def shared_ids(counted: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(word, n, id) of the words that share an id."""
+    least = len(vocabulary.counts) - UNKNOWN
 
-def contexts(ids: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
+    def run(batches):
+        for batch in batches:
+            ids = vocabulary.encode(batch.column("word").to_numpy().view(np.uint64))
+            yield batch.append_column("id", pa.array(ids, pa.int64())).filter(pa.array(ids >= least))
+
+    return counted.mapInArrow(run, "word long, n long, id long")
+
+
+def contexts(ids: np.ndarray, first: np.ndarray, at: np.ndarray, pad: int = PAD) -> np.ndarray:
     """(positions, 2 * side) ids around the positions, padded at the ends of their texts."""
     row = np.searchsorted(first, at, side="right") - 1
     steps = np.concatenate([np.arange(-SIDE, 0), np.arange(1, SIDE + 1)])
     around = at[:, None] + steps
     inside = (around >= first[row][:, None]) & (around < first[row + 1][:, None])
-    return np.where(inside, ids[np.clip(around, 0, max(0, len(ids) - 1))], PAD)
+    return np.where(inside, ids[np.clip(around, 0, max(0, len(ids) - 1))], pad)
 
 
 # -- the network ---------------------------------------------------------------------------
@@ -156,7 +186,7 @@ def log_probability(p: Parameters, around: np.ndarray, word: np.ndarray) -> np.n
 
 
 def _log_probability(p: Parameters, state: np.ndarray, word: np.ndarray) -> np.ndarray:
-    kind, member = np.divmod(word, MEMBERS)
+    kind, member = np.divmod(word, p.to_member.shape[1])
     rows = np.arange(len(word))
 
     def chosen(logits: np.ndarray, which: np.ndarray) -> np.ndarray:
@@ -184,7 +214,7 @@ def _sum_rows(out: np.ndarray, index: np.ndarray, values: np.ndarray) -> None:
 def gradient(p: Parameters, around: np.ndarray, word: np.ndarray) -> Parameters:
     """Gradient of the mean negative log-probability."""
     n = len(word)
-    kind, member = np.divmod(word, MEMBERS)
+    kind, member = np.divmod(word, p.to_member.shape[1])
     looked, mixed, state = _states(p, around)
     rows = np.arange(n)
     d_class = _softmax(state @ p.to_class + p.class_bias)
@@ -221,7 +251,7 @@ class Trainer:
     def step(self, around: np.ndarray, word: np.ndarray) -> None:
         for x, g, s in zip(self.p, gradient(self.p, around, word), self.squares, strict=True):
             touched = slice(None)
-            if x.shape[0] > VOCABULARY:  # most embeddings take no part in a batch
+            if x is self.p.embedding:  # most embeddings take no part in a batch
                 touched = np.unique(around)
             g = g[touched]
             s[touched] += g * g
@@ -243,7 +273,7 @@ def _train_task(start: Parameters, vocabulary: Vocabulary):
                 ids = vocabulary.encode(words)
                 # Neighbours share their context, so a batch takes positions from all over.
                 at = draw.permutation(len(ids))
-                kept.append((contexts(ids, first, at), ids[at]))
+                kept.append((contexts(ids, first, at, len(vocabulary.counts)), ids[at]))
                 waiting += len(at)
                 if waiting >= BATCH:
                     around, word = (np.concatenate(x) for x in zip(*kept, strict=True))
@@ -320,7 +350,7 @@ class Scorer:
         n_texts = len(first) - 1
         gaps = SIDE * (np.repeat(np.arange(n_texts), np.diff(first)) + 1)
         at = np.arange(len(ids)) + gaps
-        padded = np.full(len(ids) + SIDE * (n_texts + 1), PAD, dtype=np.int64)
+        padded = np.full(len(ids) + SIDE * (n_texts + 1), len(self.vocabulary.counts), dtype=np.int64)
         padded[at] = ids
         out = np.empty(len(ids))
         steps = [*range(-SIDE, 0), *range(1, SIDE + 1)]
@@ -334,10 +364,24 @@ class Scorer:
 
     def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Words and summed log-probability of each text."""
-        words, first = word_hashes(texts)
-        each = self.log_probabilities(self.vocabulary.encode(words), first)
-        running = np.concatenate([[0.0], np.cumsum(each)])
-        return np.diff(first), running[first[1:]] - running[first[:-1]]
+        return self.score_words(*word_hashes(texts))[:2]
+
+    def score_words(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The same, and whether a word shares its id."""
+        ids = self.vocabulary.encode(words)
+        running = np.concatenate([[0.0], np.cumsum(self.log_probabilities(ids, first))])
+        shares = ids >= len(self.vocabulary.counts) - UNKNOWN
+        return np.diff(first), running[first[1:]] - running[first[:-1]], shares
+
+
+def _times(words: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, words and how often a word stands in the row, ordered by row."""
+    order = np.lexsort((words, row))
+    words, row = words[order], row[order]
+    new = np.ones(len(words), dtype=bool)
+    new[1:] = (words[1:] != words[:-1]) | (row[1:] != row[:-1])
+    begin = np.flatnonzero(new)
+    return row[begin], words[begin], np.diff(np.append(begin, len(words)))
 
 
 def score(
@@ -346,31 +390,66 @@ def score(
     vocabulary: Vocabulary,
     text: str = "text",
     key: str = "doc_id",
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """One row per document: key, n_words, score (summed log-probability), mean_score."""
     scorer = Scorer(model, vocabulary)
+    listed = counted is not None
 
     def run(batches):
         for batch in batches:
             texts = batch.column("text")
             for low, high in text_chunks(texts):
-                n, total = scorer.score(texts.slice(low, high - low))
-                yield pa.record_batch(
-                    {
-                        "key": batch.column("key").slice(low, high - low),
-                        "n_words": pa.array(n, pa.int64()),
-                        "score": pa.array(total),
-                    }
-                )
+                words, first = word_hashes(texts.slice(low, high - low))
+                n, total, shares = scorer.score_words(words, first)
+                out = {
+                    "key": batch.column("key").slice(low, high - low),
+                    "n_words": pa.array(n, pa.int64()),
+                    "score": pa.array(total),
+                }
+                if listed:
+                    row = np.repeat(np.arange(len(n)), n)[shares]
+                    row, word, times = _times(words[shares].view(np.int64), row)
+                    begin = pa.array(np.searchsorted(row, np.arange(len(n) + 1)), pa.int32())
+                    out["word"] = pa.ListArray.from_arrays(begin, pa.array(word))
+                    out["times"] = pa.ListArray.from_arrays(begin, pa.array(times, pa.int64()))
+                yield pa.record_batch(out)
 
     key_type = dict(docs.dtypes)[key]
     narrow = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    scored = narrow.mapInArrow(run, f"key {key_type}, n_words long, score double")
+    schema = f"key {key_type}, n_words long, score double"
+    if listed:
+        lists = narrow.mapInArrow(run, schema + ", word array<long>, times array<long>")
+        # Stored, so that the numbers of the rows stay what they are.
+        rows = stored(lists.withColumn("row", F.monotonically_increasing_id()), "scored")
+        scored = _with_shares(rows, counted, vocabulary)
+    else:
+        scored = narrow.mapInArrow(run, schema)
     mean = F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words"))
     return scored.withColumn("mean_score", mean)
 
 
+def _with_shares(rows: DataFrame, counted: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Key, n_words and score with the log-share of every word that shares its id."""
+    ids = len(vocabulary.counts)
+    of_id = F.array(*[F.lit(float(n)) for n in vocabulary.counts[ids - UNKNOWN :]])
+    share = F.log(F.col("n") / F.get(of_id, (F.col("id") - (ids - UNKNOWN)).cast("int")))
+    shares = shared_ids(counted, vocabulary).select("word", share.alias("share"))
+    pairs = rows.select("row", F.explode(F.arrays_zip("word", "times")).alias("w"))
+    pairs = pairs.select("row", F.col("w.word").alias("word"), F.col("w.times").alias("times"))
+    added = (
+        pairs.join(shares, "word")
+        .groupBy("row")
+        .agg(F.sum(F.col("times") * F.col("share")).alias("added"))
+    )
+    score = F.col("score") + F.coalesce("added", F.lit(0.0))
+    return rows.drop("word", "times").join(added, "row", "left").select(
+        "key", "n_words", score.alias("score")
+    )
+
+
 def pseudo_likelihood(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Train on ``docs`` and score them."""
-    vocabulary = build_vocabulary(docs, text)
-    return score(docs, train(docs, vocabulary, text), vocabulary, text, key)
+    counted = count_words(docs, text)
+    vocabulary = build_vocabulary(docs, text, counted)
+    return score(docs, train(docs, vocabulary, text), vocabulary, text, key, counted)

@@ -116,6 +116,44 @@ def test_every_position_trains_whatever_the_batches():
         assert {r["seen"][0] for r in rows} == {n}
 
 
+def test_words_of_one_id_are_told_apart_by_their_counts(spark, trained):
+    _, vocabulary, model = trained
+    few = vocabulary._replace(hashes=vocabulary.hashes[:0], ids=vocabulary.ids[:0])
+    at = {}  # three words that share an id
+    for i in range(4000):
+        hashes, _ = word_hashes(pa.array([f"r{i}"]))
+        at.setdefault(int(few.encode(hashes)[0]), []).append(f"r{i}")
+    a, b, c = next(x for x in at.values() if len(x) > 2)[:3]
+    rows = [(1, f"{a} {a} {b}"), (2, f"{b} {a}"), (None, f"{c}"), (2, f"{b} {a}"), (5, ""), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    counted = lm.count_words(docs)
+    counts = few.counts.copy()
+    counts[few.encode(word_hashes(pa.array([a]))[0])] = 8
+    few = few._replace(counts=counts)
+    plain = sorted((r.key or 0, r.score) for r in lm.score(docs, model, few).collect())
+    got = sorted((r.key or 0, r.score) for r in lm.score(docs, model, few, counted=counted).collect())
+    log = {a: np.log(4 / 8), b: np.log(3 / 8), c: np.log(1 / 8)}
+    for (k, before), (key, after) in zip(plain, got, strict=True):
+        text = next(t for i, t in rows if (i or 0) == k)
+        assert key == k and after - before == pytest.approx(sum(log[w] for w in words(text)), abs=1e-6)
+
+
+def test_vocabulary_grows_with_the_words(spark):
+    docs = spark.createDataFrame([(i, f"w{i} w{i} x") for i in range(20_000)], "doc_id long, text string")
+    some, more = lm.build_vocabulary(docs.limit(3000)), lm.build_vocabulary(docs.limit(5000))
+    assert len(some.counts) == lm.VOCABULARY and len(some.hashes) == 3001
+    assert len(more.counts) == 4 * lm.VOCABULARY and len(more.hashes) == 5001
+    all_ = lm.build_vocabulary(docs)
+    assert len(all_.counts) == lm.MAX_VOCABULARY == len(all_.hashes) + lm.UNKNOWN
+    assert all_.counts.sum() == 60_000
+    hashes, _ = word_hashes(pa.array([f"w{i}" for i in range(20_000)]))
+    ids = all_.encode(hashes)
+    assert (np.bincount(ids, np.full(len(ids), 2), len(all_.counts))[-lm.UNKNOWN :] == all_.counts[-lm.UNKNOWN :]).all()
+    small = docs.limit(6000)
+    n = [r.n_words for r in lm.pseudo_likelihood(small).collect()]
+    assert n == [3] * 6000
+
+
 def test_average_is_weighted_by_positions():
     def row(n, value):
         weights = np.full(3, value * n, dtype=np.float32).tobytes()
