@@ -2,7 +2,8 @@
 
 Each benchmark item of n five-word shingles is compared with every window of n consecutive
 shingles of every document (stride one) that shares a shingle with some item; others have
-similarity 0.  A window's 128-bit SimHash weighs each shingle by its occurrences.  It is
+similarity 0.  A document of fewer than n but at least ``threshold * n`` shingles is one window
+as a whole; shorter ones cannot reach the threshold.  A window's 128-bit SimHash weighs each shingle by its occurrences.  It is
 looked up in a multi-index over the items of its size: 128 bits are cut into ``radius + 1``
 blocks, and two fingerprints within the radius must agree in at least one block, so no item
 within the radius is missed.  Items within the radius are verified exactly: sum of the
@@ -109,7 +110,7 @@ class ItemIndex:
         self.shingles = HashSet(shingles)
 
     def search(self, shingles: np.ndarray, begin: np.ndarray, threshold: float) -> Iterator[tuple]:
-        """(row, item number, similarity, first shingle, size) of the best windows."""
+        """(row, item number, similarity, first shingle, size of window) of the best windows."""
         hits = self.shingles.has(shingles)
         if not hits.any():
             return
@@ -124,23 +125,29 @@ class ItemIndex:
         # Differences of the running counts are exact although the counts may wrap.
         np.cumsum(bit_rows(shingles[at]), axis=0, dtype=np.uint16, out=ones[1:])
         for n, index in self.sizes.items():
-            start = np.arange(max(0, len(at) - n + 1))
-            start = start[(start + n <= ends[start]) & (hit_sum[start + n] > hit_sum[start])]
-            best: dict[tuple[int, int], tuple[float, int]] = {}
+            start = np.arange(len(at))
+            stop = np.minimum(start + n, ends)
+            # A whole row that is shorter than the item, but long enough to reach the threshold.
+            short = (start == ends - np.diff(begin)[owner]) & (stop - start >= threshold * n - 1e-9)
+            some = ((stop - start == n) | short) & (hit_sum[stop] > hit_sum[start])
+            start, stop = start[some], stop[some]
+            best: dict[tuple[int, int], tuple[float, int, int]] = {}
             for low in range(0, len(start), SLICE):
-                part = start[low : low + SLICE]
-                prints = 2 * (ones[part + n] - ones[part]).astype(np.int32) > n
+                part, end = start[low : low + SLICE], stop[low : low + SLICE]
+                sizes = (end - part)[:, None]
+                prints = 2 * (ones[end] - ones[part]).astype(np.int32) > sizes
                 for w, i in zip(*index.near(prints), strict=True):
                     p = part[w]
-                    bag = occurrences(shingles[at[p] : at[p] + n])
+                    size = int(end[w] - p)
+                    bag = occurrences(shingles[at[p] : at[p] + size])
                     similarity = weighted_jaccard(bag, index.bags[i])
                     if similarity >= threshold:
                         key = (int(owner[p]), int(i))
                         first = int(at[p] - begin[owner[p]])
-                        if similarity > best.get(key, (0.0, 0))[0]:
-                            best[key] = (similarity, first)
-            for (row, i), (similarity, first) in best.items():
-                yield row, index.ids[i], similarity, first, n
+                        if similarity > best.get(key, (0.0,))[0]:
+                            best[key] = (similarity, first, size)
+            for (row, i), (similarity, first, size) in best.items():
+                yield row, index.ids[i], similarity, first, size
 
 
 def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_items: int):

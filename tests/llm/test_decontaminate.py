@@ -94,3 +94,17 @@ def test_index_of_no_items():
     table = pa.table({"item": pa.array([], pa.int32()), "text": pa.array([], pa.string())})
     shingles = np.arange(5, dtype=np.uint64)
     assert list(d.ItemIndex(table).search(shingles, np.array([0, 5]), 0.8)) == []
+
+
+def test_documents_shorter_than_an_item(spark):
+    item = " ".join(f"s{i}" for i in range(37))  # 33 shingles
+    cut = {n: " ".join(item.split()[:n]) for n in (4, 30, 31, 33, 36, 37)}
+    texts = [*cut.items(), (133, " ".join(item.split()[4:])), (134, cut[33] + "\n"), (135, "x " * 29)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    items = spark.createDataFrame([(1, item)], "item_id int, text string")
+    got = {r.key: (r.similarity, r.first_word, r.n_shingles) for r in d.contaminated(docs, items).collect()}
+    # 27 of 33 shingles are 0.818, 26 are 0.788.
+    want = {n: (k / 33, 0, k) for n, k in ((31, 27), (33, 29), (36, 32), (37, 33), (133, 29), (134, 29))}
+    assert got == {n: (pytest.approx(s), a, k) for n, (s, a, k) in want.items()}
+    kept = {r.doc_id for r in d.remove_contaminated(docs, items).collect()}
+    assert kept == {4, 30, 135}
