@@ -1,12 +1,15 @@
 """License scan: MinHash bands over overlapping windows, then exact containment.
 
-For templates of n five-word shingles a document is cut into windows of 2n shingles, one
-every n, so every run of n shingles lies inside some window.  If a window holds a share of
-at least ``threshold`` of a template's shingles, its Jaccard similarity with the template is
-at least ``threshold / (3 - threshold)`` (0.36 for 0.8).  With bands of two values, one of
-64 bands then agrees with probability above 0.9998 (``collision_probability``).  Windows
+A template of n five-word shingles is found in a document if some window of 2n shingles,
+wherever it starts, holds a share of at least ``threshold`` of the template's distinct shingles.
+For retrieval a document is cut into windows of ``2n + n / DENSITY`` shingles, one every
+``n / DENSITY``, so every window of 2n lies inside one of them.  Its Jaccard similarity with the
+template is at least ``threshold / (3.25 - threshold)`` (0.33 for 0.8).  With bands of two
+values, one of 64 bands then agrees with probability above 0.999 (``collision_probability``
+with the window's length); a match at the threshold mostly lies in several windows.  Windows
 without any template shingle cannot agree in a band and are not hashed.  Templates met in a
-band are verified exactly: the share of the template's distinct shingles in the window.
+band are verified exactly at every start in their row: the share of the template's distinct
+shingles in 2n shingles.
 
 One row per document row and template, with the best window (the first of equally good
 ones) and the words from its first to its last shared shingle.  Null and empty texts and
@@ -30,17 +33,43 @@ THRESHOLD = 0.8
 BANDS = 64
 BAND_ROWS = 2
 MAX_TEMPLATES = 10_000
-SLICE = 1 << 12
+DENSITY = 4
+SLICE = 1 << 19  # shingles in the windows hashed at a time
 _KEYS = np.random.default_rng(20_240_501).integers(
     1 << 62, size=BANDS * BAND_ROWS, dtype=np.uint64
 ) * np.uint64(2) + np.uint64(1)
 
 
 def collision_probability(
-    threshold: float = THRESHOLD, bands: int = BANDS, rows: int = BAND_ROWS
+    threshold: float = THRESHOLD, bands: int = BANDS, rows: int = BAND_ROWS, length: float = 2
 ) -> float:
-    """The least probability that a window with the threshold's containment is retrieved."""
-    return 1 - (1 - (threshold / (3 - threshold)) ** rows) ** bands
+    """The least probability that a window with the threshold's containment is retrieved.
+
+    ``length``: shingles in the window for each one of the template.
+    """
+    return 1 - (1 - (threshold / (1 + length - threshold)) ** rows) ** bands
+
+
+def best_window(at: np.ndarray, shingles: np.ndarray, size: int) -> tuple[int, int, int]:
+    """(distinct shingles, first, last) of the first best window over hits in order.
+
+    ``at``: positions of the hits; a best window may start at a hit, as moving on to its first
+    hit loses none.
+    """
+    stop = np.searchsorted(at, at + size)
+    counts: dict[int, int] = {}
+    best, high = (0, 0, 0), 0
+    values = shingles.tolist()
+    for low, end in enumerate(stop.tolist()):
+        for value in values[high:end]:
+            counts[value] = counts.get(value, 0) + 1
+        high = end
+        if len(counts) > best[0]:
+            best = len(counts), int(at[low]), int(at[end - 1])
+        counts[values[low]] -= 1
+        if not counts[values[low]]:
+            del counts[values[low]]
+    return best
 
 
 def band_keys(windows: np.ndarray, valid: np.ndarray) -> np.ndarray:
@@ -91,22 +120,28 @@ class TemplateIndex:
         hit_sum = np.concatenate([[0], np.cumsum(hits)])
         best: dict[tuple[int, int], tuple] = {}
         for n in self.sizes:
-            start = np.concatenate([np.arange(begin[r], begin[r + 1], n) for r in rows])
-            end = np.minimum(start + 2 * n, begin[row_of(begin, start) + 1])
+            step = max(1, n // DENSITY)
+            width = 2 * n + step
+            start = np.concatenate([np.arange(begin[r], begin[r + 1], step) for r in rows])
+            end = np.minimum(start + width, begin[row_of(begin, start) + 1])
             some = hit_sum[end] > hit_sum[start]
             start, end = start[some], end[some]
-            for low in range(0, len(start), SLICE):
-                a, z = start[low : low + SLICE], end[low : low + SLICE]
-                at = a[:, None] + np.arange(2 * n)
+            met: set[tuple[int, int]] = set()
+            many = max(1, SLICE // width)
+            for low in range(0, len(start), many):
+                a, z = start[low : low + many], end[low : low + many]
+                at = a[:, None] + np.arange(width)
                 valid = at < z[:, None]
                 windows = shingles[np.minimum(at, len(shingles) - 1)]
-                for w, t in self.retrieve(n, windows, valid):
-                    shared = np.isin(windows[w], self.sets[t]) & valid[w]
-                    held = len(np.unique(windows[w][shared])) / len(self.sets[t])
-                    row = int(row_of(begin, a[w]))
-                    if held >= threshold and held > best.get((row, t), (0.0,))[0]:
-                        where = np.flatnonzero(shared) + a[w] - begin[row]
-                        best[row, t] = held, int(where[0]), int(where[-1]) + SHINGLE
+                pairs = self.retrieve(n, windows, valid)
+                met.update(zip(row_of(begin, a[pairs[:, 0]]).tolist(), pairs[:, 1].tolist(), strict=True))
+            for row, t in sorted(met):
+                own = np.flatnonzero(hits[begin[row] : begin[row + 1]])
+                own = own[np.isin(shingles[begin[row] + own], self.sets[t])]
+                shared, first, last = best_window(own, shingles[begin[row] + own], 2 * n)
+                held = shared / len(self.sets[t])
+                if shared and held >= threshold:
+                    best[row, t] = held, first, last + SHINGLE
         return [(row, int(t), *found) for (row, t), found in best.items()]
 
 

@@ -89,3 +89,26 @@ def test_padding_of_windows_does_not_count():
     index = licenses.TemplateIndex(table)
     hashes = index.sets[0]
     assert index.search(hashes[:1], np.array([0, 1]), 0.8) == []
+
+
+def held_anywhere(text, template):
+    own, asked = shingles(text), shingles(template)
+    n = len(asked)
+    return max(len(set(asked) & set(own[a : a + 2 * n])) / len(set(asked)) for a in range(len(own)))
+
+
+def test_inserted_words_do_not_hide_a_license_at_any_offset():
+    draw = random.Random(4)
+    template = dict(LICENSE_TEXTS)["mit permission"].split()
+    half, texts = len(template) // 2, []
+    for inserted in (20, 40):
+        for before in range(0, 130, 3):
+            words = [draw.choices(VOCABULARY, k=k) for k in (before, inserted, 150)]
+            texts.append(" ".join(words[0] + template[:half] + words[1] + template[half:] + words[2]))
+    table = pa.table({"template": ["mit"], "text": [" ".join(template)]})
+    index = licenses.TemplateIndex(table)
+    found = index.search(*licenses.shingles_of(pa.array(texts)), 0.8)
+    want = {i: held_anywhere(t, " ".join(template)) for i, t in enumerate(texts)}
+    assert min(want.values()) > 0.9
+    assert {row: share for row, _, share, _, _ in found} == pytest.approx(want)
+    assert licenses.collision_probability(length=2 + 1 / licenses.DENSITY) > 0.999
