@@ -10,7 +10,9 @@ within the radius is missed.  Items within the radius are verified exactly: sum
 smaller over sum of the larger occurrences of each shingle (weighted Jaccard), at least
 ``threshold``.  At a similarity of 0.8 fingerprints differ in 19 of 128 bits on average with
 a deviation of 4, so the radius of 36 misses about one pair in 100,000 at the threshold
-itself and none that are equal.
+itself and none that are equal.  This holds while shingles do not repeat: where the last
+ninth of an item is replaced by one repeated shingle (similarity 0.80 to 0.83), 1.2 % are missed
+at 33 shingles, 98 % at 100 and all at 200 (1,000 draws each).
 
 One row per document row and item with the best window (the first of equally good ones).
 Null texts and null items count as empty and match nothing; texts of one to four words are
