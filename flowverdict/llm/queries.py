@@ -12,11 +12,14 @@ from flowverdict.llm import (
     decontaminate,
     exact_dedup,
     jaccard_join,
+    lexical_search,
     licenses,
     lm_scoring,
     packing,
+    piece_codec,
     quality,
     revisits,
+    token_alignment,
     url_rules,
 )
 from flowverdict.llm.crawl import RECORDS, crawl_records
@@ -107,12 +110,13 @@ def op9_url_rules(spark, sf_dir):
 
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
+PIECE_FILE = "piece_bpe_32k.model"
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path(TOKENIZER_FILE))
+    return str(public_tokenizers.path(name))
 
 
 def packed_rows(docs: DataFrame) -> DataFrame:
@@ -276,6 +280,74 @@ def op1_revisits(spark, sf_dir):
     )
 
 
+@register(
+    "op11_lexical_search",
+    """
+    WITH doc_terms AS (
+        SELECT doc_id, row_number() OVER () AS row,
+               regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\\x{00}-\\x{2F}\\x{3A}-\\x{40}\\x{5B}-\\x{60}\\x{7B}-\\x{7F}]+') AS terms
+        FROM documents
+    ), counted AS (
+        SELECT count(*) AS docs, sum(len(terms))::BIGINT AS total
+        FROM doc_terms WHERE len(terms) > 0
+    ), postings AS (
+        SELECT row, term, count(*) AS tf
+        FROM (SELECT row, unnest(terms) AS term FROM doc_terms) GROUP BY ALL
+    ), weights AS (
+        SELECT term, floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight
+        FROM postings, counted GROUP BY term, docs
+    ), item_terms AS (
+        SELECT DISTINCT item, item_id, unnest(regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\\x{00}-\\x{2F}\\x{3A}-\\x{40}\\x{5B}-\\x{60}\\x{7B}-\\x{7F}]+')) AS term
+        FROM (SELECT *, row_number() OVER () AS item FROM benchmark)
+    ), scored AS (
+        SELECT item, item_id, row, doc_id,
+               sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (
+                   100 - 90 + (90 * len(terms) * docs) // total))))::BIGINT AS score
+        FROM item_terms JOIN weights USING (term) JOIN postings USING (term)
+             JOIN doc_terms USING (row), counted
+        GROUP BY item, item_id, row, doc_id
+    )
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC,
+                                       doc_id NULLS LAST) AS rank
+          FROM scored WHERE score > 0)
+    WHERE rank <= 10
+    """,
+)
+def op11_lexical_search(spark, sf_dir):
+    found = lexical_search.ranked_search(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    )
+    return found.withColumnsRenamed({"item": "item_id", "key": "doc_id"})
+
+
+@register("op12_token_alignment")
+def op12_token_alignment(spark, sf_dir):
+    found = token_alignment.alignment_counts(
+        read(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path(PIECE_FILE)
+    )
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256))
+    return found.withColumn("groups_sha256", digest).drop("groups").withColumnRenamed("key", "doc_id")
+
+
+@register("op13_piece_codec")
+def op13_piece_codec(spark, sf_dir):
+    path = tokenizer_path(PIECE_FILE)
+    encoded = piece_codec.encode(read(spark, sf_dir, "documents"), path)
+    return piece_codec.decode(encoded, path).select(
+        F.col("key").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 @register("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline

@@ -68,7 +68,11 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
 
 def lower_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The lower-case UTF-8 bytes of a column and the offsets of its rows."""
-    column = pc.utf8_lower(pc.fill_null(column.cast(pa.large_string()), ""))
+    return raw_bytes(pc.utf8_lower(pc.fill_null(column.cast(pa.large_string()), "")))
+
+
+def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of a large string column without nulls and the offsets of its rows."""
     offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)
     offsets = offsets[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
@@ -76,9 +80,11 @@ def lower_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = _IS_WORD
+) -> tuple[np.ndarray, np.ndarray]:
     """Byte starts and ends of the words; a word ends where its row ends."""
-    inside = _IS_WORD[data]
+    inside = is_word[data]
     breaks = np.zeros(len(data) + 1, dtype=bool)
     breaks[offsets] = True
     starts = inside.copy()
@@ -92,6 +98,11 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the rows, and for each row where its words begin (n + 1)."""
     data, offsets = lower_bytes(column)
     starts, ends = word_spans(data, offsets)
+    return span_hashes(data, starts, ends), np.searchsorted(starts, offsets)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of byte spans that follow one another."""
     hashes = np.empty(len(starts), dtype=np.uint64)
     low = 0
     while low < len(starts):
@@ -107,7 +118,7 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         hashes[low:high] = (running[end] - running[begin]) * down[begin]
         low = high
     hashes += (ends - starts).astype(np.uint64)
-    return mix(hashes), np.searchsorted(starts, offsets)
+    return mix(hashes)
 
 
 def shingle_hashes(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
