@@ -109,7 +109,7 @@ def keep_one(
     marked = marked.join(F.broadcast(hot), "__digest", "left")
     marked = marked.filter(F.col("__hot").isNull() | F.col("__hot_key").eqNullSafe(F.col(key)))
     # Sorted by size of key only, so that wide columns need not be comparable.
-    rank = F.struct(F.col(key).isNotNull(), F.coalesce(F.col(key), F.lit(0)))
+    rank = F.struct(F.col(key).isNotNull(), F.col(key))
     one = marked.groupBy("__digest").agg(
         F.max_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), rank).alias("__row")
     )

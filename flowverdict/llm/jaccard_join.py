@@ -21,7 +21,8 @@ So no link between different texts is lost to a cap, and the rows between stages
 in the members of a block pair.  Within one cluster the comparisons are those of all its
 pairs, made in blocks in numpy.
 
-Null texts count as empty; documents without words form one class without links.  Repeated
+Null texts count as empty; documents without words have no links, and only those of equal
+texts are of one class.  Repeated
 rows and equal texts are copies within a node: they get the class of the node and its number
 of links, which counts linked nodes, not copies.  Extra columns are ignored by
 ``near_duplicates`` and kept by ``keep_one_of_each``.  Null keys rank after all others.
@@ -389,6 +390,9 @@ def near_duplicates(
         .join(classes, "node", "left")
         .withColumn("class", F.coalesce("component", "node"))
     )
+    # All texts without words have the empty set, but are copies only if they are equal.
+    own = F.concat("node", F.unhex(F.hex("text_hash")))
+    found = found.withColumn("class", F.when(F.col("n") == 0, own).otherwise(F.col("class")))
     least_key = found.groupBy("class").agg(F.min("key").alias("class_key"))
     return found.join(least_key, "class").select(
         "key", "class_key", F.coalesce("n_links", F.lit(0)).alias("n_links"), "text_hash", "class"

@@ -193,7 +193,7 @@ class _Queries:
 
     def __init__(self, vocabulary: Vocabulary, weights: np.ndarray, documents: int, total: int):
         self.queries, self.documents, self.total = vocabulary.queries, documents, total
-        self.width = len(weights)
+        self.width, self.bucket = len(weights), BUCKET
         self.terms, self.weights, self.norms, self.rest = [], [], [], []
         for terms in vocabulary.terms:
             own = weights[terms]
@@ -255,8 +255,8 @@ def _search(vectors: _Vectors, queries: _Queries, best: _Best, alive: np.ndarray
     """Hold all buckets of ``vectors`` against the queries."""
     n = len(vectors.norms)
     order = alive
-    for low in range(0, n, BUCKET):
-        high = min(n, low + BUCKET)
+    for low in range(0, n, queries.bucket):
+        high = min(n, low + queries.bucket)
         # Cauchy-Schwarz: the longest vector of the bucket cannot reach the bound.
         norms = np.array([queries.norms[q] for q in order]) * vectors.norms[low]
         order = order[norms >= best.bounds[order]] if len(order) else order

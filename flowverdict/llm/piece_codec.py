@@ -40,7 +40,9 @@ from flowverdict.llm.text import text_chunks
 
 BLANK = "▁"
 # Bounds of the word cache of a worker: words in each of its two halves, characters of a word.
-CACHED_WORDS, CACHED_LENGTH = 250_000, 48
+CACHED_WORDS, CACHED_LENGTH = 220_000, 48
+# Pairs of pieces whose compatibility a worker remembers.
+CACHED_PAIRS = 400_000
 # The library's text of an unknown id.
 UNKNOWN = " ⁇ "
 PROBES = ["", " ", "  a  b ", "a\nb\tc", "x▁▁y", "ﬁ ① İ é", " " * 99, "\0\r\n"]
@@ -122,7 +124,7 @@ class Pieces:
             name = self.text[i]
             shorter = (self._id.get(name[:k]) for k in range(len(name) - 1, 0, -1))
             self._shorter[i] = next((p for p in shorter if p in reachable), -1)
-        self._remerged: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
 
     def merge(self, text: str) -> tuple[list[int], tuple[int, int]]:
         """Plain merging of a short text of known characters; also the last merge made."""
@@ -139,9 +141,7 @@ class Pieces:
     def compatible(self, a: int, b: int) -> bool:
         """Whether merging the joint text of two pieces gives these two pieces."""
         if self._tied[a] or self._tied[b]:
-            if (a, b) not in self._remerged:
-                self._remerged[a, b] = self.merge(self.text[a] + self.text[b])[0] == [a, b]
-            return self._remerged[a, b]
+            return self.merge(self.text[a] + self.text[b])[0] == [a, b]
         known, text, rank = self._id.get, self.text, self._rank
         # A merge across the border counts if it comes before the merge undone last.
         limit = len(rank)
@@ -160,22 +160,34 @@ class Pieces:
 
     def _known(self, longest: list[int]) -> list[int]:
         """Pieces of a text from the longest match at each position; all characters known."""
-        size, shorter, compatible = self._size, self._shorter, self.compatible
-        n, at, out = len(longest), 0, []
+        size, shorter, pairs = self._size, self._shorter, self._pairs
+        n, at, out, last = len(longest), 0, [], -1
         failed = bytearray(n + 1)
         piece = longest[0]
+        if len(pairs) > CACHED_PAIRS:
+            pairs.clear()
         while True:
             if piece < 0:
                 failed[at] = 1
                 piece = out.pop()
+                last = out[-1] if out else -1
                 at -= size[piece]
                 piece = shorter[piece]
                 continue
             end = at + size[piece]
-            if failed[end] or (out and not compatible(out[-1], piece)):
+            if failed[end]:
                 piece = shorter[piece]
                 continue
+            if last >= 0:
+                pair = last << 32 | piece
+                fits = pairs.get(pair)
+                if fits is None:
+                    fits = pairs[pair] = self.compatible(last, piece)
+                if not fits:
+                    piece = shorter[piece]
+                    continue
             out.append(piece)
+            last = piece
             at = end
             if at == n:
                 return out

@@ -2,7 +2,8 @@
 
 1. Two logistic heads (low quality, toxic) are fitted in numpy on at most ``SAMPLE`` labelled
    documents, those of the smallest key hashes; whole texts are read.  Features are the words
-   whose presence differs significantly between the classes, and quantile bins of shape
+   whose presence differs significantly between the classes (at most ``MOST_SLOTS`` a head,
+   chosen by a grouped count, so that only they reach the driver), and quantile bins of shape
    measures (share of capitals, of symbols, of repeated and of distinct words, ...).
 2. Evidence of a document is the log-odds of being bad by the heads alone.
 3. One grouped aggregate over all documents sums the bad probability by host and path.  A
@@ -36,7 +37,7 @@ from flowverdict.sources.scratch import stored
 SAMPLE = 16_384
 THRESHOLD = 0.5
 SLOT_BITS = 18
-LEAST_Z, LEAST_ROWS = 4.5, 3
+LEAST_Z, LEAST_ROWS, MOST_SLOTS = 4.5, 3, 4096
 BINS = 12
 STEPS, RATE, RIDGE = 800, 0.1, 1e-5
 SYMBOLS = b"|$%&#*!=~^<>_{}[]@\\+"
@@ -109,8 +110,10 @@ def bin_of(shapes: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return (shapes[:, :, None] > edges[None]).sum(axis=2)
 
 
-def fit_head(rows: np.ndarray, slots: np.ndarray, shapes: np.ndarray, bad: np.ndarray) -> Head:
-    """Logistic regression by Adam on significant words and binned shapes."""
+def fit_head(
+    rows: np.ndarray, slots: np.ndarray, chosen: np.ndarray, shapes: np.ndarray, bad: np.ndarray
+) -> Head:
+    """Logistic regression by Adam on the chosen word slots (sorted) and binned shapes."""
     n, n_bad = len(bad), int(bad.sum())
     measures = shapes.shape[1] if shapes.ndim == 2 else 0
     words = np.zeros(1 << SLOT_BITS)
@@ -120,20 +123,14 @@ def fit_head(rows: np.ndarray, slots: np.ndarray, shapes: np.ndarray, bad: np.nd
     if n_bad == 0 or n_bad == n:
         return Head(bias, words, edges, bins)
     edges = np.quantile(shapes, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T.copy()
-    in_bad = np.bincount(slots, weights=bad[rows], minlength=len(words))
-    in_all = np.bincount(slots, minlength=len(words))
-    share = in_all / n
-    spread = np.sqrt(share * (1 - share) * (1 / n_bad + 1 / (n - n_bad))) + 1e-12
-    z = (in_bad / n_bad - (in_all - in_bad) / (n - n_bad)) / spread
-    chosen = np.flatnonzero((np.abs(z) >= LEAST_Z) & (in_all >= LEAST_ROWS))
-    number = np.full(len(words), -1)
+    number = np.full(len(words), -1, dtype=np.int32)
     number[chosen] = np.arange(len(chosen))
     use = number[slots] >= 0
     rows, columns = rows[use], number[slots[use]]
     # Words first, then one column for each bin of each measure, then the bias.
     binned = bin_of(shapes, edges) + np.arange(measures) * BINS + len(chosen)
-    rows = np.concatenate([rows, np.repeat(np.arange(n), measures)])
-    columns = np.concatenate([columns, binned.ravel()])
+    rows = np.concatenate([rows, np.repeat(np.arange(n, dtype=np.int32), measures)])
+    columns = np.concatenate([columns, binned.ravel().astype(np.int32)])
     width = len(chosen) + BINS * measures
     weights, first, second = np.zeros(width + 1), np.zeros(width + 1), np.zeros(width + 1)
     weights[-1] = bias
@@ -166,6 +163,47 @@ def _feature_rows(batches):
             )
 
 
+def _only(slots: np.ndarray):
+    """Rows of features with the given slots only."""
+    member = np.zeros(1 << SLOT_BITS, dtype=bool)
+    member[slots] = True
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("slots")
+            flat = lists.flatten().to_numpy()
+            kept = member[flat]
+            running = np.concatenate([[0], np.cumsum(kept)])
+            offsets = lists.offsets.to_numpy()
+            bounds = pa.array(running[offsets - offsets[0]].astype(np.int32))
+            own = pa.ListArray.from_arrays(bounds, pa.array(flat[kept]))
+            yield pa.record_batch([*batch.columns[:2], own, batch.column("shapes")], batch.schema.names)
+
+    return run
+
+
+def significant_slots(features: DataFrame, name: str, bad_value: int) -> np.ndarray:
+    """The word slots whose presence differs between the classes of a label, sorted.
+
+    Counted by a grouped aggregate; the driver gets the chosen slots, ``MOST_SLOTS`` at most
+    (those of the largest differences).
+    """
+    known = features.filter(F.col(name).isNotNull())
+    bad = (F.col(name) == bad_value).cast("long")
+    n, n_bad = known.agg(F.count("*"), F.coalesce(F.sum(bad), F.lit(0))).first()
+    if n_bad in (0, n):
+        return np.zeros(0, dtype=np.int64)
+    counts = known.select(F.explode("slots").alias("slot"), bad.alias("bad")).groupBy("slot")
+    counts = counts.agg(F.count("*").alias("in_all"), F.sum("bad").alias("in_bad"))
+    share = F.col("in_all") / n
+    spread = F.sqrt(share * (1 - share) * (1 / n_bad + 1 / (n - n_bad))) + 1e-12
+    z = (F.col("in_bad") / n_bad - (F.col("in_all") - F.col("in_bad")) / (n - n_bad)) / spread
+    chosen = counts.select("slot", "in_all", F.abs(z).alias("z"))
+    chosen = chosen.filter((F.col("z") >= LEAST_Z) & (F.col("in_all") >= LEAST_ROWS))
+    chosen = chosen.orderBy(F.desc("z"), "slot").limit(MOST_SLOTS)
+    return np.sort(chosen.select("slot").toArrow()["slot"].to_numpy())
+
+
 def train_heads(
     docs: DataFrame,
     labels: DataFrame,
@@ -173,7 +211,11 @@ def train_heads(
     key: str = "doc_id",
     sample: int = SAMPLE,
 ) -> list[Head]:
-    """Heads for low quality and toxicity; the driver gets features, not texts."""
+    """Heads for low quality and toxicity.
+
+    The driver gets no texts: for each labelled row its chosen slots as 32-bit integers and
+    eight measures.
+    """
     chosen = labels.select(
         F.col(key).alias("key"), F.col("quality").cast("int"), F.col("toxic").cast("int")
     ).filter("key IS NOT NULL")
@@ -181,24 +223,30 @@ def train_heads(
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     # At most ``sample`` label rows; a repeated key brings its documents, up to the same bound.
     joined = texts.join(F.broadcast(chosen), "key").select("text", "quality", "toxic")
-    got = joined.mapInArrow(
-        _feature_rows, "quality int, toxic int, slots array<int>, shapes array<double>"
-    )
-    got = got.limit(sample).toArrow()
-    slots = got["slots"].combine_chunks()
-    n = len(slots)
-    sizes = pc.fill_null(pc.list_value_length(slots), 0).to_numpy() if n else np.zeros(0, int)
-    rows, flat = np.repeat(np.arange(n), sizes), pc.list_flatten(slots).to_numpy()
-    shapes = np.array(got["shapes"].to_pylist(), dtype=float).reshape(n, -1 if n else 0)
-    heads = []
-    for name, bad_value in (("quality", 0), ("toxic", 1)):
-        label = np.array([-1 if v is None else v for v in got[name].to_pylist()], dtype=int)
+    schema = "quality int, toxic int, slots array<int>, shapes array<double>"
+    rows = stored(joined.mapInArrow(_feature_rows, schema).limit(sample), "features")
+    heads = [("quality", 0), ("toxic", 1)]
+    slots_of = {name: significant_slots(rows, name, bad) for name, bad in heads}
+    wanted = np.unique(np.concatenate(list(slots_of.values())))
+    got = rows.mapInArrow(_only(wanted), schema).toArrow().combine_chunks()
+    lists = got["slots"].combine_chunks()
+    n = got.num_rows
+    flat = lists.flatten().to_numpy().astype(np.int32) if n else np.zeros(0, np.int32)
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy() if n else np.zeros(0, int)
+    owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
+    shapes = got["shapes"].combine_chunks().flatten().to_numpy() if n else np.zeros(0)
+    shapes = shapes.reshape(n, -1 if n else 0)
+    labelled = {name: got[name].to_pylist() for name, _ in heads}
+    del got, lists
+    found = []
+    for name, bad_value in heads:
+        label = np.array([-1 if v is None else v for v in labelled[name]], dtype=int)
         known = label >= 0
-        number = np.cumsum(known) - 1
-        use = known[rows]
+        number = (np.cumsum(known) - 1).astype(np.int32)
+        use = known[owner]
         bad = (label[known] == bad_value).astype(float)
-        heads.append(fit_head(number[rows[use]], flat[use], shapes[known], bad))
-    return heads
+        found.append(fit_head(number[owner[use]], flat[use], slots_of[name], shapes[known], bad))
+    return found
 
 
 def evidence_column(heads: list[Head], text: Column) -> Column:

@@ -38,7 +38,7 @@ from flowverdict.sources.scratch import stored
 
 TABLE_PAIRS = 1 << 20
 # Pairs held in a task before they are added up, and before the sums leave it.
-HELD_PAIRS = 1 << 21
+HELD_PAIRS = 1 << 20
 # An A id and a B id in one number.
 B_BITS = 24
 CHUNK_BYTES = 1 << 20
@@ -123,8 +123,18 @@ def links(
     ends_a: np.ndarray, ends_b: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """Indices of the A and B tokens over each stretch between neighbouring ends."""
-    merged = np.union1d(ends_a, ends_b)
-    return np.searchsorted(ends_a, merged), np.searchsorted(ends_b, merged)
+    both = np.concatenate([ends_a, ends_b])
+    # Two sorted runs are merged; of equal ends that of A comes first.
+    order = np.argsort(both, kind="stable")
+    both, is_a = both[order], order < len(ends_a)
+    last = np.ones(len(both), dtype=bool)
+    last[:-1] = both[1:] != both[:-1]
+    until_a = np.cumsum(is_a)
+    until_b = np.arange(1, len(both) + 1) - until_a
+    with_a, with_b = is_a.copy(), ~is_a
+    with_a[1:] |= (both[1:] == both[:-1]) & is_a[:-1]
+    # Tokens that end before the end of the stretch.
+    return (until_a - with_a)[last], (until_b - with_b)[last]
 
 
 # -- encoding ------------------------------------------------------------------------------

@@ -25,8 +25,9 @@ def near_duplicate_rows(docs, threshold=0.8):
     """{doc_id: (class_id, n_links)} of (doc_id, text) pairs; ids are not null."""
     nodes = {}
     for i, text in docs:
-        nodes.setdefault(frozenset(shingles(text)), []).append(i)
-    sets = list(nodes)
+        own = frozenset(shingles(text))
+        nodes.setdefault((own, "" if own else text or ""), []).append(i)
+    groups, sets = list(nodes.values()), [own for own, _ in nodes]
     parent, links = list(range(len(sets))), Counter()
 
     def find(x):
@@ -42,10 +43,10 @@ def near_duplicate_rows(docs, threshold=0.8):
                 x, y = find(i), find(j)
                 parent[max(x, y)] = min(x, y)
     classes = {}
-    for i, s in enumerate(sets):
-        classes.setdefault(find(i), []).extend(nodes[s])
+    for i, group in enumerate(groups):
+        classes.setdefault(find(i), []).extend(group)
     return {
-        d: (min(classes[find(i)]), links[i]) for i, s in enumerate(sets) for d in nodes[s]
+        d: (min(classes[find(i)]), links[i]) for i, group in enumerate(groups) for d in group
     }
 
 

@@ -72,3 +72,16 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert exact_dedup.duplicate_groups(empty).collect() == []
     assert exact_dedup.keep_one(empty).collect() == []
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "long"])
+def test_keys_of_any_type(spark, kind):
+    rows = [("2024-01-01", "a"), ("2024-03-01", "a"), (None, "a"), (None, "b"), (None, "b"), ("2024-02-01", None)]
+    key = {"string": "k", "date": "cast(k AS date)", "long": "cast(replace(k, '-', '') AS long)"}[kind]
+    docs = spark.createDataFrame(rows, "k string, text string").selectExpr(f"{key} AS doc_id", "text")
+    for hot in (1000, 2):
+        got = exact_dedup.keep_one(docs, hot_rows=hot).selectExpr("cast(doc_id AS string) AS k", "text").collect()
+        want = {("2024-03-01", "a"), (None, "b"), ("2024-02-01", None)}
+        if kind == "long":
+            want = {(k and k.replace("-", ""), t) for k, t in want}
+        assert len(got) == 3 and {tuple(r) for r in got} == want

@@ -18,7 +18,7 @@ def corpus(seed):
     def sentence(n):
         return " ".join(rng.choices(VOCABULARY, k=n))
 
-    texts = [None, "", "!!!", "one", "One!", "two words", sentence(20_000)]
+    texts = [None, "", "!!!", "---", "***", "!!!", "one", "One!", "two words", sentence(20_000)]
     for size, copies in ((60, 40), (100, 25), (200, 6), (30, 4)):
         base = sentence(size).split()
         for _ in range(copies):

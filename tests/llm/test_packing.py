@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -9,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from flowverdict.llm import packing
+from flowverdict.llm import bpe, packing
 from flowverdict.llm.bpe import encode
 
 PATH = str(public_tokenizers.path("byte_bpe_50k.json"))
@@ -103,3 +104,18 @@ def test_sequences_and_digests(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack_documents(empty, PATH).collect() == []
+
+
+def test_long_runs_of_blanks(monkeypatch):
+    """Runs that the matcher cannot take give the ids of the library."""
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    library = Tokenizer.from_file(path)
+    for text in ("x" + " " * 2_000_000 + "y", "\n" * 2_000_000, "a" + "\t" * 2_000_000):
+        assert b"".join(bpe.token_bytes(path)[i] for i in bpe.encode(path, text)) == text.encode()
+    monkeypatch.setattr(bpe, "_LONG_RUN", re.compile(f"[{bpe.BLANKS}]{{3,}}"))
+    monkeypatch.setattr(bpe, "LONG_RUN", 3)
+    rng = random.Random(2)
+    parts = ["a", " ", "  ", "   ", "\n", "\t", " ", "\x1c", "1", "'s", "!", "é", "<|endoftext|>", "　"]
+    for _ in range(3000):
+        text = "".join(rng.choices(parts, k=rng.randrange(1, 14)))
+        assert bpe.encode(path, text) == library.encode(text, add_special_tokens=False).ids

@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_names():
     numbered = sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES if n.startswith("op"))
-    assert numbered == list(range(1, 11)) and "pipeline" in LLM_QUERIES
+    assert numbered == list(range(1, 14)) and "pipeline" in LLM_QUERIES
     assert set(LLM_ORACLES) <= set(LLM_QUERIES)
 
 
