@@ -797,3 +797,8 @@ def stream_batch(spark, sf_dir):
         key=KEY,
     ).awaitTermination()
     return spark.read.parquet(f"{folder}/rows").drop("batch_id")
+
+
+# -- requests ----------------------------------------------------------------------------
+
+from checks import requests as _requests  # noqa: E402, F401  registers its queries

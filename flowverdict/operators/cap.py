@@ -52,12 +52,18 @@ def cut_off(df: DataFrame, n: int, order_by: list[str]) -> Row | None:
     within = n - (edge["__upto"] - edge["__size"])
     rank = F.row_number().over(Window.partitionBy("__part").orderBy(*order_by))
     last = ranged.filter(F.col("__part") == edge["__part"]).withColumn("__rank", rank)
-    return last.filter(F.col("__rank") == within).select(*order_by).first()
+    # Equal keys share a range partition, so the row after the last one tells of a tie.
+    found = last.filter(F.col("__rank").isin(within, within + 1)).orderBy("__rank")
+    found = found.select(*order_by).collect()
+    if len(found) == 2 and found[0] == found[1]:
+        raise ValueError(f"the order key {tuple(found[0])} at row {n} is repeated")
+    return found[0]
 
 
 def row_cap(df: DataFrame, n: int | None, order_by: list[str]) -> DataFrame:
-    """The first ``n`` rows in the order of ``order_by``, which must identify each row; all
-    of them for ``None``.
+    """The first ``n`` rows in the order of ``order_by``; all of them for ``None``.
+
+    The key of row ``n`` must not be that of row ``n + 1``, or it is an error.
 
     The same plan for every ``n``: the key of the n-th row is looked up when this function
     is called, the result is a lazy filter on it.  Nulls come first.
