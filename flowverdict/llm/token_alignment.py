@@ -28,11 +28,12 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import sentencepiece
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowverdict.llm import bpe
-from flowverdict.llm.piece_codec import id_lists, pieces
+from flowverdict.llm.piece_codec import BLANK, id_lists
 from flowverdict.llm.text import text_chunks
 from flowverdict.sources.scratch import stored
 
@@ -114,8 +115,9 @@ def shared_cuts(
         cut_a = cut + 1
         found_a.append(cut_a)
         found_b.append(cut_b)
-        low_a, high_a = np.concatenate([low_a, cut_a]), np.concatenate([cut_a, high_a])
-        low_b, high_b = np.concatenate([low_b, cut_b]), np.concatenate([cut_b, high_b])
+        # In order, so that the next bisections go through memory in order.
+        low_a, high_a = (np.column_stack(x).ravel() for x in ((low_a, cut_a), (cut_a, high_a)))
+        low_b, high_b = (np.column_stack(x).ravel() for x in ((low_b, cut_b), (cut_b, high_b)))
     return np.sort(np.concatenate(found_a)), np.sort(np.concatenate(found_b))
 
 
@@ -143,10 +145,18 @@ class _Tables:
     def __init__(self, path_a: str, path_b: str):
         as_bytes = bpe.token_bytes(path_a)
         self.size_a = np.array([len(b) for b in as_bytes], dtype=np.int64)
-        self.model = pieces(path_b)
-        self.size_b = np.array([len(b) for b in self.model.surface], dtype=np.int64)
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path_b)
+        names = [self.model.id_to_piece(i) for i in range(len(self.model))]
+        # A byte piece stands for one byte, a blank's mark for one blank.
+        self.size_b = np.array(
+            [
+                1 if self.model.is_byte(i) else len(name.replace(BLANK, " ").encode())
+                for i, name in enumerate(names)
+            ],
+            dtype=np.int64,
+        )
         self.text_a = self._with_marks(len(as_bytes), "|")
-        self.text_b = self._with_marks(len(self.model.surface), ";")
+        self.text_b = self._with_marks(len(names), ";")
 
     @staticmethod
     def _with_marks(n: int, last: str) -> np.ndarray:
@@ -159,14 +169,49 @@ def tables(path_a: str, path_b: str) -> _Tables:
     return _Tables(path_a, path_b)
 
 
-def _encoded(text: str, path_a: str, model) -> tuple[list[int], list[int]]:
-    if not text:
-        return [], []
-    b = model.encode(text, end=False)
-    joined = b"".join([model.surface[i] for i in b])
-    if joined != b" " + text.encode():
-        return [], []
-    return bpe.encode_plain(path_a, " " + text), b
+def blobs(values: np.ndarray, first: np.ndarray) -> pa.Array:
+    """One binary value for each row: its numbers, little-endian."""
+    offsets = (first * values.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(
+        pa.binary(), len(first) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)]
+    )
+
+
+def unblob(column: pa.Array, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all rows, and where each row's begin (n + 1)."""
+    column = column.cast(pa.binary())
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    ends = ends.astype(np.int64)
+    width = np.dtype(dtype).itemsize
+    count = int(ends[-1] - ends[0]) // width
+    if not count:
+        return np.zeros(0, dtype), np.zeros(len(ends), np.int64)
+    return np.frombuffer(data, dtype, count, int(ends[0])), (ends - ends[0]) // width
+
+
+# Ids and group sizes as they are stored.
+ID, SIZE = np.dtype("<u4"), np.dtype("<u4")
+SMALL_ID = np.dtype("<u2")
+
+
+def _id_types(t: _Tables) -> tuple[np.dtype, np.dtype]:
+    return tuple(SMALL_ID if len(size) <= 1 << 16 else ID for size in (t.size_a, t.size_b))
+
+
+def _encoded(texts: list[str | None], path_a: str, t: _Tables) -> list[tuple[list, list]]:
+    """Ids of both sides of some texts.
+
+    All pieces are parts of the normalised text, so joined they can differ from the blank and
+    the text only where the text holds the mark of a blank itself, which is longer than a blank.
+    """
+    out = []
+    for text, b in zip(texts, t.model.encode([x or "" for x in texts], num_threads=1), strict=True):
+        if not text or int(t.size_b[b].sum()) != 1 + len(text.encode()):
+            out.append(([], []))
+        else:
+            out.append((bpe.encode_plain(path_a, " " + text), b))
+    return out
 
 
 def _counts(first: np.ndarray, cuts: np.ndarray) -> np.ndarray:
@@ -178,13 +223,11 @@ def _counts(first: np.ndarray, cuts: np.ndarray) -> np.ndarray:
 def _aligner(path_a: str, path_b: str):
     def run(batches):
         t = tables(path_a, path_b)
+        type_a, type_b = _id_types(t)
         for batch in batches:
             texts = batch.column("text")
             for low, high in text_chunks(texts, CHUNK_BYTES):
-                rows = [
-                    _encoded(text, path_a, t.model)
-                    for text in texts.slice(low, high - low).to_pylist()
-                ]
+                rows = _encoded(texts.slice(low, high - low).to_pylist(), path_a, t)
                 a, b = id_lists([r[0] for r in rows]), id_lists([r[1] for r in rows])
                 ids_a, first_a = a.values.to_numpy(), a.offsets.to_numpy().astype(np.int64)
                 ids_b, first_b = b.values.to_numpy(), b.offsets.to_numpy().astype(np.int64)
@@ -194,55 +237,72 @@ def _aligner(path_a: str, path_b: str):
                 cut_a, cut_b = shared_cuts(ends_a, ends_b, own_a, own_b)
                 groups = np.zeros(high - low, dtype=np.int64)
                 groups[some] = _counts(own_a, cut_a)
-                bounds = pa.array(np.concatenate([[0], np.cumsum(groups)]).astype(np.int32))
-
-                def sizes(cuts, bounds=bounds):
-                    own = np.diff(cuts, prepend=0).astype(np.int32)
-                    return pa.ListArray.from_arrays(bounds, pa.array(own))
-
+                first = np.concatenate([[0], np.cumsum(groups)])
                 yield pa.record_batch(
                     {
                         "row": batch.column("row").slice(low, high - low),
                         "key": batch.column("key").slice(low, high - low),
-                        "a": a,
-                        "b": b,
-                        "group_a": sizes(cut_a),
-                        "group_b": sizes(cut_b),
+                        "a": blobs(ids_a.astype(type_a), first_a),
+                        "b": blobs(ids_b.astype(type_b), first_b),
+                        "group_a": blobs(np.diff(cut_a, prepend=0).astype(SIZE), first),
+                        "group_b": blobs(np.diff(cut_b, prepend=0).astype(SIZE), first),
                     }
                 )
 
     return run
 
 
-def align(
-    docs: DataFrame, path_a: str, path_b: str, text: str = "text", key: str = "doc_id"
-) -> DataFrame:
-    """Stored: row, key, ids ``a`` and ``b``, and the tokens of each group (group_a, group_b)."""
+def aligned_blobs(docs: DataFrame, path_a: str, path_b: str, text: str, key: str) -> DataFrame:
+    """Stored: row, key, and numbers in binary form: ids, and tokens of each group."""
     narrow = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(key).alias("key"),
         F.col(text).alias("text"),
     )
     schema = (
-        f"row long, key {dict(docs.dtypes)[key]}, a array<int>, b array<int>, "
-        "group_a array<int>, group_b array<int>"
+        f"row long, key {dict(docs.dtypes)[key]}, a binary, b binary, "
+        "group_a binary, group_b binary"
     )
     return stored(narrow.mapInArrow(_aligner(path_a, path_b), schema), "aligned")
 
 
+def align(
+    docs: DataFrame, path_a: str, path_b: str, text: str = "text", key: str = "doc_id"
+) -> DataFrame:
+    """One row per document: key, ids ``a`` and ``b``, and the tokens of each group of either
+    side (group_a, group_b)."""
+    names = ["a", "b", "group_a", "group_b"]
+
+    def run(batches):
+        t = tables(path_a, path_b)
+        types = dict(zip(names, [*_id_types(t), SIZE, SIZE], strict=True))
+        for batch in batches:
+            lists = {}
+            for name, dtype in types.items():
+                values, first = unblob(batch.column(name), dtype)
+                lists[name] = pa.ListArray.from_arrays(
+                    pa.array(first.astype(np.int32)), pa.array(values.astype(np.int32))
+                )
+            yield pa.record_batch({"key": batch.column("key")} | lists)
+
+    found = aligned_blobs(docs, path_a, path_b, text, key)
+    schema = f"key {dict(docs.dtypes)[key]}, " + ", ".join(f"{n} array<int>" for n in names)
+    return found.select("key", *names).mapInArrow(run, schema)
+
+
 # -- counts --------------------------------------------------------------------------------
 
-def _flat(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
-    column = batch.column(name)
-    offsets = column.offsets.to_numpy().astype(np.int64)
-    return column.flatten().to_numpy(), offsets - offsets[0]
+def _sides(batch: pa.RecordBatch, t: _Tables):
+    """Ids of A, where rows begin in them, and the same of B."""
+    type_a, type_b = _id_types(t)
+    return *unblob(batch.column("a"), type_a), *unblob(batch.column("b"), type_b)
 
 
 def _links_of(batch: pa.RecordBatch, t: _Tables):
     """Codes of the pairs of all links of the rows, and the row of each."""
-    (ids_a, first_a), (ids_b, _) = _flat(batch, "a"), _flat(batch, "b")
+    ids_a, first_a, ids_b, _ = _sides(batch, t)
     at_a, at_b = links(np.cumsum(t.size_a[ids_a]), np.cumsum(t.size_b[ids_b]))
-    codes = ids_a[at_a].astype(np.int64) << B_BITS | ids_b[at_b]
+    codes = ids_a[at_a].astype(np.int64) << B_BITS | ids_b[at_b].astype(np.int64)
     return codes, np.searchsorted(first_a, at_a, side="right") - 1
 
 
@@ -306,8 +366,8 @@ def pair_counts(aligned: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
 def group_texts(batch: pa.RecordBatch, t: _Tables) -> list[str]:
     """``a1,a2|b1;a3|b2,b3`` of each row: groups in order, ids in decimal."""
-    (ids_a, first_a), (ids_b, first_b) = _flat(batch, "a"), _flat(batch, "b")
-    (in_a, first), (in_b, _) = _flat(batch, "group_a"), _flat(batch, "group_b")
+    ids_a, first_a, ids_b, first_b = _sides(batch, t)
+    in_a, in_b = (unblob(batch.column(f"group_{x}"), SIZE)[0].astype(np.int64) for x in "ab")
     out = np.empty(len(ids_a) + len(ids_b), dtype=object)
     for ids, sizes, before, marks in (
         (ids_a, in_a, np.cumsum(in_b) - in_b, t.text_a),
@@ -331,19 +391,20 @@ def _result(path_a: str, path_b: str, table: tuple[np.ndarray, np.ndarray], whol
         for batch in _slices(batches):
             n = batch.num_rows
             codes, rows = _links_of(batch, t)
+            _, first_a, _, first_b = _sides(batch, t)
             at = np.minimum(np.searchsorted(known, codes), max(0, len(known) - 1))
             hit = known[at] == codes if len(known) else np.zeros(len(codes), dtype=bool)
             value = values[at[hit]]
             # The lowest bit of a value says best.
             total = np.zeros(n, dtype=np.int64)
-            np.add.at(total, rows[hit], value >> 1)
+            np.add.at(total, rows[hit], value >> 1)  # 64-bit integers
             best = np.bincount(rows[hit], weights=value & 1, minlength=n).astype(np.int64)
             out = {
                 "row": batch.column("row"),
                 "key": batch.column("key"),
-                "n_a": np.diff(_flat(batch, "a")[1]),
-                "n_b": np.diff(_flat(batch, "b")[1]),
-                "n_groups": np.diff(_flat(batch, "group_a")[1]),
+                "n_a": np.diff(first_a),
+                "n_b": np.diff(first_b),
+                "n_groups": np.diff(unblob(batch.column("group_a"), SIZE)[1]),
                 "n_links": np.bincount(rows, minlength=n),
                 "n_best": best,
                 "count_sum": total,
@@ -368,7 +429,7 @@ def alignment_counts(
     table_pairs: int = TABLE_PAIRS,
 ) -> DataFrame:
     """One row per document: key, n_a, n_b, n_groups, n_links, n_best, count_sum, groups."""
-    aligned = align(docs, path_a, path_b, text, key)
+    aligned = aligned_blobs(docs, path_a, path_b, text, key)
     pairs = pair_counts(aligned, path_a, path_b)
     whole = pairs.count() <= table_pairs
     top = pairs if whole else pairs.orderBy(F.desc("count"), "pair").limit(table_pairs)

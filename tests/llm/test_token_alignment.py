@@ -150,7 +150,7 @@ def test_cuts(seed):
 def test_pair_counts_leave_tasks_in_parts(spark, monkeypatch, plain):
     docs = corpus()
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
-    aligned = ta.align(frame, A, B)
+    aligned = ta.aligned_blobs(frame, A, B, "text", "doc_id")
     want = {r.pair: (r["count"], r.best) for r in ta.pair_counts(aligned, A, B).collect()}
     counter = ta._pair_counter(A, B)
     monkeypatch.setattr(ta, "HELD_PAIRS", 64)
@@ -162,6 +162,16 @@ def test_pair_counts_leave_tasks_in_parts(spark, monkeypatch, plain):
     assert len(parts) > 1 and sums == {p: n for p, (n, _) in want.items()}
 
 
+def test_aligned_ids(spark, plain):
+    docs = corpus()
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.key: r for r in ta.align(frame, A, B).collect()}
+    for key, text in docs:
+        a, b = plain.tokens(text)
+        assert (got[key].a, got[key].b) == ([t[0] for t in a], [t[0] for t in b])
+        assert sum(got[key].group_a) == len(a) and sum(got[key].group_b) == len(b)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id string, text string")
     assert ta.alignment_counts(docs, A, B).collect() == []
