@@ -37,9 +37,9 @@ def quote(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def real(x: float) -> str:
-    """A DOUBLE literal (plain decimals would be DECIMAL)."""
-    return f"CAST({x!r} AS DOUBLE)"
+def real(x: float | str) -> str:
+    """A DOUBLE literal (plain decimals would be DECIMAL); names of columns are left alone."""
+    return x if isinstance(x, str) else f"CAST({x!r} AS DOUBLE)"
 
 
 # -- flow tables ---------------------------------------------------------------------
@@ -168,8 +168,8 @@ def rounded(name: str, value: str, digits: int) -> str:
 # -- fusion -----------------------------------------------------------------------------
 
 def fused(
-    source: str, rule_weight: float = 0.55, ml_weight: float = 0.45,
-    alert_at: float = 0.35, block_at: float = 0.70, name: str = "fused",
+    source: str, rule_weight: float | str = 0.55, ml_weight: float | str = 0.45,
+    alert_at: float | str = 0.35, block_at: float | str = 0.70, name: str = "fused",
 ) -> str:
     """``source`` has the summary columns plus anomaly_score and is_anomaly.
 

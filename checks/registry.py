@@ -801,4 +801,5 @@ def stream_batch(spark, sf_dir):
 
 # -- requests ----------------------------------------------------------------------------
 
-from checks import requests as _requests  # noqa: E402, F401  registers its queries
+from checks import profiles as _profiles  # noqa: E402, F401  registers its queries
+from checks import requests as _requests  # noqa: E402, F401
