@@ -14,7 +14,12 @@ from flowverdict.operators.features import identity_columns, minmax_frame, with_
 from flowverdict.operators.forest import scale_score
 from flowverdict.operators.fusion import FusionSettings, decision_record, fuse, fuse_each
 from flowverdict.operators.ingest import benign_only, ingest
-from flowverdict.operators.rules import evaluate_rules, exploded_matches, rule_results
+from flowverdict.operators.rules import (
+    evaluate_rules,
+    exploded_matches,
+    match_large,
+    rule_results,
+)
 from flowverdict.operators.rules_relational import matches_by_division
 from flowverdict.operators.upstream import with_rare_destination
 from flowverdict.plans import catalog_checks, reports, results
@@ -347,6 +352,33 @@ def large_catalog_hits(spark, sf_dir):
     return hits.agg(F.count(F.lit(1)).alias("flows"))
 
 
+_INDEXED_RULES = 20_000
+
+
+def _indexed_catalog() -> list[Rule]:
+    """Rule i: one source port, and for two rules in three a bound on the packets."""
+    rules = []
+    for i in range(_INDEXED_RULES):
+        own = [Condition("src_port", "==", 1024 + (i * 7) % 60000)]
+        if i % 3:
+            own.append(Condition("pkt_count", ">" if i % 3 == 1 else "!=", i % 500))
+        rules.append(Rule(f"IDX-{i}", f"indexed {i}", "Generated", SEVERITIES[i % 4], 0.5, tuple(own)))
+    return rules
+
+
+@register(
+    "indexed_catalog_hits",
+    f"""WITH {o.flows()}, rules AS (
+      SELECT CAST(i AS INTEGER) AS rule_idx, 1024 + (i * 7) % 60000 AS port, i % 500 AS bound
+      FROM (SELECT unnest(range({_INDEXED_RULES})) AS i))
+    SELECT event_id, rule_idx FROM flows JOIN rules ON src_port = port
+     AND CASE rule_idx % 3 WHEN 1 THEN pkt_count > bound WHEN 2 THEN pkt_count != bound ELSE true END""",
+)
+def indexed_catalog_hits(spark, sf_dir):
+    """Twenty thousand rules by their most selective condition."""
+    return exploded_matches(match_large(full(spark, sf_dir), _indexed_catalog()), KEY)
+
+
 @register(
     "rule_group_hits",
     f"""{_CATALOG_HITS} SELECT category, severity, count(*) AS rules,

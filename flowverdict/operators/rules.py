@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from flowverdict.functions import sqltext as sql
 from flowverdict.functions.pytext import python_text
 from flowverdict.operators.compare import STRICT, TYPED, compare_column, compare_values
-from flowverdict.operators.rules_relational import matched_by_data
+from flowverdict.operators.rule_index import matched_by_index
 from flowverdict.schema import SEVERITIES
 from flowverdict.sources.catalog import Condition, Rule
 
@@ -126,7 +126,7 @@ def match_large(df: DataFrame, rules: list[Rule], mode: str = STRICT) -> DataFra
     """Add ``matched`` for a catalog of any size."""
     if mode == TYPED:
         raise ValueError(f"typed comparison is for catalogs of at most {COMPILED_RULES} rules")
-    return df.withColumn(MATCHED, matched_by_data(df, rules))
+    return df.withColumn(MATCHED, matched_by_index(df, rules))
 
 
 def summarise_large(df: DataFrame, rules: list[Rule]) -> DataFrame:

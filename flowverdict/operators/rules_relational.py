@@ -37,7 +37,7 @@ def constant_rules(rules: list[Rule], fields: list[str]) -> Column:
     return F.expr(sql.array(rows) if rows else empty)
 
 
-def _reading(name: str, types: dict[str, T.DataType]) -> str:
+def field_reading(name: str, types: dict[str, T.DataType]) -> tuple[str, str]:
     """A field as number (null if it does not read as one) and as upper-case text."""
     if name not in types:
         number, shown = "0D", "'0'"
@@ -48,6 +48,11 @@ def _reading(name: str, types: dict[str, T.DataType]) -> str:
             number = f"CAST({c} AS DOUBLE)"
         else:
             number = text_to_number(f"CAST({c} AS STRING)")
+    return number, shown
+
+
+def _reading(name: str, types: dict[str, T.DataType]) -> str:
+    number, shown = field_reading(name, types)
     return f"struct({number} AS actual, {shown} AS actual_text)"
 
 
