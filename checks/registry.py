@@ -33,6 +33,7 @@ from flowverdict.sources.model_store import load_model, save_model
 from flowverdict.sources.scratch import scratch_folder
 from flowverdict.sources.writers import write_csv
 from flowverdict.streaming.scoring import score_stream, start_batch_scoring
+from flowverdict.streaming.statistics import running_bounds, start_running_bounds
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -831,6 +832,30 @@ def stream_batch(spark, sf_dir):
     return spark.read.parquet(f"{folder}/rows").drop("batch_id")
 
 
+@register(
+    "stream_running_bounds",
+    """SELECT event_type, count(*) AS events, min(value) AS least_value, max(value) AS most_value,
+      min(user_id)::DOUBLE AS least_user, max(user_id)::DOUBLE AS most_user FROM events GROUP BY event_type""",
+)
+def stream_running_bounds(spark, sf_dir):
+    """Bounds kept in state per event type; without expiry they are those of all events."""
+    folder = scratch_folder(spark, "stream-bounds")
+    updates = running_bounds(
+        _event_stream(spark, sf_dir), "event_type", "ts", ["value", "user_id"], "1 hour", 10**9
+    )
+    start_running_bounds(updates, f"{folder}/rows", f"{folder}/checkpoint").awaitTermination()
+    last = F.max_by(F.struct("rows", "minima", "maxima"), "rows").alias("last")
+    found = spark.read.parquet(f"{folder}/rows").groupBy("group").agg(last)
+    return found.select(
+        F.col("group").alias("event_type"),
+        F.col("last.rows").alias("events"),
+        F.col("last.minima")[0].alias("least_value"),
+        F.col("last.maxima")[0].alias("most_value"),
+        F.col("last.minima")[1].alias("least_user"),
+        F.col("last.maxima")[1].alias("most_user"),
+    )
+
+
 # -- requests ----------------------------------------------------------------------------
 
 from checks import profiles as _profiles  # noqa: E402, F401  registers its queries
