@@ -58,9 +58,11 @@ def contaminated_pairs(docs, items, threshold=0.8):
         for item, item_text in items:
             bag = Counter(shingles(item_text))
             n = sum(bag.values())
-            for at in range(len(own) - n + 1) if n else ():
-                shared = sum((Counter(own[at : at + n]) & bag).values())
-                similarity = shared / (2 * n - shared)
+            # A text that is shorter than the item is one window as a whole.
+            for at in range(max(1, len(own) - n + 1)) if n and own else ():
+                window = own[at : at + n]
+                shared = sum((Counter(window) & bag).values())
+                similarity = shared / (n + len(window) - shared)
                 if similarity >= threshold and similarity > found.get((i, item), (0, 0))[0]:
                     found[i, item] = similarity, at
     return found
