@@ -29,7 +29,7 @@ from flowverdict import (  # noqa: E402
 from flowverdict.operators.features import minmax_frame  # noqa: E402
 from flowverdict.operators.ingest import ingest  # noqa: E402
 from flowverdict.plans import reports, results  # noqa: E402
-from flowverdict.sources import event_flows as ef  # noqa: E402
+from checks import event_flows as ef  # noqa: E402
 from flowverdict.sources.catalog import catalog_frame  # noqa: E402
 from flowverdict.sources.scratch import scratch_folder  # noqa: E402
 

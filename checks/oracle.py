@@ -11,7 +11,7 @@ import json
 import math
 
 from flowverdict.schema import FEATURES, KNOWN_PROTOCOLS, SCALED_FEATURES
-from flowverdict.sources.event_flows import CORE_COLUMNS, FLAGS, LABELS, PICKED
+from checks.event_flows import CORE_COLUMNS, FLAGS, LABELS, PICKED
 from flowverdict.sources.signatures import SIGNATURE_FILE
 
 SIGNATURES = [

@@ -10,7 +10,7 @@ from flowverdict.operators import profiles as pr
 from flowverdict.operators.fusion import FusionSettings
 from flowverdict.operators.rules import evaluate_rules
 from flowverdict.plans import reports
-from flowverdict.sources import event_flows as ef
+from checks import event_flows as ef
 from flowverdict.sources.catalog import default_catalog
 
 # Flows go to the user; one user in three has few flows of its own.

@@ -26,7 +26,7 @@ from flowverdict.plans import catalog_checks, reports, results
 from flowverdict.plans.pipeline import FROZEN, score_flows, train_model
 from flowverdict.schema import FEATURES, REPORT_ROWS, SEVERITIES, VECTOR
 from flowverdict.session import tune_session
-from flowverdict.sources import event_flows as ef
+from checks import event_flows as ef
 from flowverdict.sources.catalog import Condition, Rule, catalog_frame, default_catalog
 from flowverdict.sources.flow_csv import read_flow_csv
 from flowverdict.sources.model_store import load_model, save_model

@@ -18,7 +18,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def flows(spark):
-    from flowverdict.sources.event_flows import flows_from_events, read_events
+    from checks.event_flows import flows_from_events, read_events
 
     return flows_from_events(read_events(spark, SF))
 

@@ -52,7 +52,7 @@ def test_same_as_testing_every_rule(spark, monkeypatch, seed, pairs):
 
 
 def test_shipped_rules(spark, flows_table=None):
-    from flowverdict.sources.event_flows import flows_from_events, read_events
+    from checks.event_flows import flows_from_events, read_events
 
     df = flows_from_events(read_events(spark, "/root/testdata/sf0.001"))
     rules = default_catalog()

@@ -20,7 +20,7 @@ from flowverdict.sources.catalog import (
     load_catalog,
     rules_from_dicts,
 )
-from flowverdict.sources.event_flows import core_flows, flows_from_events, read_events
+from checks.event_flows import core_flows, flows_from_events, read_events
 from pyspark.sql import types as T
 
 

@@ -1,7 +1,7 @@
 import pytest
 
 from flowverdict import score_flows
-from flowverdict.sources.event_flows import flows_from_events, read_events
+from checks.event_flows import flows_from_events, read_events
 from flowverdict.sources.scratch import scratch_folder
 from flowverdict.streaming.scoring import score_stream, start_batch_scoring
 from tests.conftest import SF
