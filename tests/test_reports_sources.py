@@ -201,3 +201,21 @@ def test_catalog_through_the_readers_of_spark(spark, tmp_path):
     file = tmp_path / "rules.json"
     file.write_text(json.dumps({"rules": [{"id": "A", "conditions": [{"field": "x", "op": ">", "value": 1}]}]}))
     assert load_catalog(f"file://{file}", spark) == load_catalog(file)
+
+
+def test_scratch_folders_are_removed(spark):
+    from pathlib import Path
+
+    from flowverdict.sources.scratch import remove_scratch, scratch_folder, scratch_scope, stored
+
+    before = stored(spark.range(5), "kept")
+    with pytest.raises(RuntimeError), scratch_scope(spark):
+        inside = stored(spark.range(9), "inside")
+        assert inside.count() == 9
+        raise RuntimeError
+    path = [Path(f.removeprefix("file:")) for f in inside.inputFiles()]
+    assert before.count() == 5 and not any(p.exists() for p in path)
+    own = scratch_folder(spark, "own")
+    spark.range(3).write.parquet(own)
+    assert remove_scratch(spark, [own]) == 1 and not Path(own).exists()
+    assert remove_scratch(spark, [own]) == 0 and before.count() == 5
