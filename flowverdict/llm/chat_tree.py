@@ -19,7 +19,8 @@ strings occur only where the template puts them, and ``unescape`` gives the text
    intervals: for each chain on its path the places of the tokens it may see, its own chain up
    to its own end included (within its own tokens attention is causal).
 
-Null ids are one conversation, ranked last; null roles and texts count as empty.  Turns are
+Conversation ids are integers (others that cannot be cast are an error).  Null ids are one
+conversation, ranked last; null roles and texts count as empty.  Turns are
 ordered by turn (nulls first), then role, then text, and repeated rows are turns of their
 own.  Extra columns are ignored.  An empty table gives an empty tree.  A conversation is
 streamed through one task whatever its length; it is never held as a whole.
