@@ -14,9 +14,9 @@ encoded from left to right:
    position is marked in a field of failed positions, so that no end is tried twice, and the
    last piece is shortened.
 
-Texts are cut before a blank that follows something else, since no piece spans such a border
-(this is verified when a model is loaded); the pieces of such words are kept in a bounded
-cache.  Characters without a piece become byte pieces.
+Texts are cut where no piece can span the cut, between letters, signs and digits and before
+blanks (that every piece stays whole is verified when a model is loaded); the pieces of
+such words are kept in a bounded cache.  Characters without a piece become byte pieces.
 
 Null texts count as empty, and an empty text has no pieces but the end id, if wanted.  Whole
 texts are read whatever their length; repeated rows are encoded alike, null keys are kept,
@@ -48,6 +48,27 @@ UNKNOWN = " ⁇ "
 PROBES = ["", " ", "  a  b ", "a\nb\tc", "x▁▁y", "ﬁ ① İ é", " " * 99, "\0\r\n"]
 
 
+def _splitter(names: dict[str, int]) -> re.Pattern:
+    """The finest of some patterns that leaves every piece whole.
+
+    All of them cut between two characters by their kinds alone, so where no piece is cut, no
+    piece can span a cut in a text either, and the parts can be encoded one by one.
+    """
+    inside = set(chain.from_iterable(names))
+    # Numerals such as a raised two pass as letters in patterns.
+    odd = "".join(c for c in sorted(inside) if re.match(r"[^\W\d_]", c) and not c.isalpha())
+    letter, other = rf"[^\W\d_{re.escape(odd)}]", rf"(?:[^\w{BLANK}\n]|[_{re.escape(odd)}])"
+    for pattern in (
+        rf"{BLANK}*{letter}+|{BLANK}*{other}+|{BLANK}+|\d|\n+",
+        rf"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n+",
+        rf"{BLANK}*[^{BLANK}]+|{BLANK}+",
+    ):
+        found = re.compile(pattern)
+        if all(found.findall(name) == [name] for name in names):
+            return found
+    return re.compile("(?s:.+)")
+
+
 class Pieces:
     """A merge-type model with byte fallback, dummy prefix and identity normalisation."""
 
@@ -85,10 +106,7 @@ class Pieces:
         single = {name for name in self._id if len(name) == 1}
         if not single.issuperset(chain.from_iterable(self._id)):
             raise ValueError("a piece has a character that is no piece")
-        spans = any(re.search(f"[^{BLANK}]{BLANK}", name) for name in self._id)
-        stop = "" if "\n" in single else "\n"
-        pattern = f"{BLANK}*[^{BLANK}{stop}]+|{BLANK}+" + (f"|{stop}+" if stop else "")
-        self._words = re.compile("(?s:.+)" if spans else pattern).findall
+        self._words = _splitter(self._id).findall
         # Later merges have larger ranks.
         order = sorted(self.text, key=lambda i: (-self._score[i], i))
         n = len(self.surface)

@@ -35,6 +35,16 @@ def test_whole_long_words(model, library):
         assert model.encode(text) == library.encode(text, add_eos=True)
 
 
+def test_texts_are_cut_where_no_piece_spans():
+    fine = piece_codec._splitter({n: i for i, n in enumerate(["▁", "▁a", "ab", "▁(", "));", "²)", "é"])})
+    assert fine.findall("▁▁ab,(x)▁12_²)é\n\n▁\n") == ["▁▁ab", ",(", "x", ")", "▁", "1", "2", "_²)", "é", "\n\n", "▁", "\n"]
+    for name in ("a)", ")a", "12", "▁1"):
+        assert "".join(piece_codec._splitter({name: 0}).findall("a)▁12")) == "a)▁12"
+        assert piece_codec._splitter({name: 0}).findall("x▁a)▁12") == ["x", "▁a)", "▁12"]
+    assert piece_codec._splitter({"a\n": 0}).findall("x▁a\nb") == ["x", "▁a\nb"]
+    assert piece_codec._splitter({"a▁": 0}).findall("x▁a\nb") == ["x▁a\nb"]
+
+
 def test_pairs_are_compatible_as_merging_says(model):
     rng = random.Random(5)
     ids = [i for i in model.text if len(model.text[i]) == 1 or model._left[i] >= 0]
