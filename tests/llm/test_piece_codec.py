@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import public_tokenizers
@@ -5,6 +6,7 @@ import pytest
 import sentencepiece
 
 from flowverdict.llm import piece_codec
+from flowverdict.llm.queries import LLM_QUERIES
 
 PATH = str(public_tokenizers.path("piece_bpe_32k.model"))
 PARTS = list("abcdefghijklmnop  \n\t▁́é́あ😀ABC<>019.,'\"()-_/{}=中文русский한국") + ["the ", " ing", "    ", "\0"]
@@ -111,3 +113,14 @@ def test_rows(spark, library):
 def test_another_kind_of_model_is_refused(tmp_path):
     with pytest.raises((ValueError, RuntimeError, OSError)):
         piece_codec.Pieces(str(tmp_path / "none.model"))
+
+
+def test_query(spark, library):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    got = {r.doc_id: tuple(r)[1:] for r in LLM_QUERIES["op13_piece_codec"](spark, "/root/testdata/sf0.001").collect()}
+    want = {}
+    for key, text in docs:
+        ids = library.encode(text or "", add_eos=True)
+        texts = " ".join(map(str, ids)), library.decode(ids)
+        want[key] = (len(ids), *(hashlib.sha256(t.encode()).hexdigest() for t in texts))
+    assert got == want and len(docs) > 100
