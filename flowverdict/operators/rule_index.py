@@ -8,12 +8,15 @@ selective condition; the rest of its conditions is tested on those only.
 
 The results are those of ``rules_relational.matched_by_data``: catalog order, the same
 comparator (numbers where both sides read as numbers, else texts without case), an absent
-field counts as 0, a rule without conditions matches everything.  Pairs are expanded in
-blocks of ``PAIRS``, so memory does not grow with the catalog beyond its own size.
+field counts as 0, a rule without conditions matches everything.  A batch with more than
+``PAIRS`` pairs to test is cut by rows, and a row with more by rules, so what a task holds
+beside its batch is bounded by ``PAIRS`` and the catalog's own size.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -24,7 +27,7 @@ from flowverdict.operators.compare import as_number
 from flowverdict.operators.rules_relational import field_reading
 from flowverdict.sources.catalog import Rule
 
-PAIRS = 1 << 21
+PAIRS = 1 << 18
 OPS = [">", ">=", "<", "<=", "==", "!="]
 
 
@@ -126,20 +129,32 @@ class RuleIndex:
                     sizes[1, both] = 0
         return starts, sizes, np.concatenate(lists) if lists else np.zeros(0, np.int64)
 
-    def matches(self, numbers: pa.Array, shown: pa.Array) -> pa.Array:
-        n = len(numbers)
-        count = np.diff(self.first)
+    def matches(self, numbers: pa.Array, shown: pa.Array) -> Iterator[pa.Array]:
+        """Lists of the matched rules: arrays for some rows each, in the order of the rows."""
         if self.fields:
-            values, known, text = self.read(numbers, shown)
-            starts, sizes, lists = self._slices(values, known, text)
+            yield from self._matches(*self.read(numbers, shown))
+        else:
+            none = np.zeros((len(numbers), 0))
+            yield from self._matches(none, none.astype(bool), none.astype(np.int64))
+
+    def _matches(self, values, known, text) -> Iterator[pa.Array]:
+        n = len(values)
+        count = np.diff(self.first)
+        starts, sizes, lists = self._slices(values, known, text)
         every = np.flatnonzero(count == 0)
+        ruled = np.flatnonzero(count)
+        total = sizes.sum(axis=0)
+        # The most selective condition of each rule.
+        least = np.minimum.reduceat(total, self.first[ruled]) if len(ruled) else total
+        pairs = int(least.sum()) + n * len(every)
+        if n > 1 and pairs > self.pairs:
+            step = -(-n // min(n, -(-pairs // self.pairs)))
+            for a in range(0, n, step):
+                yield from self._matches(*(x[a : a + step] for x in (values, known, text)))
+            return
         found_rows = [np.repeat(np.arange(n), len(every))]
         found_rules = [np.tile(every, n)]
-        ruled = np.flatnonzero(count)
         if len(ruled):
-            total = sizes.sum(axis=0)
-            # The most selective condition of each rule.
-            least = np.minimum.reduceat(total, self.first[ruled])
             owner = np.repeat(np.arange(len(ruled)), count[ruled])
             is_least = np.flatnonzero(total == least[owner])
             chosen = np.full(len(ruled), -1)
@@ -163,9 +178,11 @@ class RuleIndex:
                 found_rows.append(rows)
                 found_rules.append(rules)
         rows, rules = np.concatenate(found_rows), np.concatenate(found_rules)
-        order = np.lexsort((rules, rows))
-        bounds = np.searchsorted(rows[order], np.arange(n + 1)).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(bounds), pa.array(rules[order].astype(np.int32)))
+        pairs = rows * len(count) + rules
+        pairs = np.sort(pairs.astype(np.min_scalar_type(n * len(count))))
+        bounds = np.searchsorted(pairs, np.arange(n + 1) * len(count)).astype(np.int32)
+        rules = pairs - np.repeat(np.arange(n) * len(count), np.diff(bounds))
+        yield pa.ListArray.from_arrays(pa.array(bounds), pa.array(rules.astype(np.int32)))
 
 
 def matched_by_index(df: DataFrame, rules: list[Rule]) -> Column:
@@ -177,7 +194,8 @@ def matched_by_index(df: DataFrame, rules: list[Rule]) -> Column:
     shown = F.expr(sql.array([t for _, t in readings] or ["'0'"]))
 
     @F.arrow_udf("array<int>")
-    def find(numbers: pa.Array, shown: pa.Array) -> pa.Array:
-        return index.matches(numbers, shown)
+    def find(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for numbers, shown in batches:
+            yield from index.matches(numbers, shown)
 
     return find(numbers, shown)

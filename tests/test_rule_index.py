@@ -1,5 +1,8 @@
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,3 +70,29 @@ def test_no_rules_and_no_flows(spark):
     bare = [Rule(conditions=()), Rule(conditions=())]
     assert {tuple(r[0]) for r in df.select(matched_by_index(df, bare)).collect()} == {(0, 1)}
     assert df.filter("false").select(matched_by_index(df, catalog(1))).collect() == []
+
+
+def test_memory_does_not_grow_with_the_rows():
+    """Half of the rules match each flow."""
+    rules = [Rule(rule_id=f"r{i}", conditions=(Condition("x", "<" if i % 2 else ">=", 3 * i),)) for i in range(2400)]
+    index = rule_index.RuleIndex(rules)
+
+    def peak(n):
+        values = pa.array(np.arange(n) * 37.0 % 7200)
+        bounds = pa.array(np.arange(n + 1, dtype=np.int32))
+        numbers, shown = (pa.ListArray.from_arrays(bounds, x) for x in (values, pa.nulls(n, pa.string())))
+        at, found = 0, 0
+        tracemalloc.start()
+        for part in index.matches(numbers, shown):
+            for got in part[:: max(1, len(part) // 2)]:  # arrays of some rows
+                assert all(type(r) is int for r in got.as_py())
+            x = 37.0 * at % 7200
+            assert part[0].as_py() == [i for i in range(2400) if (x < 3 * i if i % 2 else x >= 3 * i)]
+            at, found = at + len(part), found + len(part.flatten())
+        largest = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert at == n and found > 1000 * n
+        return largest
+
+    few, many = peak(500), peak(6000)
+    assert many < 1.5 * few and many < 60e6
