@@ -40,11 +40,13 @@ from flowverdict.sources.scratch import stored
 VOCABULARY, MAX_VOCABULARY = 4096, 1 << 14  # squares of the number of classes
 UNKNOWN = 512
 SIDE, WIDTH = 3, 32
+STEPS = np.array([*range(-SIDE, 0), *range(1, SIDE + 1)])  # from a word to its neighbours
 BATCH, RATE = 1024, 0.1
 SEED = 20_240_503
 BLOCK = 4096  # parameters in a row while copies are averaged
 SALTS = 16
 SCORED = 1024  # words scored at a time
+FEW = 12  # rows of a group that are summed together with those of other groups
 PAD = VOCABULARY  # stands before and after a text; the id after the last one
 
 
@@ -160,26 +162,65 @@ def shared_ids(counted: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 def contexts(ids: np.ndarray, first: np.ndarray, at: np.ndarray, pad: int = PAD) -> np.ndarray:
     """(positions, 2 * side) ids around the positions, padded at the ends of their texts."""
-    row = np.searchsorted(first, at, side="right") - 1
-    steps = np.concatenate([np.arange(-SIDE, 0), np.arange(1, SIDE + 1)])
-    around = at[:, None] + steps
-    inside = (around >= first[row][:, None]) & (around < first[row + 1][:, None])
-    return np.where(inside, ids[np.clip(around, 0, max(0, len(ids) - 1))], pad)
+    padded, place = _padded(ids, first, pad)
+    return padded[place[at][:, None] + STEPS]
+
+
+def _padded(ids: np.ndarray, first: np.ndarray, pad: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids with ``SIDE`` pads before, between and after texts with words; their places."""
+    n = np.diff(first)
+    place = np.arange(len(ids)) + SIDE * np.repeat(np.cumsum(n > 0), n)
+    padded = np.full(len(ids) + SIDE * (int((n > 0).sum()) + 1), pad, dtype=np.int64)
+    padded[place] = ids
+    return padded, place
 
 
 # -- the network ---------------------------------------------------------------------------
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits = np.exp(logits - logits.max(axis=1, keepdims=True))
-    return logits / logits.sum(axis=1, keepdims=True)
+def _exponentials(
+    state: np.ndarray, weights: np.ndarray, bias: np.ndarray, which: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The chosen logits, the exponentials of all and their sums, computed in one array.
+
+    The largest logit is taken off all three only where the sums need it.
+    """
+    out = state @ weights
+    out += bias
+    rows = np.arange(len(out))
+    own = out[rows, which]
+    ones = np.ones(out.shape[1], dtype=out.dtype)
+    with np.errstate(over="ignore"):
+        total = np.exp(out, out=out) @ ones
+    if not (np.isfinite(total).all() and total.min(initial=1) > 1e-30):
+        out = state @ weights + bias
+        out -= out.max(axis=1, keepdims=True)
+        own = out[rows, which]
+        total = np.exp(out, out=out) @ ones
+    return own, out, total
+
+
+def _d_logits(state, weights, bias, which: np.ndarray) -> np.ndarray:
+    """Gradient of the mean negative log-probability of the chosen by the logits."""
+    _, out, total = _exponentials(state, weights, bias, which)
+    out *= (1 / (len(out) * total))[:, None]
+    out[np.arange(len(out)), which] -= 1 / len(out)
+    return out
 
 
 def _states(p: Parameters, around: np.ndarray):
-    looked = p.embedding[around]
-    mixed = (looked * p.places).sum(axis=1)
+    """Embeddings of the neighbours by step, their weighted sums and the states."""
+    looked = [p.embedding.take(ids, axis=0) for ids in np.ascontiguousarray(around.T)]
+    mixed = _mix(looked, p.places)
     return looked, mixed, np.tanh(mixed @ p.layer + p.layer_bias)
 
 
+def _mix(looked: list[np.ndarray], places: np.ndarray) -> np.ndarray:
+    mixed = looked[0] * places[0]
+    for rows, place in zip(looked[1:], places[1:], strict=True):
+        mixed += rows * place
+    return mixed
+
+
 def log_probability(p: Parameters, around: np.ndarray, word: np.ndarray) -> np.ndarray:
     """The log-probability of each word given its context."""
     return _log_probability(p, _states(p, around)[2], word)
@@ -187,56 +228,81 @@ def log_probability(p: Parameters, around: np.ndarray, word: np.ndarray) -> np.n
 
 def _log_probability(p: Parameters, state: np.ndarray, word: np.ndarray) -> np.ndarray:
     kind, member = np.divmod(word, p.to_member.shape[1])
-    rows = np.arange(len(word))
-
-    def chosen(logits: np.ndarray, which: np.ndarray) -> np.ndarray:
-        own = logits[rows, which]
-        with np.errstate(over="ignore"):
-            total = np.exp(logits) @ np.ones(logits.shape[1], dtype=logits.dtype)
-        if np.isfinite(total).all() and total.all():
-            return own - np.log(total)
-        top = logits.max(axis=1)
-        return own - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
-
-    of_class = chosen(state @ p.to_class + p.class_bias, kind)
-    below = np.tanh(state + p.class_state[kind])
-    return of_class + chosen(below @ p.to_member + p.member_bias[kind], member)
-
-
-def _sum_rows(out: np.ndarray, index: np.ndarray, values: np.ndarray) -> None:
-    """Set the rows of ``out`` to the sums of the values with their index; others stay."""
-    order = np.argsort(index, kind="stable")
-    index = index[order]
-    begin = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
-    out[index[begin]] = np.add.reduceat(values[order], begin, axis=0)
 
-
-def gradient(p: Parameters, around: np.ndarray, word: np.ndarray) -> Parameters:
-    """Gradient of the mean negative log-probability."""
+    def chosen(state, weights, bias, which) -> np.ndarray:
+        own, _, total = _exponentials(state, weights, bias, which)
+        return own - np.log(total)
+
+    of_class = chosen(state, p.to_class, p.class_bias, kind)
+    below = np.tanh(state + p.class_state.take(kind, axis=0))
+    return of_class + chosen(below, p.to_member, p.member_bias.take(kind, axis=0), member)
+
+
+def _sum_groups(values: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The groups and the sums of their rows, large groups first; ``group`` is in order.
+
+    ``reduceat`` takes a call for each column of each group, and most groups are words that
+    stand once or twice in a batch.
+    """
+    begin = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    sizes = np.diff(np.append(begin, len(group)))
+    order = np.argsort(-sizes, kind="stable")
+    begin, sizes = begin[order], sizes[order]
+    sums = values.take(begin, axis=0)
+    ends = np.searchsorted(-sizes, -np.arange(1, FEW + 1)).tolist()  # groups with more rows
+    for k, n in enumerate(ends[:-1], 1):
+        sums[:n] += values.take(begin[:n] + k, axis=0)
+    ones = np.ones(sizes[0], dtype=values.dtype)
+    for i, a, n in zip(range(ends[-1]), begin.tolist(), sizes.tolist(), strict=False):
+        sums[i] = ones[:n] @ values[a : a + n]
+    return group[begin], sums
+
+
+def _take(x: np.ndarray, rows: np.ndarray | slice) -> np.ndarray:
+    """``x[rows]``; several times faster for a list of rows."""
+    return x[rows] if isinstance(rows, slice) else x.take(rows, axis=0)
+
+
+def _gradient(p: Parameters, around: np.ndarray, word: np.ndarray) -> tuple[Parameters, Parameters]:
+    """Gradient of the mean negative log-probability, and the rows it has of each array."""
+    small = np.min_scalar_type(len(p.embedding))  # quick to sort
+    order = np.argsort(word.astype(small), kind="stable")
+    around, word = around.take(order, axis=0), word[order]
     n = len(word)
     kind, member = np.divmod(word, p.to_member.shape[1])
     looked, mixed, state = _states(p, around)
-    rows = np.arange(n)
-    d_class = _softmax(state @ p.to_class + p.class_bias)
-    d_class[rows, kind] -= 1
-    d_class /= n
-    below = np.tanh(state + p.class_state[kind])
-    d_member = _softmax(below @ p.to_member + p.member_bias[kind])
-    d_member[rows, member] -= 1
-    d_member /= n
+    d_class = _d_logits(state, p.to_class, p.class_bias, kind)
+    below = np.tanh(state + p.class_state.take(kind, axis=0))
+    d_member = _d_logits(below, p.to_member, p.member_bias.take(kind, axis=0), member)
     d_below = (d_member @ p.to_member.T) * (1 - below**2)
     d_state = (d_class @ p.to_class.T + d_below) * (1 - state**2)
     d_mixed = d_state @ p.layer.T
+    ids = around.T.ravel()
+    order = np.argsort(ids.astype(small), kind="stable")
+    place, row = np.divmod(order, n)
+    d_looked = d_mixed.take(row, axis=0)
+    d_looked *= p.places.take(place, axis=0)
+    touched, d_embedding = _sum_groups(d_looked, ids[order])
+    kinds, d_kind = _sum_groups(d_below, kind)
+    every, ones = slice(None), np.ones(n, dtype=d_class.dtype)
+    return Parameters(
+        d_embedding,
+        np.stack([np.einsum("nd,nd->d", x, d_mixed) for x in looked]),
+        mixed.T @ d_state,
+        ones @ d_state,
+        state.T @ d_class,
+        ones @ d_class,
+        d_kind,
+        below.T @ d_member,
+        _sum_groups(d_member, kind)[1],
+    ), Parameters(touched, every, every, every, every, every, kinds, every, kinds)
+
+
+def gradient(p: Parameters, around: np.ndarray, word: np.ndarray) -> Parameters:
+    """Gradient of the mean negative log-probability."""
     out = Parameters(*[np.zeros_like(x) for x in p])
-    _sum_rows(out.embedding, around.ravel(), (d_mixed[:, None] * p.places).reshape(-1, WIDTH))
-    out.places[:] = (looked * d_mixed[:, None]).sum(axis=0)
-    out.layer[:] = mixed.T @ d_state
-    out.layer_bias[:] = d_state.sum(axis=0)
-    out.to_class[:] = state.T @ d_class
-    out.class_bias[:] = d_class.sum(axis=0)
-    _sum_rows(out.class_state, kind, d_below)
-    out.to_member[:] = below.T @ d_member
-    _sum_rows(out.member_bias, kind, d_member)
+    for x, g, rows in zip(out, *_gradient(p, around, word), strict=True):
+        x[rows] = g
     return out
 
 
@@ -249,13 +315,15 @@ class Trainer:
         self.seen = 0
 
     def step(self, around: np.ndarray, word: np.ndarray) -> None:
-        for x, g, s in zip(self.p, gradient(self.p, around, word), self.squares, strict=True):
-            touched = slice(None)
-            if x is self.p.embedding:  # most embeddings take no part in a batch
-                touched = np.unique(around)
-            g = g[touched]
-            s[touched] += g * g
-            x[touched] -= RATE * g / np.sqrt(s[touched])
+        # Most embeddings take no part in a batch.
+        parts = zip(self.p, self.squares, *_gradient(self.p, around, word), strict=True)
+        for x, s, g, rows in parts:
+            squares = g * g
+            squares += _take(s, rows)
+            s[rows] = squares
+            g *= np.float32(RATE)
+            g /= np.sqrt(squares, out=squares)
+            x[rows] = _take(x, rows) - g
         self.seen += len(word)
 
 
@@ -339,27 +407,25 @@ def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> Parame
 
 
 class Scorer:
-    """The model prepared for whole texts: the first layer as a table for each place."""
+    """The model applied to whole texts: neighbours are shifts of the same embeddings."""
 
     def __init__(self, model: Parameters, vocabulary: Vocabulary):
         self.p, self.vocabulary = model, vocabulary
-        self.tables = [(model.embedding * place) @ model.layer for place in model.places]
 
     def log_probabilities(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Of all words of the texts; the same as ``log_probability`` of their contexts."""
-        n_texts = len(first) - 1
-        gaps = SIDE * (np.repeat(np.arange(n_texts), np.diff(first)) + 1)
-        at = np.arange(len(ids)) + gaps
-        padded = np.full(len(ids) + SIDE * (n_texts + 1), len(self.vocabulary.counts), dtype=np.int64)
-        padded[at] = ids
+        padded, place = _padded(ids, first, len(self.vocabulary.counts))
         out = np.empty(len(ids))
-        steps = [*range(-SIDE, 0), *range(1, SIDE + 1)]
         for a in range(0, len(ids), SCORED):
-            here, word = at[a : a + SCORED], ids[a : a + SCORED]
-            inner = np.tile(self.p.layer_bias, (len(word), 1))
-            for table, step in zip(self.tables, steps, strict=True):
-                inner += table[padded[here + step]]
-            out[a : a + SCORED] = _log_probability(self.p, np.tanh(inner), word)
+            here, word = place[a : a + SCORED], ids[a : a + SCORED]
+            low, high = here[0], here[-1] + 1
+            looked = self.p.embedding.take(padded[low - SIDE : high + SIDE], axis=0)
+            shifted = [looked[SIDE + step : SIDE + step + high - low] for step in STEPS]
+            mixed = _mix(shifted, self.p.places)
+            if len(mixed) > len(word):  # there are pads between texts
+                mixed = mixed.take(here - low, axis=0)
+            state = np.tanh(mixed @ self.p.layer + self.p.layer_bias)
+            out[a : a + SCORED] = _log_probability(self.p, state, word)
         return out
 
     def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,44 @@ def test_gradient():
         assert g[at] == pytest.approx((values[0] - values[1]) / 2e-5, rel=1e-4)
 
 
+def test_gradient_sums_repeated_words():
+    """Against sums row by row, with words and neighbours that repeat up to hundreds of times."""
+    draw = np.random.default_rng(1)
+    p = lm.Parameters(*[x.astype(float) for x in lm.initial_parameters(draw.random(lm.VOCABULARY))])
+    around = np.minimum(draw.pareto(0.4, (700, 2 * lm.SIDE)), lm.VOCABULARY).astype(np.int64)
+    word = np.minimum(draw.pareto(0.4, 700), lm.VOCABULARY - 1).astype(np.int64)
+    want = lm.Parameters(*[np.zeros_like(x) for x in p])
+    for i in range(700):
+        for x, g in zip(want, lm.gradient(p, around[i : i + 1], word[i : i + 1])):
+            x += g / 700
+    for x, g in zip(want, lm.gradient(p, around, word)):
+        assert np.allclose(x, g, rtol=1e-9, atol=1e-12)
+
+
+def test_large_logits():
+    draw = np.random.default_rng(2)
+    p = lm.initial_parameters(draw.random(lm.VOCABULARY))
+    around, word = draw.integers(0, lm.VOCABULARY, (9, 2 * lm.SIDE)), draw.integers(0, lm.VOCABULARY, 9)
+    want, slopes = lm.log_probability(p, around, word), lm.gradient(p, around, word)
+    for shift in (200, -200):
+        q = p._replace(class_bias=p.class_bias + np.float32(shift), member_bias=p.member_bias - np.float32(shift))
+        assert np.allclose(lm.log_probability(q, around, word), want, atol=1e-3)
+        for x, g in zip(lm.gradient(q, around, word), slopes):
+            assert np.allclose(x, g, atol=1e-4)
+
+
+def test_a_step_takes_what_its_words_need():
+    """Nothing of the vocabulary's size is made for a batch."""
+    start = lm.initial_parameters(np.ones(1 << 18))
+    trainer, draw = lm.Trainer(start), np.random.default_rng(3)
+    around, word = draw.integers(0, 1 << 18, (lm.BATCH, 2 * lm.SIDE)), draw.integers(0, 1 << 18, lm.BATCH)
+    tracemalloc.start()
+    trainer.step(around, word)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < start.embedding.nbytes / 2
+
+
 def test_probabilities_sum_to_one_and_the_word_is_masked(trained):
     _, vocabulary, model = trained
     around = np.full((lm.VOCABULARY, 2 * lm.SIDE), 5)
