@@ -5,7 +5,7 @@
    ``VOCABULARY`` up, four times as many each time); the most frequent get ids in order of
    frequency, others share ``UNKNOWN`` ids by hash.  Ids are split into a class and a member,
    64 by 64 (128 by 128), so a softmax over the vocabulary is two softmaxes of 64 (128).
-   The bound keeps a task's model, its squares and the tables for scoring below 20 MB.
+   The bound keeps a task's model and its squares below 10 MB.
 2. Network: the ``SIDE`` words before and after a position are embedded, each weighted by a
    vector for its place, and summed; a tanh layer gives the state that predicts the class
    and, together with an embedding of the class, the member.  The word itself is masked: it
