@@ -27,6 +27,7 @@ A lost task is retrained from the same start on the same rows.
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 import numpy as np
@@ -45,9 +46,14 @@ BATCH, RATE = 1024, 0.1
 SEED = 20_240_503
 BLOCK = 4096  # parameters in a row while copies are averaged
 SALTS = 16
+BUCKETS, UPPER = 1 << 16, np.uint64(48)  # of word hashes, by their upper bits
 SCORED = 1024  # words scored at a time
+COUNTED = 1 << 19  # rows of counts that a task merges
 FEW = 12  # rows of a group that are summed together with those of other groups
+LANES = 8  # rows side by side in elementwise loops
 PAD = VOCABULARY  # stands before and after a text; the id after the last one
+SQUARES = 1e-3  # sums of squared gradients start here
+BY_ROW = "embedding", "class_state", "member_bias"  # of which a batch changes some rows
 
 
 class Parameters(NamedTuple):
@@ -105,19 +111,44 @@ class Vocabulary(NamedTuple):
 
     def encode(self, words: np.ndarray) -> np.ndarray:
         out = len(self.counts) - UNKNOWN + (mix(words) % np.uint64(UNKNOWN)).astype(np.int64)
-        if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
-            known = self.hashes[at] == words
-            out[known] = self.ids[at[known]]
+        # The first hash with the same upper bits, then the ones after it.
+        first = np.cumsum(np.bincount(self.hashes >> UPPER, minlength=BUCKETS + 1))
+        first = np.concatenate([[0], first])
+        bucket = words >> UPPER
+        at, end = first.take(bucket), first[1:].take(bucket)
+        left = np.flatnonzero(at < end)
+        while len(left):
+            here = at.take(left)
+            same = self.hashes.take(here) == words.take(left)
+            out[left[same]] = self.ids.take(here[same])
+            at[left] += 1
+            left = left[~same]
+            left = left[at.take(left) < end.take(left)]
         return out
 
 
 def _count_words(batches):
+    kept: list[tuple] = []
     for batch in batches:
         texts = batch.column("text")
         for low, high in text_chunks(texts):
-            words, n = np.unique(word_hashes(texts.slice(low, high - low))[0], return_counts=True)
-            yield pa.record_batch({"word": pa.array(words.view(np.int64)), "n": pa.array(n)})
+            hashes, _ = word_hashes(texts.slice(low, high - low))
+            kept.append(np.unique(hashes, return_counts=True))
+            if sum(len(words) for words, _ in kept) >= COUNTED:
+                yield _merged(kept)
+                kept = []
+    if kept:
+        yield _merged(kept)
+
+
+def _merged(kept: list[tuple]) -> pa.RecordBatch:
+    """Rows (word, n) of several lists of words and their counts."""
+    words, n = (np.concatenate(x) for x in zip(*kept, strict=True))
+    order = np.argsort(words)
+    words = words[order]
+    begin = np.flatnonzero(np.append(True, words[1:] != words[:-1])[: len(words)])
+    n = np.add.reduceat(n[order], begin) if len(words) else n
+    return pa.record_batch({"word": pa.array(words[begin].view(np.int64)), "n": pa.array(n)})
 
 
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -178,52 +209,77 @@ def _padded(ids: np.ndarray, first: np.ndarray, pad: int) -> tuple[np.ndarray, n
 # -- the network ---------------------------------------------------------------------------
 
 def _exponentials(
-    state: np.ndarray, weights: np.ndarray, bias: np.ndarray, which: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    state: np.ndarray, weights: np.ndarray, bias: np.ndarray, which: np.ndarray | None = None
+) -> tuple[np.ndarray | None, np.ndarray, np.ndarray]:
     """The chosen logits, the exponentials of all and their sums, computed in one array.
 
     The largest logit is taken off all three only where the sums need it.
     """
     out = state @ weights
-    out += bias
-    rows = np.arange(len(out))
-    own = out[rows, which]
+    if bias.ndim == 1:
+        wide = _side_by_side(bias, len(out))
+        out.reshape(-1, len(wide))[:] += wide
+    else:
+        out += bias
+    own = None if which is None else _own(out, which)
     ones = np.ones(out.shape[1], dtype=out.dtype)
     with np.errstate(over="ignore"):
         total = np.exp(out, out=out) @ ones
     if not (np.isfinite(total).all() and total.min(initial=1) > 1e-30):
         out = state @ weights + bias
         out -= out.max(axis=1, keepdims=True)
-        own = out[rows, which]
+        own = None if which is None else _own(out, which)
         total = np.exp(out, out=out) @ ones
     return own, out, total
 
 
+def _at(x: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Where the chosen of each row stand in the flat array."""
+    return np.arange(0, x.size, x.shape[1]) + which
+
+
+def _own(x: np.ndarray, which: np.ndarray) -> np.ndarray:
+    return x.reshape(-1).take(_at(x, which))
+
+
 def _d_logits(state, weights, bias, which: np.ndarray) -> np.ndarray:
     """Gradient of the mean negative log-probability of the chosen by the logits."""
-    _, out, total = _exponentials(state, weights, bias, which)
+    _, out, total = _exponentials(state, weights, bias)
     out *= (1 / (len(out) * total))[:, None]
-    out[np.arange(len(out)), which] -= 1 / len(out)
+    out.reshape(-1)[_at(out, which)] -= 1 / len(out)
     return out
 
 
-def _states(p: Parameters, around: np.ndarray):
-    """Embeddings of the neighbours by step, their weighted sums and the states."""
-    looked = [p.embedding.take(ids, axis=0) for ids in np.ascontiguousarray(around.T)]
-    mixed = _mix(looked, p.places)
-    return looked, mixed, np.tanh(mixed @ p.layer + p.layer_bias)
+def _side_by_side(vectors: np.ndarray, n: int) -> np.ndarray:
+    """Vectors repeated for some of ``n`` rows at a time: numpy's loops are longer."""
+    return np.concatenate([vectors] * math.gcd(n, LANES), axis=-1)
 
 
-def _mix(looked: list[np.ndarray], places: np.ndarray) -> np.ndarray:
-    mixed = looked[0] * places[0]
-    for rows, place in zip(looked[1:], places[1:], strict=True):
-        mixed += rows * place
-    return mixed
+def _mix(looked: list[np.ndarray], wide: np.ndarray) -> np.ndarray:
+    """Weighted sums of the neighbours' embeddings."""
+    mixed = looked[0].reshape(-1, wide.shape[1]) * wide[0]
+    part = np.empty_like(mixed)
+    for rows, place in zip(looked[1:], wide[1:], strict=True):
+        mixed += np.multiply(rows.reshape(part.shape), place, out=part)
+    return mixed.reshape(looked[0].shape)
+
+
+def _state(p: Parameters, mixed: np.ndarray) -> np.ndarray:
+    state = mixed @ p.layer
+    state += p.layer_bias
+    return np.tanh(state, out=state)
+
+
+def _below(p: Parameters, state: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    below = p.class_state.take(kind, axis=0)
+    below += state
+    return np.tanh(below, out=below)
 
 
 def log_probability(p: Parameters, around: np.ndarray, word: np.ndarray) -> np.ndarray:
     """The log-probability of each word given its context."""
-    return _log_probability(p, _states(p, around)[2], word)
+    looked = [p.embedding.take(ids, axis=0) for ids in around.T]
+    return _log_probability(p, _state(p, _mix(looked, _side_by_side(p.places, len(word)))), word)
 
 
 def _log_probability(p: Parameters, state: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -234,75 +290,122 @@ def _log_probability(p: Parameters, state: np.ndarray, word: np.ndarray) -> np.n
         return own - np.log(total)
 
     of_class = chosen(state, p.to_class, p.class_bias, kind)
-    below = np.tanh(state + p.class_state.take(kind, axis=0))
+    below = _below(p, state, kind)
     return of_class + chosen(below, p.to_member, p.member_bias.take(kind, axis=0), member)
 
 
-def _sum_groups(values: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The groups and the sums of their rows, large groups first; ``group`` is in order.
+class Groups:
+    """Rows with the same id, large groups first; ``order`` are the rows by ascending id.
 
     ``reduceat`` takes a call for each column of each group, and most groups are words that
-    stand once or twice in a batch.
+    stand once or twice in a batch: their first rows are summed together, then the second ones.
     """
-    begin = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    sizes = np.diff(np.append(begin, len(group)))
-    order = np.argsort(-sizes, kind="stable")
-    begin, sizes = begin[order], sizes[order]
-    sums = values.take(begin, axis=0)
-    ends = np.searchsorted(-sizes, -np.arange(1, FEW + 1)).tolist()  # groups with more rows
-    for k, n in enumerate(ends[:-1], 1):
-        sums[:n] += values.take(begin[:n] + k, axis=0)
-    ones = np.ones(sizes[0], dtype=values.dtype)
-    for i, a, n in zip(range(ends[-1]), begin.tolist(), sizes.tolist(), strict=False):
-        sums[i] = ones[:n] @ values[a : a + n]
-    return group[begin], sums
-
-
-def _take(x: np.ndarray, rows: np.ndarray | slice) -> np.ndarray:
-    """``x[rows]``; several times faster for a list of rows."""
-    return x[rows] if isinstance(rows, slice) else x.take(rows, axis=0)
-
-
-def _gradient(p: Parameters, around: np.ndarray, word: np.ndarray) -> tuple[Parameters, Parameters]:
-    """Gradient of the mean negative log-probability, and the rows it has of each array."""
-    small = np.min_scalar_type(len(p.embedding))  # quick to sort
-    order = np.argsort(word.astype(small), kind="stable")
-    around, word = around.take(order, axis=0), word[order]
-    n = len(word)
-    kind, member = np.divmod(word, p.to_member.shape[1])
-    looked, mixed, state = _states(p, around)
+
+    def __init__(self, ids: np.ndarray, order: np.ndarray | None = None):
+        begin = np.concatenate([[0], np.flatnonzero(ids[1:] != ids[:-1]) + 1])
+        sizes = np.append(begin[1:], len(ids)) - begin
+        by_size = np.argsort((len(ids) - sizes).astype(np.min_scalar_type(len(ids))), kind="stable")
+        self.begin, self.sizes = begin.take(by_size), sizes.take(by_size)
+        self.ids = ids.take(self.begin)
+        # How many groups have more than 1, 2, ... rows.
+        ends = np.searchsorted(-self.sizes, -np.arange(1, FEW + 1)).tolist()
+        self.large = ends[-1]
+        self.at = [self.begin[self.large : n] for n in [len(begin), *ends[:-1]]]
+        for k, at in enumerate(self.at[1:], 1):
+            self.at[k] = at + k
+        self.order, self.large_rows = order, None
+        if order is not None:
+            number = np.empty_like(by_size)
+            number[by_size] = np.arange(len(by_size))
+            self.place = np.empty_like(order)  # for every row, the number of its group
+            self.place[order] = np.repeat(number, sizes)
+            self.at = [order.take(at) for at in self.at]
+            parts = zip(self.begin[: self.large].tolist(), self.sizes[: self.large].tolist(), strict=True)
+            self.large_rows = np.concatenate([order[:0], *[order[a : a + n] for a, n in parts]])
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Sums of the groups' rows."""
+        large = self.large
+        out = np.empty((len(self.begin), values.shape[1]), dtype=values.dtype)
+        for k, at in enumerate(self.at):
+            rows = values.take(at, axis=0)
+            if k:
+                out[large : large + len(at)] += rows
+            else:
+                out[large:] = rows
+        if not large:
+            return out
+        begin, sizes = self.begin[:large], self.sizes[:large]
+        if self.large_rows is not None:
+            values = values.take(self.large_rows, axis=0)
+            begin = np.cumsum(sizes) - sizes
+        ones = np.ones(sizes[0], dtype=values.dtype)
+        for i, a, n in zip(range(large), begin.tolist(), sizes.tolist(), strict=True):
+            np.matmul(ones[:n], values[a : a + n], out=out[i])
+        return out
+
+
+class Batch:
+    """Positions by ascending word, and the distinct ids of their neighbours."""
+
+    def __init__(self, around: np.ndarray, word: np.ndarray, ids: int):
+        small = np.min_scalar_type(ids)  # quick to sort
+        order = np.argsort(word.astype(small), kind="stable")
+        self.word = word.take(order)
+        around = around.take(order, axis=0).T.astype(small).ravel()
+        order = np.argsort(around, kind="stable")
+        self.groups = Groups(around.take(order), order)
+        self.ids = self.groups.ids.astype(np.intp)
+        self.steps = self.groups.place.reshape(-1, len(word))  # as numbers of ``ids``
+
+
+def _gradient(p: Parameters, batch: Batch) -> tuple[Parameters, np.ndarray]:
+    """Gradient of the mean negative log-probability, and the classes that have one.
+
+    The embeddings are those of the batch's ids only.
+    """
+    kind, member = np.divmod(batch.word, p.to_member.shape[1])
+    looked = [p.embedding.take(ids, axis=0) for ids in batch.steps]
+    wide = _side_by_side(p.places, len(kind))
+    mixed = _mix(looked, wide)
+    state = _state(p, mixed)
+    ones = np.ones(len(kind), dtype=state.dtype)
     d_class = _d_logits(state, p.to_class, p.class_bias, kind)
-    below = np.tanh(state + p.class_state.take(kind, axis=0))
+    d_state, d_to_class, d_class_bias = d_class @ p.to_class.T, state.T @ d_class, ones @ d_class
+    del d_class
+    below = _below(p, state, kind)
     d_member = _d_logits(below, p.to_member, p.member_bias.take(kind, axis=0), member)
-    d_below = (d_member @ p.to_member.T) * (1 - below**2)
-    d_state = (d_class @ p.to_class.T + d_below) * (1 - state**2)
+    d_below, d_to_member = d_member @ p.to_member.T, below.T @ d_member
+    d_below *= np.subtract(1, np.square(below, out=below), out=below)
+    kinds = Groups(kind)
+    d_state += d_below
+    slope = np.square(state)
+    d_state *= np.subtract(1, slope, out=slope)
     d_mixed = d_state @ p.layer.T
-    ids = around.T.ravel()
-    order = np.argsort(ids.astype(small), kind="stable")
-    place, row = np.divmod(order, n)
-    d_looked = d_mixed.take(row, axis=0)
-    d_looked *= p.places.take(place, axis=0)
-    touched, d_embedding = _sum_groups(d_looked, ids[order])
-    kinds, d_kind = _sum_groups(d_below, kind)
-    every, ones = slice(None), np.ones(n, dtype=d_class.dtype)
+    d_looked = np.empty((len(looked), *d_mixed.shape), dtype=d_mixed.dtype)
+    for j in range(len(looked)):
+        np.multiply(d_mixed.reshape(-1, wide.shape[1]), wide[j], out=d_looked[j].reshape(-1, wide.shape[1]))
     return Parameters(
-        d_embedding,
+        batch.groups.sums(d_looked.reshape(-1, d_mixed.shape[1])),
         np.stack([np.einsum("nd,nd->d", x, d_mixed) for x in looked]),
         mixed.T @ d_state,
         ones @ d_state,
-        state.T @ d_class,
-        ones @ d_class,
-        d_kind,
-        below.T @ d_member,
-        _sum_groups(d_member, kind)[1],
-    ), Parameters(touched, every, every, every, every, every, kinds, every, kinds)
+        d_to_class,
+        d_class_bias,
+        kinds.sums(d_below),
+        d_to_member,
+        kinds.sums(d_member),
+    ), kinds.ids
 
 
 def gradient(p: Parameters, around: np.ndarray, word: np.ndarray) -> Parameters:
     """Gradient of the mean negative log-probability."""
+    batch = Batch(around, word, len(p.embedding))
+    parts, kinds = _gradient(p._replace(embedding=p.embedding.take(batch.ids, axis=0)), batch)
+    rows = {"embedding": batch.ids, "class_state": kinds, "member_bias": kinds}
     out = Parameters(*[np.zeros_like(x) for x in p])
-    for x, g, rows in zip(out, *_gradient(p, around, word), strict=True):
-        x[rows] = g
+    for name, x, g in zip(p._fields, out, parts, strict=True):
+        x[rows.get(name, slice(None))] = g
     return out
 
 
@@ -310,23 +413,41 @@ class Trainer:
     """Adagrad on batches of positions."""
 
     def __init__(self, start: Parameters):
-        self.p = Parameters(*[x.copy() for x in start])
-        self.squares = Parameters(*[np.full_like(x, 1e-3) for x in start])
+        # What every batch changes whole lies in one array.
+        self.rest = [name for name in start._fields if name not in BY_ROW]
+        self.whole = np.concatenate([getattr(start, name).ravel() for name in self.rest])
+        parts = np.split(self.whole, np.cumsum([getattr(start, name).size for name in self.rest])[:-1])
+        own = {name: x.reshape(getattr(start, name).shape) for name, x in zip(self.rest, parts, strict=True)}
+        self.p = start._replace(**own, **{name: getattr(start, name).copy() for name in BY_ROW})
+        self.squares = {name: np.full_like(getattr(start, name), SQUARES) for name in BY_ROW}
+        self.whole_squares = np.full_like(self.whole, SQUARES)
         self.seen = 0
 
     def step(self, around: np.ndarray, word: np.ndarray) -> None:
+        batch = Batch(around, word, len(self.p.embedding))
         # Most embeddings take no part in a batch.
-        parts = zip(self.p, self.squares, *_gradient(self.p, around, word), strict=True)
-        for x, s, g, rows in parts:
-            squares = g * g
-            squares += _take(s, rows)
-            s[rows] = squares
-            g *= np.float32(RATE)
-            g /= np.sqrt(squares, out=squares)
-            x[rows] = _take(x, rows) - g
+        looked = self.p._replace(embedding=self.p.embedding.take(batch.ids, axis=0))
+        gradient, kinds = _gradient(looked, batch)
+        for name, rows in zip(BY_ROW, (batch.ids, kinds, kinds), strict=True):
+            x, squares, g = getattr(self.p, name), self.squares[name], getattr(gradient, name)
+            now = squares.take(rows, axis=0)
+            now += np.square(g)
+            squares[rows] = now
+            old = looked.embedding if name == "embedding" else x.take(rows, axis=0)
+            x[rows] = np.subtract(old, _change(g, now), out=g)
+        g = np.concatenate([getattr(gradient, name).ravel() for name in self.rest])
+        self.whole_squares += np.square(g)
+        self.whole -= _change(g, self.whole_squares.copy())
         self.seen += len(word)
 
 
+def _change(g: np.ndarray, squares: np.ndarray) -> np.ndarray:
+    """The step against the gradient, in its array; ``squares`` are used up."""
+    g *= np.float32(RATE)
+    g /= np.sqrt(squares, out=squares)
+    return g
+
+
 # -- training and scoring ------------------------------------------------------------------
 
 def _train_task(start: Parameters, vocabulary: Vocabulary):
@@ -411,21 +532,23 @@ class Scorer:
 
     def __init__(self, model: Parameters, vocabulary: Vocabulary):
         self.p, self.vocabulary = model, vocabulary
+        self.wide = _side_by_side(model.places, LANES)
 
     def log_probabilities(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Of all words of the texts; the same as ``log_probability`` of their contexts."""
         padded, place = _padded(ids, first, len(self.vocabulary.counts))
+        padded = np.append(padded, np.full(LANES, len(self.vocabulary.counts)))
         out = np.empty(len(ids))
         for a in range(0, len(ids), SCORED):
             here, word = place[a : a + SCORED], ids[a : a + SCORED]
-            low, high = here[0], here[-1] + 1
+            low = here[0]
+            high = low + -(-(here[-1] + 1 - low) // LANES) * LANES
             looked = self.p.embedding.take(padded[low - SIDE : high + SIDE], axis=0)
             shifted = [looked[SIDE + step : SIDE + step + high - low] for step in STEPS]
-            mixed = _mix(shifted, self.p.places)
+            mixed = _mix(shifted, self.wide)
             if len(mixed) > len(word):  # there are pads between texts
                 mixed = mixed.take(here - low, axis=0)
-            state = np.tanh(mixed @ self.p.layer + self.p.layer_bias)
-            out[a : a + SCORED] = _log_probability(self.p, state, word)
+            out[a : a + SCORED] = _log_probability(self.p, _state(self.p, mixed), word)
         return out
 
     def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

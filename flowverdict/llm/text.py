@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 WORD = r"[0-9a-z_\u0080-\U0010ffff]+"
 SHINGLE = 5
 CHUNK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 17  # hashed at a time: the 64-bit copies stay in a core's cache
 
 _IS_WORD = np.zeros(256, dtype=bool)
 _IS_WORD[[*range(48, 58), *range(97, 123), 95, *range(128, 256)]] = True
@@ -108,7 +109,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     while low < len(starts):
         # A block of whole words, so that 64-bit copies of the bytes stay small.
         base = starts[low]
-        high = max(low + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, side="right")))
+        high = max(low + 1, int(np.searchsorted(ends, base + BLOCK_BYTES, side="right")))
         block = data[base : ends[high - 1]].astype(np.uint64) + np.uint64(1)
         up, down = _Powers.upto(len(block) + 1)
         block *= up[: len(block)]

@@ -206,3 +206,60 @@ def test_average_is_weighted_by_positions():
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert lm.pseudo_likelihood(empty).collect() == []
+
+
+def test_a_batch_looks_for_each_neighbour_once():
+    draw = np.random.default_rng(4)
+    for n in (1, 7, 300):
+        around = np.minimum(draw.pareto(0.4, (n, 2 * lm.SIDE)), lm.VOCABULARY).astype(np.int64)
+        word = draw.integers(0, lm.VOCABULARY, n)
+        batch = lm.Batch(around, word, lm.VOCABULARY + 1)
+        assert sorted(batch.ids) == sorted(set(around.ravel().tolist()))
+        found = zip(batch.word.tolist(), *batch.ids[batch.steps].tolist())
+        assert sorted(found) == sorted(zip(word.tolist(), *around.T.tolist()))
+        groups, values = batch.groups, draw.integers(-9, 9, (around.size, 3)).astype(float)
+        want = np.zeros((lm.VOCABULARY + 1, 3))
+        np.add.at(want, batch.ids[batch.steps].ravel(), values)
+        assert (groups.sums(values) == want[batch.ids]).all()
+
+
+def test_one_large_and_one_small_bias():
+    """Against logits in float64, where exponentials or their factors leave float32."""
+    draw = np.random.default_rng(5)
+    p = lm.initial_parameters(draw.random(lm.VOCABULARY))
+    around, word = draw.integers(0, lm.VOCABULARY, (64, 2 * lm.SIDE)), np.arange(64) * 64
+    for shift in (-150, -60, 60, 150):
+        q = p._replace(class_bias=p.class_bias.copy(), member_bias=p.member_bias.copy())
+        q.class_bias[3] += shift
+        q.member_bias[5, 0] += shift
+        exact = lm.Parameters(*[x.astype(float) for x in q])
+        want, slopes = lm.log_probability(exact, around, word), lm.gradient(exact, around, word)
+        assert np.allclose(lm.log_probability(q, around, word), want, rtol=1e-5, atol=1e-3)
+        for x, g in zip(lm.gradient(q, around, word), slopes):
+            assert np.allclose(x, g, atol=1e-5)
+
+
+def test_ids_are_found_among_hashes_of_one_bucket():
+    """Hashes with equal upper bits, words before, between and after them, and no known words."""
+    upper = np.repeat(np.array([0, 7, 0xFFFF], dtype=np.uint64) << np.uint64(48), 3)
+    hashes = upper + np.tile(np.array([5, 9, 11], dtype=np.uint64), 3)
+    vocabulary = lm.Vocabulary(hashes, np.arange(9)[::-1].copy(), np.ones(lm.VOCABULARY))
+    assert vocabulary.encode(hashes).tolist() == list(range(9))[::-1]
+    strangers = np.concatenate([hashes - np.uint64(1), hashes + np.uint64(1), hashes[:1] + (np.uint64(1) << np.uint64(50))])
+    assert (vocabulary.encode(strangers) >= lm.VOCABULARY - lm.UNKNOWN).all()
+    none = vocabulary._replace(hashes=hashes[:0], ids=np.arange(0))
+    assert (none.encode(hashes) >= lm.VOCABULARY - lm.UNKNOWN).all()
+    assert len(vocabulary.encode(hashes[:0])) == 0
+
+
+@pytest.mark.parametrize("most", [1, 1 << 19])
+def test_a_task_counts_its_words_once(monkeypatch, most):
+    monkeypatch.setattr(lm, "COUNTED", most)
+    texts = ["a b a", "", None, "b c", "a"]
+    batches = [pa.record_batch({"text": pa.array(x, pa.string())}) for x in (texts, texts[1:3], texts)]
+    rows = [r for b in lm._count_words(batches) for r in b.to_pylist()]
+    counts = {}
+    for r in rows:
+        counts[r["word"]] = counts.get(r["word"], 0) + r["n"]
+    assert sorted(counts.values()) == [2, 4, 6]
+    assert most == 1 or len(rows) == 3
